@@ -89,6 +89,21 @@ def _closure(columns: Iterable[str]) -> set[str]:
     return needed
 
 
+def _levels(needed: set[str]) -> list[list[Derived]]:
+    """Needed derived columns in groups that only build on earlier groups."""
+    depth: dict[str, int] = {}
+    levels: list[list[Derived]] = []
+    for derived in DERIVED:
+        if derived.name not in needed:
+            continue
+        level = max((depth[name] + 1 for name in derived.inputs if name in depth), default=0)
+        depth[derived.name] = level
+        if level == len(levels):
+            levels.append([])
+        levels[level].append(derived)
+    return levels
+
+
 def required_inputs(columns: Iterable[str] | None = None) -> list[str]:
     """Columns of the prepared fact that the given detail columns come from."""
     needed = _closure(COLUMNS if columns is None else columns)
@@ -101,9 +116,7 @@ def detail(prepared: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     unknown = wanted - set(COLUMNS)
     if unknown:
         raise ValueError(f"not in the detail fact: {sorted(unknown)}")
-    needed = _closure(wanted)
     frame = prepared
-    for derived in DERIVED:
-        if derived.name in needed:
-            frame = frame.withColumn(derived.name, derived.build())
+    for level in _levels(_closure(wanted)):
+        frame = frame.withColumns({derived.name: derived.build() for derived in level})
     return frame.select(*[name for name in COLUMNS if name in wanted])

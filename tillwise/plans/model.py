@@ -4,25 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.config import ResultParams
 from tillwise.operators import results
-from tillwise.operators.detail import detail, required_inputs
-from tillwise.operators.rollups import MODEL_MONTH_CHANNEL, MODEL_MONTH_QTY, ROLLUPS, Rollup, accumulate, rollup
+from tillwise.operators.detail import COLUMNS, detail, required_inputs
+from tillwise.operators.rollups import (
+    CUBE_KEYS,
+    MEASURES,
+    MODEL_MONTH_CHANNEL,
+    MODEL_MONTH_QTY,
+    ROLLUPS,
+    Rollup,
+    accumulate,
+    merge,
+    rollup,
+)
 from tillwise.sources import readers, star
 
+MODEL_MONTH_KEYS = ("brand", "model", "sale_year", "sale_month")
+# keys finer than the cube: these tables come from the detail fact
+FROM_DETAIL = ("dws_sales_daily", "dws_sales_by_segment")
+
+
+class Rollups(Protocol):
+    """What the result tables are built from."""
+
+    def dws(self, table: str) -> DataFrame: ...
+
+    def channel_cells(self) -> DataFrame: ...
+
+    def model_candidates(self) -> DataFrame: ...
+
 
 @dataclass(frozen=True)
 class SalesModel:
-    """Tables of one warehouse; ``prepared`` returns the given columns of the fact.
+    """Tables of one warehouse; ``source`` returns the given columns of the fact.
 
+    The source is the prepared fact, or the stored detail fact if ``is_detail`` is set.
     Nothing is computed here.  Each table asks only for the columns it is built from.
     """
 
-    prepared: Callable[[Sequence[str]], DataFrame]
+    source: Callable[[Sequence[str]], DataFrame]
     params: ResultParams = field(default_factory=ResultParams)
+    is_detail: bool = False
 
     @classmethod
     def from_star(cls, spark: SparkSession, root: str, params: ResultParams | None = None) -> SalesModel:
@@ -33,10 +60,12 @@ class SalesModel:
         return cls(lambda columns: readers.prepared_fact(spark, path).select(*columns), params or ResultParams())
 
     def ods(self, columns: Iterable[str]) -> DataFrame:
-        return self.prepared(list(columns))
+        return self.source(list(columns))
 
     def dwd(self, columns: Iterable[str] | None = None) -> DataFrame:
-        return detail(self.prepared(required_inputs(columns)), columns)
+        if self.is_detail:
+            return self.source(COLUMNS if columns is None else sorted(columns))
+        return detail(self.source(required_inputs(columns)), columns)
 
     def rollup(self, spec: Rollup) -> DataFrame:
         return rollup(self.dwd(spec.detail_columns), spec)
@@ -52,16 +81,46 @@ class SalesModel:
 
     def model_candidates(self) -> DataFrame:
         spec = ROLLUPS["dws_sales_by_model"]
-        keys = ("brand", "model", "sale_year", "sale_month")
-        rows = self.dwd({*spec.detail_columns, *keys})
-        return results.model_candidates(accumulate(rows, keys, spec.measures))
+        rows = self.dwd({*spec.detail_columns, *MODEL_MONTH_KEYS})
+        return results.model_candidates(accumulate(rows, MODEL_MONTH_KEYS, spec.measures))
+
+    def cube(self) -> DataFrame:
+        """Partial measures by model, month and channel: one pass over the fact."""
+        sources = {measure.source for measure in MEASURES.values() if measure.source}
+        return accumulate(self.dwd({*CUBE_KEYS, *sources}), CUBE_KEYS, MEASURES)
 
     def ads(self, table: str) -> DataFrame:
         """A result table straight from the fact, without stored intermediate tables."""
         return build_result(table, self, self.params)
 
 
-def build_result(table: str, source, params: ResultParams) -> DataFrame:
+@dataclass(frozen=True)
+class CubeModel:
+    """Tables merged from a stored cube; only the finer ones go back to the fact.
+
+    Several result tables then cost one pass over the fact together, not one each.
+    """
+
+    stored_cube: DataFrame
+    fact: SalesModel
+
+    def dws(self, table: str) -> DataFrame:
+        if table in FROM_DETAIL:
+            return self.fact.dws(table)
+        return rollup(self.stored_cube, ROLLUPS[table], from_partials=True)
+
+    def channel_cells(self) -> DataFrame:
+        return rollup(self.stored_cube, MODEL_MONTH_CHANNEL, from_partials=True)
+
+    def model_candidates(self) -> DataFrame:
+        measures = ROLLUPS["dws_sales_by_model"].measures
+        return results.model_candidates(merge(self.stored_cube, MODEL_MONTH_KEYS, measures))
+
+    def ads(self, table: str) -> DataFrame:
+        return build_result(table, self, self.fact.params)
+
+
+def build_result(table: str, source: Rollups, params: ResultParams) -> DataFrame:
     """A result table from anything that offers the roll-ups it needs."""
     if table == "ads_profit_anomaly":
         return results.profit_anomaly(source.dws("dws_sales_daily"), params)

@@ -20,71 +20,50 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def _price_share(percent: float) -> Column:
-    return F.col("l_extendedprice") * F.lit(percent)
-
-
-def _line_columns() -> dict[str, Column]:
-    price, part_key = F.col("l_extendedprice"), F.col("l_partkey")
-    day = F.dayofmonth("l_shipdate")
-    # day-of-month shocks make every anomaly level occur
-    shock = F.when(day == 6, F.lit(1.08)).when(day == 13, F.lit(1.2)).when(day == 27, F.lit(1.5)).otherwise(F.lit(1.0))
-    per_piece = F.floor(price / F.nullif(F.col("l_quantity"), F.lit(0.0)))
-    return {
-        "sale_date": F.col("l_shipdate").cast("date"),
-        "storage_gb": (F.lit(128) * (F.lit(1) + part_key % 4)).cast("int"),
-        "refresh_rate_hz": (F.lit(60) + F.lit(30) * (part_key % 3)).cast("int"),
-        "os": F.when(part_key % 2 == 0, F.lit("os_a")).otherwise(F.lit("os_b")),
-        "user_rating": (F.lit(1) + F.col("l_orderkey") % 5).cast("int"),
-        "unit_price": per_piece.cast("int"),
-        "sales_qty": F.col("l_quantity").cast("int"),
-        "production_cost": price * (F.lit(35) + part_key % 40).cast("double") / F.lit(100.0) * shock,
-        "marketing_cost_total": price * F.col("l_discount"),
-        "logistics_cost": price * F.col("l_tax") * F.lit(0.5),
-        "platform_commission_total": _price_share(0.05),
-        "after_sales_cost": F.when(F.col("l_returnflag") == "R", _price_share(0.02)),
-        "case_sales": _price_share(0.01),
-        "earphone_sales": _price_share(0.008),
-        "charger_sales": _price_share(0.006),
-        "cable_sales": _price_share(0.004),
-        "screen_protector_sales": _price_share(0.002),
-        "accessory_sales_total": F.when(F.col("l_linenumber") != 7, _price_share(0.03)),
-        "warranty_1y_sales": _price_share(0.01),
-        "warranty_2y_sales": _price_share(0.02),
-        "accident_insurance_sales": _price_share(0.005),
-        "screen_insurance_sales": _price_share(0.005),
-        "warranty_total_sales": F.floor(_price_share(0.04)).cast("int"),
-    }
-
-
-def _part_columns() -> dict[str, Column]:
-    size = F.col("p_size")
-    return {
-        "brand": F.col("p_brand"),
-        "model": F.col("p_name"),
-        "processor": F.col("p_type"),
-        "camera_pixel_wan": (size * 100).cast("int"),
-        "battery_capacity_mah": (F.lit(3000) + size * 40).cast("int"),
-        "screen_size_inch": F.lit(5.0) + size.cast("double") / F.lit(50.0),
-    }
-
-
-def _order_columns() -> dict[str, Column]:
-    priority = F.col("o_orderpriority")
-    return {"promotion": F.when(priority == "4-NOT SPECIFIED", F.lit("  ")).otherwise(priority)}
-
-
-def _customer_columns() -> dict[str, Column]:
-    key = F.col("c_custkey")
-    return {
-        "user_age": F.when(key % 97 != 0, (F.lit(15) + key % 50).cast("int")),
-        "user_gender": F.when(key % 2 == 0, F.lit("F")).otherwise(F.lit("M")),
-        "user_member_level": F.col("c_mktsegment"),
-    }
-
-
-def _nation_columns() -> dict[str, Column]:
-    return {"user_city": F.col("n_name")}
+# Columns of the sales fact by the table they come from, as SQL over the joined tables.
+# The day-of-month shocks on production cost make every anomaly level occur.
+LINE_COLUMNS = {
+    "sale_date": "CAST(l_shipdate AS DATE)",
+    "storage_gb": "CAST(128 * (1 + l_partkey % 4) AS INT)",
+    "refresh_rate_hz": "CAST(60 + 30 * (l_partkey % 3) AS INT)",
+    "os": "IF(l_partkey % 2 = 0, 'os_a', 'os_b')",
+    "user_rating": "CAST(1 + l_orderkey % 5 AS INT)",
+    "unit_price": "CAST(FLOOR(l_extendedprice / NULLIF(l_quantity, 0D)) AS INT)",
+    "sales_qty": "CAST(l_quantity AS INT)",
+    "production_cost": "l_extendedprice * CAST(35 + l_partkey % 40 AS DOUBLE) / 100D * "
+    "CASE DAY(l_shipdate) WHEN 6 THEN 1.08D WHEN 13 THEN 1.2D WHEN 27 THEN 1.5D ELSE 1D END",
+    "marketing_cost_total": "l_extendedprice * l_discount",
+    "logistics_cost": "l_extendedprice * l_tax * 0.5D",
+    "platform_commission_total": "l_extendedprice * 0.05D",
+    "after_sales_cost": "IF(l_returnflag = 'R', l_extendedprice * 0.02D, NULL)",
+    "case_sales": "l_extendedprice * 0.01D",
+    "earphone_sales": "l_extendedprice * 0.008D",
+    "charger_sales": "l_extendedprice * 0.006D",
+    "cable_sales": "l_extendedprice * 0.004D",
+    "screen_protector_sales": "l_extendedprice * 0.002D",
+    "accessory_sales_total": "IF(l_linenumber <> 7, l_extendedprice * 0.03D, NULL)",
+    "warranty_1y_sales": "l_extendedprice * 0.01D",
+    "warranty_2y_sales": "l_extendedprice * 0.02D",
+    "accident_insurance_sales": "l_extendedprice * 0.005D",
+    "screen_insurance_sales": "l_extendedprice * 0.005D",
+    "warranty_total_sales": "CAST(FLOOR(l_extendedprice * 0.04D) AS INT)",
+}
+PART_COLUMNS = {
+    "brand": "p_brand",
+    "model": "p_name",
+    "processor": "p_type",
+    "camera_pixel_wan": "CAST(p_size * 100 AS INT)",
+    "battery_capacity_mah": "CAST(3000 + p_size * 40 AS INT)",
+    "screen_size_inch": "5D + CAST(p_size AS DOUBLE) / 50D",
+}
+ORDER_COLUMNS = {"promotion": "IF(o_orderpriority = '4-NOT SPECIFIED', '  ', o_orderpriority)"}
+CUSTOMER_COLUMNS = {
+    "user_age": "IF(c_custkey % 97 <> 0, CAST(15 + c_custkey % 50 AS INT), NULL)",
+    "user_gender": "IF(c_custkey % 2 = 0, 'F', 'M')",
+    "user_member_level": "c_mktsegment",
+}
+NATION_COLUMNS = {"user_city": "n_name"}
+ALL_COLUMNS = LINE_COLUMNS | PART_COLUMNS | ORDER_COLUMNS | CUSTOMER_COLUMNS | NATION_COLUMNS
 
 
 def sales_fact(spark: SparkSession, root: str, columns: Iterable[str] | None = None) -> DataFrame:
@@ -96,27 +75,24 @@ def sales_fact(spark: SparkSession, root: str, columns: Iterable[str] | None = N
     part or customer that holds a large share of the rows.
     """
     wanted = [name for name in schemas.ODS.names if columns is None or name in set(columns)]
-    line, part, order = _line_columns(), _part_columns(), _order_columns()
-    customer, nation = _customer_columns(), _nation_columns()
 
-    def needs(*groups: dict[str, Column]) -> bool:
+    def needs(*groups: dict[str, str]) -> bool:
         return any(name in group for group in groups for name in wanted)
 
     fact = table(spark, root, "lineitem")
-    if needs(order, customer, nation):
+    if needs(ORDER_COLUMNS, CUSTOMER_COLUMNS, NATION_COLUMNS):
         orders = table(spark, root, "orders")
-        if needs(customer, nation):
+        if needs(CUSTOMER_COLUMNS, NATION_COLUMNS):
             customers = table(spark, root, "customer")
-            if needs(nation):
+            if needs(NATION_COLUMNS):
                 customers = customers.join(
                     table(spark, root, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
                 )
             orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
         fact = fact.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    if needs(part):
+    if needs(PART_COLUMNS):
         fact = fact.join(table(spark, root, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-    built = line | part | order | customer | nation
-    return fact.select(*[built[name].alias(name) for name in wanted])
+    return fact.selectExpr(*[f"{ALL_COLUMNS[name]} AS {name}" for name in wanted])
 
 
 def sale_events(spark: SparkSession, root: str) -> DataFrame:
