@@ -22,7 +22,7 @@ def whole_part(value: Column) -> Column:
 
 def fraction_units(value: Column, scale: float) -> Column:
     """Fraction of ``value`` as a whole number of ``1 / scale`` units."""
-    return F.floor((value - whole_part(value)) * F.lit(scale) + F.lit(0.5)).cast("double")
+    return F.rint((value - whole_part(value)) * F.lit(scale))
 
 
 def from_parts(whole: Column, units: Column, scale: float) -> Column:

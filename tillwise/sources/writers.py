@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillwise.config import JdbcConf
@@ -15,22 +15,26 @@ def write_table(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").parquet(path)
 
 
-def write_by_month(detail: DataFrame, path: str, *, full: bool = False) -> None:
+def write_by_month(detail: DataFrame, path: str, *, full: bool = False) -> int:
     """Write the detail fact by month, replacing only the months that occur.
 
     Without clustering every task would open a file in every month.  REBALANCE brings the
     rows of a month together and lets adaptive execution cut large months into several
     tasks and join small ones, so neither file counts nor the biggest month get out of
-    hand.  ``full`` also drops months that no longer occur.
+    hand.  ``full`` also drops months that no longer occur.  Returns the number of rows,
+    counted by the writing tasks rather than by another pass.
     """
     mode = "static" if full else "dynamic"
+    written = Observation()
     (
         detail.hint("rebalance", "dt")
+        .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy("dt")
         .parquet(path)
     )
+    return written.get["rows"]
 
 
 def write_clean_csv(frame: DataFrame, path: str) -> None:

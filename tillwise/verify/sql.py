@@ -15,7 +15,7 @@ from tillwise.streaming.rules import CONTENT_LABELS, LEVELS, TITLES
 
 def _sum(column: str, scale: str = "1e9") -> str:
     """Sum of whole parts plus sum of fraction units, independent of the row order."""
-    units = f"SUM(FLOOR(({column} - FLOOR({column})) * {scale} + CAST(0.5 AS DOUBLE)))"
+    units = f"SUM(ROUND_EVEN(({column} - FLOOR({column})) * {scale}, 0))"
     return f"(SUM(FLOOR({column})) + {units} / {scale})"
 
 
