@@ -11,10 +11,16 @@ from tillwise import schemas
 from tillwise.config import KafkaConf
 
 
-def raw_sheet(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV export of the raw sheet with every column as text; ``columns`` in file order."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+def raw_sheet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """CSV export of the raw sheet with every column as text.
+
+    ``columns`` in file order saves the job that reads the header and checks it instead.
+    """
+    reader = spark.read.option("header", True)
+    if columns is not None:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+        reader = reader.schema(schema).option("enforceSchema", False)
+    return reader.csv(path)
 
 
 def prepared_fact(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import signal
+import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -161,12 +163,14 @@ def start_alert_query(
 
 
 def run_until_stopped(query: StreamingQuery) -> None:
-    """Wait for the query and stop it cleanly on interrupt."""
-    try:
-        query.awaitTermination()
-    except KeyboardInterrupt:
-        log.warning("stopping %s", query.name)
-        query.stop()
+    """Wait for the query; on SIGTERM or interrupt stop it, to resume from the checkpoint."""
+    stopping = threading.Event()
+    for number in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(number, lambda *_: stopping.set())
+    while not query.awaitTermination(1):
+        if stopping.is_set():
+            log.warning("stopping %s", query.name)
+            query.stop()
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -246,12 +246,14 @@ def q_overview(spark: SparkSession, root: str) -> DataFrame:
     return serving.overview_rows({table: merged.ads(table) for table in serving.OVERVIEW.values()})
 
 
-on_model(
-    "q_dict_lookup",
-    lambda m: dictionary.with_display_name(
-        serving.metric_codes(m.ads("ads_metric_trend")).select("metric_code"), "metric_code"
-    ),
-)
+
+
+@query("q_dict_lookup")
+def q_dict_lookup(spark: SparkSession, root: str) -> DataFrame:
+    """Display names of the metric codes: stored dictionary, else the code itself."""
+    codes = serving.metric_codes(SalesModel.from_star(spark, root).ads("ads_metric_trend")).select("metric_code")
+    return dictionary.with_display_name(codes, "metric_code", dictionary.column_dict(spark))
+
 
 # --- live events ----------------------------------------------------------------------
 
