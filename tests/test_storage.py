@@ -136,6 +136,8 @@ def test_kafka_options():
         "kafka.group.id": "group",
         "failOnDataLoss": "false",
     }
+    bounded = KafkaConf("h:9092", "raw", "alert", "group", max_offsets_per_trigger=1000)
+    assert readers.kafka_options(bounded)["maxOffsetsPerTrigger"] == "1000"
     assert KafkaAlertSink(conf).options() == {"kafka.bootstrap.servers": "h:9092", "topic": "alert"}
 
 

@@ -71,6 +71,8 @@ class KafkaConf:
     alert_topic: str
     group_id: str
     starting_offsets: str = "latest"
+    # bounds a micro-batch, for example after the job was down for long
+    max_offsets_per_trigger: int | None = None
 
 
 @dataclass(frozen=True)

@@ -162,7 +162,8 @@ def category_of(name: Column) -> Column:
 
 def column_dict(spark: SparkSession) -> DataFrame:
     """The dictionary table (``ads_column_dict``)."""
-    names = spark.createDataFrame(list(builtin_names().items()), "column_en string, column_cn string")
+    entries = ", ".join(f"('{name}', '{label}')" for name, label in builtin_names().items())
+    names = spark.sql(f"SELECT * FROM VALUES {entries} AS names(column_en, column_cn)")
     name = F.col("column_en")
     return names.select("column_en", "column_cn", layer_of(name).alias("layer"), category_of(name).alias("category"))
 

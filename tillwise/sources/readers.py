@@ -35,13 +35,16 @@ def refresh_and_count(spark: SparkSession, path: str) -> int:
 
 
 def kafka_options(conf: KafkaConf) -> dict[str, str]:
-    return {
+    options = {
         "kafka.bootstrap.servers": conf.bootstrap_servers,
         "subscribe": conf.raw_topic,
         "startingOffsets": conf.starting_offsets,
         "kafka.group.id": conf.group_id,
         "failOnDataLoss": "false",
     }
+    if conf.max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(conf.max_offsets_per_trigger)
+    return options
 
 
 def kafka_messages(spark: SparkSession, conf: KafkaConf) -> DataFrame:
