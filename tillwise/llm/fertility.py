@@ -173,17 +173,17 @@ _KINDS = {pa.int64(): "long", pa.float64(): "double"}
 
 
 def measure(
-    docs: DataFrame, ranks_path: str, pieces_path: str, *, keep: tuple[str, ...] = ("doc_id", "lang")
+    docs: DataFrame, ranks_path: str, pieces_path: str, *, keep: tuple[str, ...] = ("doc_id", "lang"), text: str = "text"
 ) -> DataFrame:
     """The kept columns and the measures of every text; kept columns must not bear their names."""
-    source = docs.select(*(F.col(k) for k in keep), F.col("text").cast("string").alias("__text"))
+    source = docs.select(*(F.col(k) for k in dict.fromkeys([*keep, text])))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         costs = word_costs(ranks_path, pieces_path)
         size = costs.ranks.n_vocab
         for batch in batches:
             at = 0
-            for texts in slices(texts_of(batch, "__text")):
+            for texts in slices(texts_of(batch, text)):
                 found = _measured(texts, costs, size)
                 kept = [batch.column(k).slice(at, len(texts)) for k in keep]
                 script = pa.array([script_of(t) for t in texts], pa.string())

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import best_fit, block_anchors, fertility, merge_automaton, token_efficiency
+from tillwise.llm import (
+    best_fit,
+    block_anchors,
+    context_mixing,
+    dart_minhash,
+    disclosure,
+    fertility,
+    merge_automaton,
+    ngram_toxicity,
+    pivot_index,
+    token_efficiency,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -27,6 +38,11 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+@query("op1_context_mixing")
+def language_model(spark: SparkSession, root: str) -> DataFrame:
+    return context_mixing.score(table(spark, root, "documents"))
+
+
 @query("op2_block_anchors")
 def substrings(spark: SparkSession, root: str) -> DataFrame:
     found = block_anchors.remove_repeats(table(spark, root, "documents").select("doc_id", "text"))
@@ -38,11 +54,33 @@ def packing(spark: SparkSession, root: str) -> DataFrame:
     return best_fit.pack(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op4_dart_minhash")
+def near_duplicates(spark: SparkSession, root: str) -> DataFrame:
+    return dart_minhash.classes(table(spark, root, "documents"))
+
+
+@query("op5_disclosure")
+def personal_data(spark: SparkSession, root: str) -> DataFrame:
+    return disclosure.report(disclosure.find(table(spark, root, "documents").select("doc_id", "text")))
+
+
+@query("op6_ngram_toxicity")
+def toxicity(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    return ngram_toxicity.scored(docs, ngram_toxicity.train(docs, table(spark, root, "labels")))
+
+
 @query("op7_merge_automaton")
 def bpe(spark: SparkSession, root: str) -> DataFrame:
     return merge_automaton.digests(table(spark, root, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op8_pivot_index")
+def nearest(spark: SparkSession, root: str) -> DataFrame:
+    vectors = pivot_index.whole_vectors(table(spark, root, "embeddings"))
+    return pivot_index.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 @query("op9_tokeniser_fertility")
 def quality(spark: SparkSession, root: str) -> DataFrame:
     measured = fertility.measure(
@@ -59,3 +97,41 @@ def quality(spark: SparkSession, root: str) -> DataFrame:
 def secrets(spark: SparkSession, root: str) -> DataFrame:
     found = token_efficiency.spans(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return token_efficiency.report(found)
+
+
+ORACLE["op2_block_anchors"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, UNNEST(range(1, GREATEST(1, len(words) - 33))) AS p FROM texts
+), windows AS (
+  SELECT doc_id, p, array_to_string(words[p:p + 34], ' ') AS w FROM starts
+), repeated AS (
+  SELECT doc_id, p FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING COUNT(*) > 1)
+), gone AS (
+  SELECT DISTINCT doc_id, p + k AS p FROM repeated, (SELECT UNNEST(range(0, 35)) AS k)
+), places AS (
+  SELECT doc_id, words, UNNEST(range(1, len(words) + 1)) AS p FROM texts
+), kept AS (
+  SELECT doc_id, string_agg(words[p], ' ' ORDER BY p) AS text, COUNT(*) AS n
+  FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - COALESCE(n, 0) AS BIGINT) AS n_removed,
+  sha256(COALESCE(text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op8_pivot_index"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(FLOOR(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
