@@ -9,7 +9,7 @@ same words at the same offset, at any alignment.  So:
    windows, marked where they are reference blocks.  A hash that is a reference block
    somewhere and occurs at two places is a hit.
 2. Extension: every hit is extended to all windows around it, and a window counts when
-   its 128-bit hash occurs at a second place.  Windows that overlap join to the maximal
+   its hash of 100 bits occurs at a second place.  Windows that overlap join to the maximal
    repeated stretches, whose words are removed.
 
 Both steps exchange distinct keys per chunk (see ``chunks``), so neither a passage in a
@@ -113,7 +113,7 @@ def _hit_keys(asked: pa.Table) -> np.ndarray:
 def _around_hits(words: Words, hashes: np.ndarray, hits: np.ndarray, length: int, block: int) -> np.ndarray:
     """Starts of the windows that hold a hit."""
     starts, keys, _ = _block_windows(words, hashes, block)
-    at = starts[np.isin(keys & np.uint64(0xFFFFFFFFFFFF), hits)]
+    at = starts[np.isin(keys & _LOW48, hits)]
     room = length - block
     change = np.zeros(len(hashes) + 1, np.int64)
     np.add.at(change, np.maximum(at - room, words.first[words.text_of[at]]), 1)
@@ -129,7 +129,7 @@ def _window_keys(words: Words, starts: np.ndarray, length: int) -> tuple[np.ndar
     return pair[0][starts], pair[1][starts]
 
 
-def _joined128(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     out = np.empty(len(first), [("a", ">u8"), ("b", ">u8")])
     out["a"], out["b"] = first, second
     return out.view("S16")
@@ -154,7 +154,7 @@ def _extension_part(length: int, shards: int, block: int):
         twice = np.diff(np.append(starts, pairs.shape[1])) > 1
         pairs = pairs[:, starts]
         rows = [
-            (shard, key[0].as_py(), pairs[0, a:b].tobytes(), pairs[1, a:b].tobytes(), twice[a:b].tobytes())
+            (shard, key[0].as_py(), *_packed(pairs[0, a:b]), _half(pairs[1, a:b]).tobytes(), twice[a:b].tobytes())
             for shard, a, b in runs_by_shard(shard_of(pairs[0], shards), shards)
         ]
         return _table(rows, _EXTENDED)
@@ -162,14 +162,24 @@ def _extension_part(length: int, shards: int, block: int):
     return task
 
 
-_EXTENDED = "shard int, chunk int, first binary, second binary, twice binary"
-_REPEATED = "chunk int, first binary, second binary"
+# of 128 bits, the owner stands for up to 20, and 80 are sent
+_EXTENDED = "shard int, chunk int, low binary, high binary, second binary, twice binary"
+_REPEATED = "chunk int, low binary, high binary, second binary"
+_LOW48 = np.uint64(0xFFFFFFFFFFFF)
+
+
+def _half(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(32)).astype(np.uint32)
+
+
+def _pairs(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    first = [_unpacked(low.as_py(), high.as_py()) for low, high in zip(table["low"], table["high"], strict=True)]
+    return first, [np.frombuffer(v.as_py(), np.uint32) for v in table["second"]]
 
 
 def _repeats(table: pa.Table) -> pa.Table:
     """Per chunk, its windows that occur at two places."""
-    first = [np.frombuffer(v.as_py(), np.uint64) for v in table["first"]]
-    second = [np.frombuffer(v.as_py(), np.uint64) for v in table["second"]]
+    first, second = _pairs(table)
     twice = [np.frombuffer(v.as_py(), bool) for v in table["twice"]]
     a, b, marks = np.concatenate(first), np.concatenate(second), np.concatenate(twice)
     order = np.lexsort((b, a))
@@ -185,15 +195,15 @@ def _repeats(table: pa.Table) -> pa.Table:
         own = repeated[at : at + len(one)]
         at += len(one)
         if own.any():
-            rows.append((chunk, one[own].tobytes(), two[own].tobytes()))
+            rows.append((chunk, *_packed(one[own]), two[own].tobytes()))
     return _table(rows, _REPEATED)
 
 
 def _removal_part(length: int, columns: list[str]):
     def task(key, docs, repeated):
-        first = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(v.as_py(), np.uint64) for v in repeated["first"])])
-        second = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(v.as_py(), np.uint64) for v in repeated["second"])])
-        known = _joined128(first, second)
+        sent = _pairs(repeated)
+        first, second = (np.concatenate([np.zeros(0, np.uint64), *part]) for part in sent)
+        known = _joined(first, second)
         n_words, n_removed, kept = [], [], []
         for texts in slices(texts_of(docs)):
             words = Words.of(texts)
@@ -202,8 +212,9 @@ def _removal_part(length: int, columns: list[str]):
             windows = words.window_starts(length)
             if len(known) and len(windows):
                 keys = HASH_A.windows(words.hashes(HASH_A), length)[windows]
-                maybe = windows[np.isin(keys, first)]
-                own = _joined128(*_window_keys(words, maybe, length))
+                maybe = windows[np.isin(keys & _LOW48, first)]
+                one, two = _window_keys(words, maybe, length)
+                own = _joined(one & _LOW48, _half(two))
                 starts = maybe[np.isin(own, known)]
                 change = np.zeros(total + 1, np.int64)
                 np.add.at(change, starts, 1)
