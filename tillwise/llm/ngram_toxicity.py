@@ -6,7 +6,7 @@ smoothed shares in toxic and other training texts.  The features that tell the c
 apart best are kept, and a logistic regression is fitted on the scaled features.
 
 The classifier is fitted on at most ``sample`` labelled training rows, the first by a hash
-of the id, in one task; what is broadcast is the table of n-gram slots (4 MB) and the
+of the id; of these, one task sees the few chosen features alone.  What is broadcast is the table of n-gram slots (4 MB) and the
 weights.  Every text is scored whole.  Only text is an input of the score.
 
 NULL and empty texts have no features; their score is the classifier's intercept.  Without
@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.components import stored
+from tillwise.llm.context_mixing import blob_batch, summed
 from tillwise.llm.words import slices, texts_of
 
 _FOLD = bytes(0x20 if b in (0x09, 0x0A, 0x0B, 0x0C, 0x0D) else b for b in range(256))
@@ -85,62 +87,50 @@ class Classifier:
         feature = self.feature_of[slot]
         hit = np.flatnonzero(feature)
         pairs = np.unique(owner[hit].astype(np.int64) << 32 | feature[hit])
-        sums = np.bincount(pairs >> 32, self.weights[(pairs & 0xFFFFFFFF) - 1], len(texts))
+        sums = np.bincount(pairs >> 32, self.weights[(pairs & 0xFFFFFFFF) - 1], len(texts)) if len(pairs) else np.zeros(len(texts))
         return 1.0 / (1.0 + np.exp(-np.clip(sums + self.intercept, -30, 30)))
 
 
-def fitted(texts: Iterator[tuple[list[bytes], np.ndarray]], params: Params) -> Classifier:
-    """Classifier from slices of texts with 0/1 labels."""
-    owners, slots, labels = [], [], []
-    total = 0
-    for part, label in texts:
-        owner, slot = distinct_slots(part, params)
-        owners.append(owner + total)
-        slots.append(slot)
-        labels.append(label)
-        total += len(part)
-    width = 1 << params.slot_bits
-    toxic = np.concatenate(labels).astype(bool) if labels else np.zeros(0, bool)
-    ones = int(toxic.sum())
-    zeros = total - ones
-    share = (ones + 1.0) / (total + 2.0)
-    intercept = float(np.log(share / (1 - share)))
-    if not ones or not zeros:
-        return Classifier(np.zeros(width, np.int32), np.zeros(1), intercept)
-    owner, slot = np.concatenate(owners), np.concatenate(slots)
-    with_one = np.bincount(slot[toxic[owner]], minlength=width).astype(float)
-    with_zero = np.bincount(slot[~toxic[owner]], minlength=width).astype(float)
-    a = params.smoothing
+def chosen_slots(counts: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Slots that tell the classes apart best, and their log-count ratios.
+
+    ``counts`` has a row for each label: texts with the slot, and last the texts in all.
+    """
+    zeros, ones = counts[:, -1]
+    with_zero, with_one = counts[:, :-1]
+    total, a = zeros + ones, params.smoothing
     ratio = np.log((with_one + a) / (ones + 2 * a)) - np.log((with_zero + a) / (zeros + 2 * a))
     both = with_one + with_zero
     expected = both * ones / total
-    apart = (with_one - expected) ** 2 / np.maximum(expected * (1 - both / total) * (zeros / total), 1e-9)
+    spread = expected * (1 - both / total) * (zeros / total)
+    apart = (with_one - expected) ** 2 / np.maximum(spread, 1e-9)
     apart[both < params.least_texts] = -1
-    chosen = np.argsort(-apart, kind="stable")[: params.features]
-    chosen = chosen[apart[chosen] > 0]
-    feature_of = np.zeros(width, np.int32)
-    feature_of[chosen] = np.arange(1, len(chosen) + 1)
-    feature = feature_of[slot]
-    keep = feature > 0
-    row, column = owner[keep], feature[keep] - 1
-    scale = ratio[chosen]
+    best = np.argsort(-apart, kind="stable")[: params.features]
+    best = best[apart[best] > 0]
+    return best, ratio[best]
+
+
+def fitted_weights(features: list[np.ndarray], toxic: np.ndarray, scale: np.ndarray, params: Params) -> tuple[np.ndarray, float]:
+    """Logistic regression on scaled features by gradient steps with momentum."""
+    total = len(toxic)
+    row = np.repeat(np.arange(total), [len(f) for f in features])
+    column = np.concatenate(features)
     value = scale[column]
-    weights = np.zeros(len(chosen))
-    bias = intercept
-    target = toxic.astype(float)
+    share = (toxic.sum() + 1.0) / (total + 2.0)
+    weights, bias = np.zeros(len(scale)), float(np.log(share / (1 - share)))
     # a bound on the curvature gives a step that cannot overshoot
-    reach = np.bincount(row, value**2, total).max() + 1.0
-    rate = 4.0 * total / max(np.bincount(column, value**2, len(chosen)).max() * reach**0.5, total)
+    reach = np.bincount(row, value**2, total).max(initial=0.0) + 1.0
+    rate = 4.0 * total / max(np.bincount(column, value**2, len(scale)).max(initial=0.0) * reach**0.5, total)
     momentum, bias_momentum = np.zeros_like(weights), 0.0
     for _ in range(params.steps):
         linear = np.bincount(row, value * weights[column], total) + bias
-        error = target - 1.0 / (1.0 + np.exp(-np.clip(linear, -30, 30)))
-        slope = np.bincount(column, value * error[row], len(chosen)) / total - params.penalty * weights
+        error = toxic - 1.0 / (1.0 + np.exp(-np.clip(linear, -30, 30)))
+        slope = np.bincount(column, value * error[row], len(scale)) / total - params.penalty * weights
         momentum = 0.9 * momentum + rate * slope
         bias_momentum = 0.9 * bias_momentum + error.mean()
         weights += momentum
         bias += bias_momentum
-    return Classifier(feature_of, weights * scale, float(bias))
+    return weights * scale, float(bias)
 
 
 def learns(doc_id: Column) -> Column:
@@ -150,34 +140,64 @@ def learns(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Classifier:
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & learns(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.sample)
     text = F.col("text").cast("string")
-    rows = docs.select("doc_id", text.alias("text")).join(chosen, "doc_id").select("text", F.col("toxic").cast("int"))
+    # the sample is bounded, hence its broadcast; it is stored because it is read twice
+    joined = docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = stored(joined.select("text", "toxic"), "labelled").coalesce(8)
+    width = 1 << params.slot_bits
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts() -> Iterator[tuple[list[bytes], np.ndarray]]:
-            for batch in batches:
-                label = batch.column("toxic").to_numpy()
-                at = 0
-                for texts in slices(texts_of(batch)):
-                    yield texts, label[at : at + len(texts)]
-                    at += len(texts)
-
-        found = fitted(parts(), params)
-        used = np.flatnonzero(found.feature_of).astype(np.int32)
-        values = found.weights[found.feature_of[used] - 1] if len(used) else np.zeros(0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([used.tobytes()]), pa.array([values.tobytes()]), pa.array([found.intercept])],
-            ["slots", "weights", "intercept"],
-        )
-
-    row = rows.coalesce(1).mapInArrow(task, "slots binary, weights binary, intercept double").first()
-    used = np.frombuffer(bytes(row["slots"]), np.int32)
-    feature_of = np.zeros(1 << params.slot_bits, np.int32)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, width + 1), np.float32)
+        for batch in batches:
+            label = (batch.column("toxic").to_numpy() > 0).astype(np.int64)
+            at = 0
+            for texts in slices(texts_of(batch)):
+                own = label[at : at + len(texts)]
+                owner, slot = distinct_slots(texts, params)
+                for side in (0, 1):
+                    counts[side, :-1] += np.bincount(slot[own[owner] == side], minlength=width)
+                    counts[side, -1] += (own == side).sum()
+                at += len(texts)
+        yield blob_batch([(0, counts[0]), (1, counts[1])], np.float32)
+
+    got = {r["key"]: np.frombuffer(bytes(r["value"]), np.float32) for r in summed(rows.mapInArrow(count, "key int, value binary"), np.float32).collect()}
+    counts = np.array([got.get(k, np.zeros(width + 1)) for k in (0, 1)], np.float64)
+    zeros, ones = counts[:, -1]
+    feature_of = np.zeros(width, np.int32)
+    if not zeros or not ones:
+        share = (ones + 1.0) / (zeros + ones + 2.0)
+        return Classifier(feature_of, np.zeros(1), float(np.log(share / (1 - share))))
+    used, scale = chosen_slots(counts, params)
     feature_of[used] = np.arange(1, len(used) + 1)
-    weights = np.frombuffer(bytes(row["weights"]), np.float64)
-    return Classifier(feature_of, weights if len(weights) else np.zeros(1), row["intercept"])
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label = (batch.column("toxic").to_numpy() > 0).astype(np.int32)
+            at = 0
+            for texts in slices(texts_of(batch)):
+                owner, slot = slots_of(texts, params)
+                feature = feature_of[slot]
+                hit = np.flatnonzero(feature)
+                pairs = np.unique(owner[hit].astype(np.int64) << 32 | (feature[hit] - 1))
+                parts = np.split((pairs & 0xFFFFFFFF).astype(np.int32), np.searchsorted(pairs >> 32, np.arange(1, len(texts))))
+                blobs = pa.array([p.tobytes() for p in parts], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(label[at : at + len(texts)]), blobs], ["toxic", "features"])
+                at += len(texts)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, labels = [np.zeros(0, np.int32)], [np.zeros(1, np.int32)]
+        for batch in batches:
+            features += [np.frombuffer(v.as_py(), np.int32) for v in batch.column("features")]
+            labels.append(batch.column("toxic").to_numpy())
+        # the placeholder text without features only keeps an empty task from failing
+        weights, bias = fitted_weights(features, np.concatenate(labels).astype(float), scale, params)
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()]), pa.array([bias])], ["weights", "bias"])
+
+    small = rows.mapInArrow(reduced, "toxic int, features binary").repartition(1)
+    row = small.mapInArrow(fit, "weights binary, bias double").first()
+    return Classifier(feature_of, np.frombuffer(bytes(row["weights"]), np.float64), row["bias"])
 
 
 def scored(docs: DataFrame, classifier: Classifier, params: Params = Params()) -> DataFrame:
