@@ -234,9 +234,12 @@ def node_classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
     first_id = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "node")
     nodes = marked.groupBy("node", "weight").agg(F.min(first_id).alias("first"))
     buckets = marked.select("node", "weight", F.explode("bands").alias("bucket")).distinct()
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("members"), F.min("node").alias("least"))
-    sizes = sizes.where("members > 1")
-    live = stored(buckets.join(sizes, "bucket"), "live")
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = stored(buckets.join(sizes, "bucket"), "shared")
+    # the member that meets most others in all its bands comes first: an original before its edits
+    degree = shared.groupBy("node").agg(F.sum("members").alias("degree"))
+    central = shared.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node")).alias("top"))
+    live = stored(shared.join(central.select("bucket", F.col("top.node").alias("least")), "bucket"), "live")
     needed = live.select("node").distinct()
     text = F.col("text").cast("string")
     known = docs.where(has_words(text)).select(node_of(text).alias("node"), text.alias("text"))
