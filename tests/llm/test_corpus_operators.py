@@ -304,7 +304,7 @@ def test_top_k_with_ties_copies_and_unusable_vectors(spark):
     rng = np.random.default_rng(1)
     vectors = [(i, [float(x) for x in rng.normal(size=6).round(1)], 0) for i in range(300)]
     vectors += [(300 + i, [0.5] * 6, 0) for i in range(200)]
-    vectors += [(600, None, 0), (620, [1.0, None, 0, 0, 0, 0], 0), (640, [float("nan")] * 6, 0), (660, [float("inf")] * 6, 0)]
+    vectors += [(600, None, 0), (620, [1.0, None, 0.0, 0.0, 0.0, 0.0], 0), (640, [float("nan")] * 6, 0), (660, [float("inf")] * 6, 0)]
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int")
     usable = pivot_index.whole_vectors(frame)
     params = pivot_index.Params(part_vectors=64, block_queries=8, pivots=5)
