@@ -33,6 +33,8 @@ from tillwise.llm.words import texts_of
 
 #: words remembered per worker
 MEMORY = 300_000
+#: arcs remembered per worker
+ARCS = 500_000
 ROWS_OUT = 2000
 
 
@@ -84,6 +86,7 @@ class MergeAutomaton:
                     self.ends.append(-1)
                 node = self.steps[key]
             self.ends[node] = token
+        self.longest = max(map(len, spelled.values()))
         self.arcs: dict[int, bool] = {}
 
     def _exists(self, left: int, right: int, moment: int) -> bool:
@@ -106,27 +109,31 @@ class MergeAutomaton:
         key = left * self.size + right
         known = self.arcs.get(key)
         if known is None:
-            if len(self.arcs) >= 4 * MEMORY:
+            if len(self.arcs) >= ARCS:
                 self.arcs.clear()
             known = self.arcs[key] = self._exists(left, right, self.size)
         return known
 
     def segment(self, piece: bytes) -> list[int]:
         """Tokens of one pre-split piece."""
-        symbols = [self.inner[b] for b in piece[:-1]] + [self.final[piece[-1]]]
-        count, size, steps, ends = len(symbols), self.size, self.steps, self.ends
+        symbols = [self.inner[b] for b in piece[:-1]]
+        symbols.append(self.final[piece[-1]])
+        count, size, steps, ends, arcs = len(symbols), self.size, self.steps, self.ends, self.arcs
         last = [-1] * (count + 1)
         back = [0] * (count + 1)
         for begin in range(count):
-            state, node, at = last[begin], 0, begin
-            while at < count:
-                node = steps.get(node * size + symbols[at], -1)
-                if node < 0:
+            row, node, at = last[begin] * size, 0, begin
+            for symbol in symbols[begin : begin + self.longest]:
+                node = steps.get(node * size + symbol)
+                if node is None:
                     break
                 at += 1
-                token = ends[node]
-                if token >= 0 and last[at] < 0 and (begin == 0 or self.follows(state, token)):
-                    last[at], back[at] = token, begin
+                if last[at] < 0:
+                    token = ends[node]
+                    if token >= 0:
+                        known = begin == 0 or arcs.get(row + token)
+                        if known or (known is None and self.follows(last[begin], token)):
+                            last[at], back[at] = token, begin
         tokens = []
         while count:
             tokens.append(last[count])
