@@ -108,3 +108,22 @@ def test_one_brand_with_most_rows(spark):
     assert {b: r.model_cnt for b, r in found.items()} == {b: len(m) for b, m in expected.items()}
     assert {b: r.order_cnt for b, r in found.items()} == counts
     assert found["hot"].total_revenue == counts["hot"] * 10.25
+
+
+def test_sums_do_not_depend_on_partitions_at_any_size(spark):
+    money = spark.range(6_000_000).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 10**4 + 0.0001).alias("x"))
+    ratios = spark.range(60_000).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / F.lit(7.0e9)).alias("x"))
+    from tillwise.functions.numeric import RATIO_SCALE
+
+    for frame, scale in ((money, 10**6), (ratios, RATIO_SCALE)):
+        found = {frame.repartition(n).agg(stable_sum(F.col("x"), scale).alias("s")).first().s for n in (1, 3)}
+        found |= {frame.coalesce(n).agg(stable_sum(F.col("x"), scale).alias("s")).first().s for n in (2, 8)}
+        assert len(found) == 1
+
+
+def test_odd_values_pass_through(spark):
+    rows = [("a", 1.5), ("a", float("nan")), ("b", float("inf")), ("b", 2.0), ("c", None), ("d", -0.25), ("d", 1e30)]
+    frame = spark.createDataFrame(rows, "k string, x double")
+    found = {r.k: r.s for r in frame.groupBy("k").agg(stable_sum(F.col("x")).alias("s")).collect()}
+    assert found["a"] != found["a"] and found["b"] == float("inf") and found["c"] is None
+    assert found["d"] == 1e30

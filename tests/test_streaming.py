@@ -81,7 +81,7 @@ def test_alert_row_and_message(spark):
 
 def test_empty_batch_is_skipped(spark):
     calls = []
-    count = alerts.write_batch(alerts.alert_frame(messages(spark, "{}")), 3, [lambda frame, batch: calls.append(batch)])
+    count = alerts.write_batch(alerts.alert_frame(messages(spark, "{}")), ("run", 3), [lambda frame, batch: calls.append(batch)])
     assert (count, calls) == (0, [])
 
 
@@ -91,8 +91,8 @@ def test_batch_goes_to_every_sink(spark):
     def sink(frame, batch):
         seen.append((batch, frame.count()))
 
-    assert alerts.write_batch(alerts.alert_frame(messages(spark, LOSS, LOSS)), 7, [sink, sink]) == 2
-    assert seen == [(7, 2), (7, 2)]
+    assert alerts.write_batch(alerts.alert_frame(messages(spark, LOSS, LOSS)), ("run", 7), [sink, sink]) == 2
+    assert seen == [(("run", 7), 2)] * 2
 
 
 def test_replayed_batch_replaces_its_own_rows(spark, tmp_path):
@@ -100,10 +100,10 @@ def test_replayed_batch_replaces_its_own_rows(spark, tmp_path):
     clock = F.lit("2026-01-02 03:04:05").cast("timestamp")
     tagged = rules.alerts_only(rules.tag(parse_events(messages(spark, LOSS))))
     frame = alerts.enrich(tagged, clock)
-    for batch in (0, 1, 1):
+    for batch in (("first", 0), ("first", 1), ("first", 1), ("second", 0)):
         sink(frame, batch)
     archive = alerts.read_archive(spark, sink.path)
-    assert archive.count() == 2
+    assert archive.count() == 3
     assert {r.dt for r in archive.collect()} == {"2026-01-02"}
 
 
@@ -129,11 +129,17 @@ def test_stream_equals_batch_and_resumes(spark, root, landed, tmp_path):
     expected = alerts.alert_frame(star.sale_event_json(star.sale_events(spark, root)))
     plain = [c for c in stored.columns if c not in ("triggered_at", "dt")]
     assert lines(stored.select(*plain)) == lines(expected.select(*plain))
-    topic = spark.read.text(f"{sinks[1].path}/*")
+    topic = spark.read.text(sinks[1].path)
     assert topic.count() == stored.count()
     # a second start with the same checkpoint finds nothing new
     run()
     assert alerts.read_archive(spark, sinks[0].path).count() == stored.count()
+    # a new checkpoint counts its batches from 0 again and must not touch what is there
+    before = stored.count()
+    again = StreamConf(checkpoint=str(tmp_path / "other"), available_now=True)
+    alerts.start_alert_query(readers.file_messages(spark, landed), sinks, again).awaitTermination()
+    assert alerts.read_archive(spark, sinks[0].path).count() == 2 * before
+    assert spark.read.text(sinks[1].path).count() == 2 * before
 
 
 def test_minute_stream_equals_batch(spark, root, landed, tmp_path):

@@ -15,7 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.buckets import year_month_label
-from tillwise.functions.numeric import MONEY_SCALE, fraction_units, from_parts, safe_ratio, whole_part
+from tillwise.functions.numeric import (
+    MONEY_SCALE,
+    fraction_units,
+    from_parts,
+    safe_ratio,
+    uncounted,
+    whole_part,
+)
 
 
 @dataclass(frozen=True)
@@ -32,19 +39,18 @@ class Measure:
         value = F.col(self.source)
         if not self.money:
             return {self.name: F.sum(value.cast("bigint"))}
-        return {
-            f"{self.name}_whole": F.sum(whole_part(value)),
-            f"{self.name}_units": F.sum(fraction_units(value, MONEY_SCALE)),
-        }
+        columns = (whole_part(value), fraction_units(value, MONEY_SCALE), uncounted(value))
+        return dict(zip(self.parts, map(F.sum, columns), strict=True))
 
     @property
     def parts(self) -> tuple[str, ...]:
-        return (f"{self.name}_whole", f"{self.name}_units") if self.money else (self.name,)
+        if not self.money:
+            return (self.name,)
+        return tuple(f"{self.name}_{part}" for part in ("whole", "units", "odd"))
 
     def total(self) -> Column:
         if self.money:
-            whole, units = self.parts
-            return from_parts(F.col(whole), F.col(units), MONEY_SCALE)
+            return from_parts(*map(F.col, self.parts), MONEY_SCALE)
         return F.col(self.name)
 
 

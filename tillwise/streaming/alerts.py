@@ -20,7 +20,7 @@ from tillwise.streaming.rules import DEFAULTS, alerts_only, entity, tag
 
 log = logging.getLogger(__name__)
 
-ID_INPUTS = ("event_id", "brand", "model", "promotion", "unit_price", "sales_qty", "alert_type")
+ID_INPUTS = ("event_id", "brand", "model", "promotion", "unit_price", "sales_qty", "alert_type", "event_time")
 COLUMNS = (*schemas.REALTIME_ALERT.names, "dt")
 
 # Alert columns and their names in the alert message.
@@ -37,9 +37,14 @@ MESSAGE_FIELDS = {
 MESSAGE_TIME = "yyyy-MM-dd'T'HH:mm:ss"
 
 
+def _id_text(name: str) -> Column:
+    # microseconds since 1970: the same in every session time zone
+    return (F.unix_micros(name) if name == "event_time" else F.col(name)).cast("string")
+
+
 def alert_id() -> Column:
     """Same event and rule, same id: a replayed batch repeats its ids."""
-    parts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ID_INPUTS]
+    parts = [F.coalesce(_id_text(name), F.lit("")) for name in ID_INPUTS]
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
@@ -60,32 +65,42 @@ def enrich(alerts: DataFrame, clock: Column | None = None) -> DataFrame:
     )
 
 
-def alert_messages(alerts: DataFrame) -> DataFrame:
-    """``key`` and JSON ``value`` for the alert topic."""
+def alert_messages(alerts: DataFrame, *more: str) -> DataFrame:
+    """``key`` and JSON ``value`` for the alert topic, and further columns as they are."""
     fields = []
     for column, field in MESSAGE_FIELDS.items():
         value = F.date_format(column, MESSAGE_TIME) if column == "triggered_at" else F.col(column)
         fields.append(value.alias(field))
-    return alerts.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+    return alerts.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"), *more)
 
 
-Sink = Callable[[DataFrame, int], None]
+# a batch number alone repeats with a new checkpoint, so a batch is named by query and number
+Batch = tuple[str, int]
+Sink = Callable[[DataFrame, Batch], None]
+
+
+def _write_parts(rows: DataFrame, batch: Batch, path: str, form: str) -> None:
+    """Replace the files of this batch, whatever day they fall on; no other batch is touched."""
+    run, number = batch
+    (
+        rows.withColumns({"run": F.lit(run), "batch_id": F.lit(number)})
+        .hint("rebalance")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt", "run", "batch_id")
+        .format(form)
+        .save(path)
+    )
 
 
 @dataclass(frozen=True)
 class ArchiveSink:
-    """Parquet archive by day and batch; writing a batch again replaces its own files."""
+    """Parquet archive by day, query and batch; writing a batch again replaces its own files."""
 
     path: str
 
-    def __call__(self, alerts: DataFrame, batch_id: int) -> None:
-        (
-            alerts.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dt", "batch_id")
-            .parquet(self.path)
-        )
+    def __call__(self, alerts: DataFrame, batch: Batch) -> None:
+        _write_parts(alerts, batch, self.path, "parquet")
 
 
 @dataclass(frozen=True)
@@ -97,7 +112,7 @@ class KafkaAlertSink:
     def options(self) -> dict[str, str]:
         return {"kafka.bootstrap.servers": self.conf.bootstrap_servers, "topic": self.conf.alert_topic}
 
-    def __call__(self, alerts: DataFrame, batch_id: int) -> None:
+    def __call__(self, alerts: DataFrame, batch: Batch) -> None:
         alert_messages(alerts).write.format("kafka").options(**self.options()).save()
 
 
@@ -107,12 +122,11 @@ class JsonFileSink:
 
     path: str
 
-    def __call__(self, alerts: DataFrame, batch_id: int) -> None:
-        messages = alert_messages(alerts).select("value")
-        messages.write.mode("overwrite").text(f"{self.path}/batch_id={batch_id}")
+    def __call__(self, alerts: DataFrame, batch: Batch) -> None:
+        _write_parts(alert_messages(alerts, "dt").select("value", "dt"), batch, self.path, "text")
 
 
-def write_batch(alerts: DataFrame, batch_id: int, sinks: Sequence[Sink]) -> int:
+def write_batch(alerts: DataFrame, batch: Batch, sinks: Sequence[Sink]) -> int:
     """Give one micro-batch to every sink in turn; returns the number of alerts.
 
     The batch is cached because each sink runs its own job, and counted while the first
@@ -121,15 +135,15 @@ def write_batch(alerts: DataFrame, batch_id: int, sinks: Sequence[Sink]) -> int:
     cached = alerts.persist()
     try:
         if cached.isEmpty():
-            log.info("batch %s: no alerts", batch_id)
+            log.info("batch %s: no alerts", batch)
             return 0
-        seen = Observation(f"alerts-{batch_id}")
+        seen = Observation(f"alerts-{batch[1]}")
         first, *rest = sinks
-        first(cached.observe(seen, F.count(F.lit(1)).alias("rows")), batch_id)
+        first(cached.observe(seen, F.count(F.lit(1)).alias("rows")), batch)
         for sink in rest:
-            sink(cached, batch_id)
+            sink(cached, batch)
         count = seen.get["rows"]
-        log.info("batch %s: %s alerts to %s sinks", batch_id, count, len(sinks))
+        log.info("batch %s: %s alerts to %s sinks", batch, count, len(sinks))
         return count
     finally:
         cached.unpersist()
@@ -148,10 +162,15 @@ def start_alert_query(
         {"availableNow": True} if conf.available_now else {"processingTime": f"{conf.trigger_seconds} seconds"}
     )
 
+    # the id of the query lasts as long as its checkpoint; it is known once start() returns
+    started = threading.Event()
+    running: list[StreamingQuery] = []
+
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, sinks)
+        started.wait()
+        write_batch(batch, (str(running[0].id), batch_id), sinks)
 
-    return (
+    query = (
         alert_frame(messages, thresholds)
         .writeStream.queryName(conf.query_name)
         .outputMode("append")
@@ -160,6 +179,9 @@ def start_alert_query(
         .foreachBatch(deliver)
         .start()
     )
+    running.append(query)
+    started.set()
+    return query
 
 
 def run_until_stopped(query: StreamingQuery) -> None:
@@ -175,6 +197,10 @@ def run_until_stopped(query: StreamingQuery) -> None:
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archived alerts in declared order."""
-    partitions = [T.StructField("dt", T.StringType()), T.StructField("batch_id", T.LongType())]
+    partitions = [
+        T.StructField("dt", T.StringType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
     schema = T.StructType([*schemas.REALTIME_ALERT.fields, *partitions])
     return spark.read.schema(schema).parquet(path).select(*COLUMNS)

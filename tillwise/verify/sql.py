@@ -13,10 +13,11 @@ from tillwise.operators.results import FACTORS, TREND_METRICS
 from tillwise.streaming.rules import CONTENT_LABELS, LEVELS, TITLES
 
 
-def _sum(column: str, scale: str = "1e9") -> str:
-    """Sum of whole parts plus sum of fraction units, independent of the row order."""
-    units = f"SUM(ROUND_EVEN(({column} - FLOOR({column})) * {scale}, 0))"
-    return f"(SUM(FLOOR({column})) + {units} / {scale})"
+def _sum(column: str, digits: int = 6) -> str:
+    """Exact decimal sum of the values, each rounded to so many digits."""
+    total = f"SUM(CAST({column} AS DECIMAL(38, {digits})))"
+    rest = f"CAST(({total} - FLOOR({total})) * {10**digits} AS DOUBLE) / {10**digits}"
+    return f"(CAST(FLOOR({total}) AS DOUBLE) + {rest})"
 
 
 def _ratio(num: str, den: str, default: str = "CAST(0 AS DOUBLE)") -> str:
@@ -374,14 +375,14 @@ SELECT *, {_case({name: f"'{level}'" for name, level in LEVELS.items()})} AS ale
   {_case(_TITLE)} AS alert_title,
   CONCAT_WS(' / ', {", ".join(f"'{label}' || {_CONTENT[name]}" for name, label in CONTENT_LABELS.items())}) AS alert_content,
   SHA256(CONCAT_WS('|', COALESCE(event_id, ''), COALESCE(brand, ''), COALESCE(model, ''), COALESCE(promotion, ''),
-    COALESCE(CAST(unit_price AS VARCHAR), ''), COALESCE(CAST(sales_qty AS VARCHAR), ''), COALESCE(alert_type, ''))) AS alert_id
+    COALESCE(CAST(unit_price AS VARCHAR), ''), COALESCE(CAST(sales_qty AS VARCHAR), ''), COALESCE(alert_type, ''), COALESCE(CAST(EPOCH_US(event_time) AS VARCHAR), ''))) AS alert_id
 FROM typed
 """
 _STEPS["alerts"] = "SELECT * FROM tagged WHERE alert_type IS NOT NULL"
 _STEPS["minute"] = f"""
 SELECT DATE_TRUNC('minute', event_time) AS window_start, DATE_TRUNC('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
   brand, model, CAST(COUNT(*) AS BIGINT) AS event_cnt, CAST(SUM(sales_qty) AS BIGINT) AS qty_sum, {_sum("revenue")} AS revenue_sum,
-  {_sum("gross_profit")} AS profit_sum, {_sum("gross_margin", "1e12")} / CAST(COUNT(gross_margin) AS DOUBLE) AS avg_margin,
+  {_sum("gross_profit")} AS profit_sum, {_sum("gross_margin", 9)} / CAST(COUNT(gross_margin) AS DOUBLE) AS avg_margin,
   CAST(COUNT(alert_type) AS BIGINT) AS alert_cnt, STRFTIME(DATE_TRUNC('minute', event_time), '%Y-%m-%d') AS dt
 FROM typed GROUP BY DATE_TRUNC('minute', event_time), brand, model
 """
