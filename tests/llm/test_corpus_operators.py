@@ -132,6 +132,22 @@ def test_near_duplicates_of_odd_texts(documents):
     assert dart_minhash.classes(documents([])).count() == 0
 
 
+def test_edits_of_one_text_on_both_sides_of_the_threshold(documents):
+    rng = random.Random(11)
+    base = words(rng, 150)
+    choice = words(rng, 12)
+    texts = []
+    for number in range(260):
+        edited = list(base[: 150 - number % 4])
+        for at in rng.sample(range(140), rng.randint(1, 12)):
+            # a small choice makes some edits equal, so that edited runs are shared as well
+            edited[at] = rng.choice(choice)
+        texts.append(" ".join(edited))
+    found = {r.doc_id: r.class_id for r in dart_minhash.classes(documents(texts)).collect()}
+    assert found == plain_classes(dict(enumerate(texts)))
+    assert len(set(found.values())) > 20
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(5)
     params = dart_minhash.Params(bands=256)

@@ -15,8 +15,10 @@ document is its length plus a constant; where a coordinate stays empty the rank
 Signatures are cut into bands; documents that share a band are candidates.  Within a band,
 members are compared with few representatives at first; bands whose members fall into one
 component are done, the others get eight times as many representatives per round, up to
-all members, so no link between components is left untested.  Candidates are compared
-exactly by their texts.  Similarity at the threshold makes a link, links make classes.
+all members, so no link between components is left untested.  Before each round, elements
+that one text alone holds are set aside: they are in no overlap, so what is left of a text
+bounds its similarity to any other, and members too far from all others leave the band.
+Candidates are compared exactly by their texts.  Similarity at the threshold makes a link, links make classes.
 
 Texts of one to four words have one element, all their words.  NULL, empty and blank texts
 have none; each is a class of its own.  Equal texts form one node before anything else, so
@@ -264,13 +266,19 @@ def node_classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
         due = stored(due, "due")
         if not due.limit(1).count():
             break
+        # who leaves a band has no link in it, so the later rounds do without
+        due = _within_reach(_within_reach(due, texts, params).drop("common"), texts, params)
+        live = due.select("bucket", "members", "node", "weight")
         reps = due.where(F.pmod(F.xxhash64("node"), step) == 0).select(
-            "bucket",
+            F.col("bucket").alias("rep_bucket"),
             F.col("node").alias("rep"),
             F.col("weight").alias("rep_weight"),
+            F.col("common").alias("rep_common"),
             F.col("component").alias("rep_component"),
         )
-        cross = due.join(reps, "bucket").where("component <> rep_component")
+        other = (F.col("bucket") == F.col("rep_bucket")) & (F.col("component") != F.col("rep_component"))
+        near = _enough(F.least("common", "rep_common"), F.col("weight") + F.col("rep_weight"), params)
+        cross = due.join(reps, other & near)
         ordered = cross.select(
             F.least("node", "rep").alias("node"),
             F.greatest("node", "rep").alias("rep"),
@@ -292,6 +300,42 @@ def node_classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
+def _enough(overlap: Column, weights: Column, params: Params) -> Column:
+    """Whether an overlap allows the similarity; ``weights`` is the sum of both weights."""
+    return overlap * (1 + params.threshold) >= weights * (params.threshold * (1 - 1e-9))
+
+
+def _within_reach(due: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
+    """Members of ``due`` that can have a link in their band, with ``common``.
+
+    ``common`` is the weight of a text's elements that other texts of ``due`` hold too, and
+    so the most that it can share with any of them.
+    """
+    numbered = stored(due.select("node").distinct().withColumn("number", F.monotonically_increasing_id()), "numbered")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for part in slices(texts_of(batch)):
+                found = elements(part, params.shingle)
+                number = batch.column("number").slice(at, len(part)).to_numpy()
+                at += len(part)
+                columns = (number[found.owner], found.key.view(np.int64), found.weight)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["number", "key", "weight"])
+
+    held = texts.join(numbered, "node").select("number", "text").mapInArrow(task, "number long, key long, weight long")
+    holders = held.groupBy("key").agg(
+        F.count("*").alias("texts"), F.max("number").alias("number"), F.sum("weight").alias("weight")
+    )
+    alone = holders.where("texts = 1").groupBy("number").agg(F.sum("weight").alias("alone"))
+    known = numbered.join(alone, "number", "left").select("node", F.coalesce("alone", F.lit(0)).alias("alone"))
+    rest = stored(due.join(known, "node").withColumn("common", F.col("weight") - F.col("alone")).drop("alone"), "common")
+    bounds = rest.groupBy("bucket").agg(F.min("weight").alias("lightest"), F.max("common").alias("most"))
+    partner = F.greatest(F.col("lightest").cast("double"), F.col("weight") * params.threshold)
+    near = _enough(F.least("common", "most"), F.col("weight") + partner, params)
+    return stored(rest.join(bounds, "bucket").where(near).drop("lightest", "most"), "reach")
+
+
 def _possible(pairs: DataFrame, params: Params) -> DataFrame:
     """Pairs whose total weights allow the similarity."""
     light, heavy = F.least("weight", "rep_weight"), F.greatest("weight", "rep_weight")
