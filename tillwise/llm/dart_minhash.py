@@ -14,8 +14,8 @@ document is its length plus a constant; where a coordinate stays empty the rank
 
 Signatures are cut into bands; documents that share a band are candidates.  Within a band,
 members are compared with few representatives at first; bands whose members fall into one
-component are done, the others get eight times as many representatives per round, up to
-all members, so no link between components is left untested.  Before each round, elements
+component are done, in the others all members are compared across components, so no link
+between components is left untested.  Before each round, elements
 that one text alone holds are set aside: they are in no overlap, so what is left of a text
 bounds its similarity to any other, and members too far from all others leave the band.
 Candidates are compared exactly by their texts.  Similarity at the threshold makes a link, links make classes.
@@ -252,8 +252,8 @@ def node_classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
     pairs = _possible(first.join(weights, "rep"), params)
     links = stored(_links(pairs, texts, params), "links")
     labels = components(links)
-    spread = 3
-    while True:
+    # about 8 representatives per band at first, then all members
+    for before, spread in ((0, 3), (3, 63)):
         members = live.join(labels, "node", "left").select(
             "bucket", "members", "node", "weight", F.coalesce("component", "node").alias("component")
         )
@@ -261,13 +261,13 @@ def node_classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
         step = F.greatest(F.lit(1), F.shiftright("members", spread))
         # a band is through once all of its members have been representatives
         due = members.join(apart.select("bucket"), "bucket").where(
-            (F.shiftright("members", spread - 3) > 1) & (F.col("members") > 2)
+            (F.shiftright("members", before) > 1) & (F.col("members") > 2)
         )
         due = stored(due, "due")
         if not due.limit(1).count():
             break
         # who leaves a band has no link in it, so the later rounds do without
-        due = _within_reach(_within_reach(due, texts, params).drop("common"), texts, params)
+        due = _within_reach(due, texts, params)
         live = due.select("bucket", "members", "node", "weight")
         reps = due.where(F.pmod(F.xxhash64("node"), step) == 0).select(
             F.col("bucket").alias("rep_bucket"),
@@ -289,7 +289,6 @@ def node_classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
         if more.limit(1).count():
             links = stored(links.union(more), "links")
             labels = components(links)
-        spread += 3
     joined = nodes.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     keepers = joined.groupBy("class").agg(F.min("first").alias("keeper"))
     return stored(
