@@ -44,3 +44,16 @@ def components(links: DataFrame) -> DataFrame:
         labels = after.select("node", "component")
         if not after.where("old <> component").limit(1).count():
             return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links, given as pairs of components ``component, rep_component``.
+
+    Only the components are joined, so nodes of settled components take no part in the
+    rounds.  A node without a label is a component of its own.
+    """
+    joined = components(links.select(F.col("component").alias("a"), F.col("rep_component").alias("b")))
+    fresh = joined.select("node", F.col("node").alias("component")).join(labels, "node", "left_anti")
+    into = joined.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    moved = labels.union(fresh).join(into, "component", "left")
+    return stored(moved.select("node", F.coalesce("into", "component").alias("component")), "labels")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.components import components, stored
+from tillwise.llm.components import components, merged, stored
 from tillwise.llm.words import HASH_A, Words, mixed, slices, texts_of
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -214,19 +214,20 @@ def similarities(left: list[bytes], right: list[bytes], shingle: int) -> np.ndar
 
 
 def _links(pairs: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
-    """The pairs ``a, b`` at or above the threshold."""
+    """The pairs ``a, b`` at or above the threshold, with their other binary columns."""
+    kept = pairs.columns
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    both = pairs.join(left, "a").join(right, "b").select(*kept, "left", "right")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 found = similarities(list(texts_of(part, "left")), list(texts_of(part, "right")), params.shingle)
-                yield part.select(["a", "b"]).filter(pa.array(found >= params.threshold))
+                yield part.select(kept).filter(pa.array(found >= params.threshold))
 
-    return both.mapInArrow(task, "a binary, b binary")
+    return both.mapInArrow(task, ", ".join(f"{column} binary" for column in kept))
 
 
 def node_classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
@@ -279,16 +280,16 @@ def node_classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
         other = (F.col("bucket") == F.col("rep_bucket")) & (F.col("component") != F.col("rep_component"))
         near = _enough(F.least("common", "rep_common"), F.col("weight") + F.col("rep_weight"), params)
         cross = due.join(reps, other & near)
-        ordered = cross.select(
-            F.least("node", "rep").alias("node"),
-            F.greatest("node", "rep").alias("rep"),
-            F.least("weight", "rep_weight").alias("weight"),
-            F.greatest("weight", "rep_weight").alias("rep_weight"),
-        ).distinct()
+        member = F.struct("node", "weight", "component")
+        other_member = F.struct(*(F.col(f"rep_{c}" if c != "node" else "rep").alias(c) for c in ("node", "weight", "component")))
+        ordered = (
+            cross.select(F.least(member, other_member).alias("x"), F.greatest(member, other_member).alias("y"))
+            .distinct()
+            .select("x.*", *(F.col(f"y.{c}").alias(f"rep_{c}" if c != "node" else "rep") for c in ("node", "weight", "component")))
+        )
         more = stored(_links(_possible(ordered, params), texts, params), "links")
         if more.limit(1).count():
-            links = stored(links.union(more), "links")
-            labels = components(links)
+            labels = merged(labels, more)
     joined = nodes.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     keepers = joined.groupBy("class").agg(F.min("first").alias("keeper"))
     return stored(
@@ -338,7 +339,8 @@ def _within_reach(due: DataFrame, texts: DataFrame, params: Params) -> DataFrame
 def _possible(pairs: DataFrame, params: Params) -> DataFrame:
     """Pairs whose total weights allow the similarity."""
     light, heavy = F.least("weight", "rep_weight"), F.greatest("weight", "rep_weight")
-    return pairs.where(light >= params.threshold * heavy).select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    possible = pairs.where(light >= params.threshold * heavy)
+    return possible.drop("weight", "rep_weight").withColumnsRenamed({"node": "a", "rep": "b"})
 
 
 def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
