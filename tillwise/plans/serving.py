@@ -80,12 +80,15 @@ def overview(tables: dict[str, DataFrame], limit: int = 10) -> dict[str, DataFra
 
 def overview_rows(tables: dict[str, DataFrame], limit: int = 10) -> DataFrame:
     """The same blocks as rows of one table, with the block name in front."""
-    blocks = [frame.withColumn("block", F.lit(block)) for block, frame in overview(tables, limit).items()]
-    first, *rest = blocks
-    merged = first
+    return tagged_rows(overview(tables, limit), "block")
+
+
+def tagged_rows(frames: dict[str, DataFrame], tag: str) -> DataFrame:
+    """All frames as rows of one table, named in column ``tag``; columns a frame lacks are NULL."""
+    merged, *rest = [frame.withColumn(tag, F.lit(name)) for name, frame in frames.items()]
     for frame in rest:
         merged = merged.unionByName(frame, allowMissingColumns=True)
-    return merged.select("block", *[c for c in merged.columns if c != "block"])
+    return merged.select(tag, *[c for c in merged.columns if c != tag])
 
 
 def recent_alerts(archive: DataFrame, limit: int = RECENT_ALERTS) -> DataFrame:

@@ -417,12 +417,19 @@ def clean_rename(spark: SparkSession, root: str) -> DataFrame:
     return cleansing.rename(raw)
 
 
+# eight ways to write a day, then four texts that name none
+DATE_TEXTS = (
+    *("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/M/d", "yyyyMMdd", "yyyy-M-d", "M/d/yyyy", "dd-MMM-yyyy", "yyyy-MM-dd'T23:00:00Z'"),
+    *("yyyy-M-d' x'", "'45292'", "yyyyMM'0'", "'1'yyyy-MM-dd"),
+)
+
+
 @query("clean_date")
 def clean_date(spark: SparkSession, root: str) -> DataFrame:
     key, day = F.col("o_orderkey"), F.col("o_orderdate")
     text = F.lit("2024-13-40")
-    for remainder, pattern in enumerate(("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/M/d", "yyyyMMdd")):
-        text = F.when(key % 5 == remainder, F.date_format(day, pattern)).otherwise(text)
+    for remainder, pattern in enumerate(DATE_TEXTS):
+        text = F.when(key % 13 == remainder, F.date_format(day, pattern)).otherwise(text)
     raw = star.table(spark, root, "orders").select(key, text.alias(_DAY))
     return cleansing.coerce(cleansing.rename(raw))
 
@@ -509,28 +516,43 @@ def sink_clean_csv_parquet(spark: SparkSession, root: str) -> DataFrame:
 def sink_dwd_partitioned(spark: SparkSession, root: str) -> DataFrame:
     warehouse = StoredWarehouse(spark, scratch_dir(spark, "dwd"))
     warehouse.store_detail(star.sales_fact(spark, root))
-    whole = F.sum(F.floor("gross_profit").cast("double")).alias("whole_profit")
-    return warehouse.dwd().groupBy("dt").agg(F.count(F.lit(1)).alias("row_cnt"), whole)
+    return warehouse.dwd()
+
+
+@query("ods_refresh_count")
+def ods_refresh_count(spark: SparkSession, root: str) -> DataFrame:
+    folder = scratch_dir(spark, "ods")
+    writers.write_table(star.sales_fact(spark, root), folder)
+    return spark.createDataFrame([(readers.refresh_and_count(spark, folder),)], "row_cnt long")
+
+
+@query("post_write_count")
+def post_write_count(spark: SparkSession, root: str) -> DataFrame:
+    """Rows as counted by the tasks that write the detail fact."""
+    warehouse = StoredWarehouse(spark, scratch_dir(spark, "dwd"))
+    return spark.createDataFrame([(warehouse.store_detail(star.sales_fact(spark, root)),)], "row_cnt long")
 
 
 @query("sink_dws")
 def sink_dws(spark: SparkSession, root: str) -> DataFrame:
     warehouse = StoredWarehouse(spark, scratch_dir(spark, "dws"))
-    table = "dws_sales_by_model"
-    writers.write_table(SalesModel.from_star(spark, root).dws(table), warehouse.path(table))
-    return warehouse.dws(table)
+    fact = SalesModel.from_star(spark, root)
+    for table in ROLLUPS:
+        writers.write_table(fact.dws(table), warehouse.path(table))
+    return serving.tagged_rows({table: warehouse.dws(table) for table in ROLLUPS}, "table_name")
 
 
 @query("sink_ads")
 def sink_ads(spark: SparkSession, root: str) -> DataFrame:
     warehouse = StoredWarehouse(spark, scratch_dir(spark, "ads"))
-    table = "ads_high_value_model"
-    writers.write_table(SalesModel.from_star(spark, root).ads(table), warehouse.path(table))
-    return warehouse.ads(table)
+    fact = SalesModel.from_star(spark, root)
+    for table in schemas.ADS:
+        writers.write_table(fact.ads(table), warehouse.path(table))
+    return serving.tagged_rows({table: warehouse.ads(table) for table in schemas.ADS}, "table_name")
 
 
 @query("batch_pipeline")
 def batch_pipeline(spark: SparkSession, root: str) -> DataFrame:
     warehouse = StoredWarehouse(spark, scratch_dir(spark, "pipeline"))
     run_pipeline(warehouse, star.sales_fact(spark, root))
-    return serving.overview_rows({table: warehouse.ads(table) for table in serving.OVERVIEW.values()})
+    return serving.tagged_rows({table: warehouse.ads(table) for table in schemas.ADS}, "table_name")

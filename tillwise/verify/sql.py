@@ -8,9 +8,48 @@ from __future__ import annotations
 
 import re
 
-from tillwise.operators.dictionary import builtin_names
-from tillwise.operators.results import FACTORS, TREND_METRICS
-from tillwise.streaming.rules import CONTENT_LABELS, LEVELS, TITLES
+# Metric codes, their daily column and label; factors, levels, titles and texts.
+TREND_METRICS = {
+    "revenue": ("total_revenue", "营收"),
+    "qty": ("total_qty", "销量"),
+    "unit_price": ("avg_unit_price", "平均客单价"),
+    "cost": ("total_cost", "总成本"),
+    "marketing": ("total_marketing", "营销费用"),
+    "gross_profit": ("total_gross_profit", "毛利"),
+    "gross_margin": ("gross_margin", "毛利率"),
+    "marketing_ratio": ("marketing_ratio", "营销费用率"),
+}
+FACTORS = {"unit_price": "客单价", "sales_qty": "销量", "cost": "成本", "marketing": "营销费用", "other": "其他"}
+LEVELS = {
+    "big_loss": "high",
+    "marketing_burnout": "mid",
+    "profit_anomaly": "mid",
+    "price_outlier": "low",
+    "qty_spike": "low",
+}
+TITLES = {
+    "big_loss": ("【高】单笔大额亏损 ", " 毛利 ", " 元"),
+    "marketing_burnout": ("【中】营销费率超阈 ", " ", "%"),
+    "profit_anomaly": ("【中】毛利率异常 ", " ", "%"),
+    "price_outlier": ("【低】客单价离群 ", " ", " 元"),
+    "qty_spike": ("【低】销量爆单 ", " ", " 台"),
+}
+CONTENT_LABELS = {
+    "promotion": "渠道=",
+    "unit_price": "单价=",
+    "sales_qty": "销量=",
+    "revenue": "营收=",
+    "gross_profit": "毛利=",
+    "gross_margin": "毛利率=",
+}
+# Display names of those metric codes that the dictionary holds.
+METRIC_DISPLAY = {
+    "revenue": "营收",
+    "unit_price": "客单价",
+    "gross_profit": "毛利",
+    "gross_margin": "毛利率",
+    "marketing_ratio": "营销费用率",
+}
 
 
 def _sum(column: str, digits: int = 6) -> str:
@@ -433,7 +472,7 @@ _DETAIL_KEY = "sale_date, unit_price, sales_qty"
 
 
 def _display_name(column: str) -> str:
-    entries = " ".join(f"WHEN '{name}' THEN '{label}'" for name, label in builtin_names().items())
+    entries = " ".join(f"WHEN '{name}' THEN '{label}'" for name, label in METRIC_DISPLAY.items())
     return f"CASE {column} {entries} ELSE {column} END"
 
 
@@ -444,9 +483,31 @@ _OVERVIEW_STEPS = {
     "segmentTopMargins": "top_segment",
     "growthPotentials": "potential",
 }
-_OVERVIEW = " UNION ALL BY NAME ".join(
-    f"(SELECT '{block}' AS block, * FROM {step})" for block, step in _OVERVIEW_STEPS.items()
-)
+_DWS_STEPS = {
+    "dws_sales_daily": "daily",
+    "dws_sales_monthly": "monthly",
+    "dws_sales_by_brand": "by_brand",
+    "dws_sales_by_model": "by_model",
+    "dws_sales_by_channel": "by_channel",
+    "dws_sales_by_segment": "by_segment",
+}
+_ADS_STEPS = {
+    "ads_profit_anomaly": "anomaly",
+    "ads_metric_trend": "trend",
+    "ads_low_contrib_model": "low_model",
+    "ads_low_contrib_channel": "low_channel",
+    "ads_profit_decomp": "decomp",
+    "ads_high_value_model": "high_value",
+    "ads_segment_top_margin": "top_segment",
+    "ads_growth_potential": "potential",
+}
+
+
+def _named(steps: dict[str, str], tag: str) -> str:
+    return " UNION ALL BY NAME ".join(f"(SELECT '{name}' AS {tag}, * FROM {step})" for name, step in steps.items())
+
+
+_OVERVIEW = _named(_OVERVIEW_STEPS, "block")
 _ALERT_COLUMNS = (
     "alert_id, alert_type, alert_level, alert_title, alert_content, related_entity, deviation, event_id, event_time, brand, model, "
     "promotion, unit_price, sales_qty, revenue, gross_profit, gross_margin, marketing_ratio"
@@ -569,7 +630,7 @@ def _cleaning() -> dict[str, str]:
     day = "STRFTIME(o_orderdate, '%Y-%m-%d')"
     return {
         "clean_dedupe": "SELECT DISTINCT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem",
-        "clean_date": f"SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 4 THEN NULL ELSE CAST({day} AS DATE) END AS sale_date FROM orders",
+        "clean_date": f"SELECT o_orderkey, CASE WHEN o_orderkey % 13 >= 8 THEN NULL ELSE CAST({day} AS DATE) END AS sale_date FROM orders",
         "clean_ints": "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber = 3 THEN NULL"
         " ELSE CAST(ROUND_EVEN(l_quantity / 2, 0) AS INTEGER) END AS sales_qty FROM lineitem",
         "clean_floats": "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber <> 2 THEN l_extendedprice * l_tax END"
@@ -615,10 +676,12 @@ def _stored() -> dict[str, str]:
         "src_ods": "SELECT * FROM ods",
         "src_raw_table": "SELECT COUNT(*) AS row_cnt, COUNT(DISTINCT l_shipdate) AS day_cnt FROM lineitem",
         "ods_publish": "SELECT sale_date, COUNT(*) AS row_cnt FROM ods GROUP BY ALL",
-        "sink_dwd_partitioned": "SELECT dt, COUNT(*) AS row_cnt, SUM(FLOOR(gross_profit)) AS whole_profit FROM dwd GROUP BY ALL",
-        "sink_dws": "SELECT * FROM by_model",
-        "sink_ads": "SELECT * FROM high_value",
-        "batch_pipeline": _OVERVIEW,
+        "ods_refresh_count": "SELECT COUNT(*) AS row_cnt FROM ods",
+        "post_write_count": "SELECT COUNT(*) AS row_cnt FROM dwd",
+        "sink_dwd_partitioned": "SELECT * FROM dwd",
+        "sink_dws": _named(_DWS_STEPS, "table_name"),
+        "sink_ads": _named(_ADS_STEPS, "table_name"),
+        "batch_pipeline": _named(_ADS_STEPS, "table_name"),
         "st_minute_metric_stream": """SELECT * FROM minute
   WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 5 MINUTE""",
     }
