@@ -278,6 +278,19 @@ def test_terms_that_give_an_entity_away(documents):
     assert disclosure.sanitised(docs).columns == docs.columns
 
 
+def test_terms_near_values_that_never_repeat(documents):
+    rng = random.Random(12)
+    fill = lambda: " ".join(words(rng, 4))
+    texts = [f"{fill()} Qx {fill()} person{i}@host{i}.org {fill()}" for i in range(8)]
+    texts += [f"{fill()} 山田 {fill()} 10.{i}.0.1 {fill()}" for i in range(8)]
+    texts += [f"{fill()} {fill()}" for _ in range(300)]
+    rows = {r.doc_id: r for r in disclosure.report(disclosure.find(documents(texts))).collect()}
+    for d, word in [(i, "Qx") for i in range(8)] + [(i, "山田") for i in range(8, 16)]:
+        place = texts[d].index(word)
+        assert f"term:{place}:{place + 2}" in rows[d].spans.split(",")
+    assert all(r.n_term == 0 for d, r in rows.items() if d >= 16)
+
+
 # --- toxicity -------------------------------------------------------------------------
 
 

@@ -1,18 +1,20 @@
 """Information-theoretic sanitisation of personal data, in DataFrame operations alone.
 
 Protected entities are the mail addresses, IP addresses, card and phone numbers that fixed
-patterns find.  A term is a run of four letters or more.  The corpus tells how strongly a
-term reveals an entity that it stands near: with p(e) the share of the entity's contexts
-among all term occurrences, p(t) that of the term, and p(t, e) that of the term within
-``reach`` characters of the entity,
+patterns find.  A term is a run of letters of any length.  Personal data rarely repeats, so
+the entities near which a term stands are pooled: once by kind, and once by their value in
+a normal form.  Counted in pairs of a term and a text, with p(g) the share of pairs that
+stand within ``reach`` characters of a group g of entities, c(t) the texts of the term and
+c(t, g) those in which it stands near the group,
 
-    disclosure(t, e) = log2(p(t, e) / (p(t) p(e))) / -log2(p(e)),
+    p(g | t) = (c(t, g) - 1 + smoothing p(g)) / (c(t) - 1 + smoothing)
+    disclosure(t, g) = log2(p(g | t) / p(g)) / -log2(p(g)),
 
-pointwise mutual information over information content.  It is 1 when the term never occurs
-without the entity.  Near an entity, terms whose disclosure reaches ``generalise_at`` are
-replaced by the kind of entity they point to, and those reaching ``remove_at`` are removed.
-Contexts that repeat word for word count once, so copies of a text prove nothing; a pair
-needs ``support`` different contexts.  Both limits and the support are parameters.
+pointwise mutual information over information content.  The text in which a pair is met
+first is no evidence for it, so a word of a single text says nothing, and there is no other
+least number of texts.  Disclosure nears 1 for a term that is met again and again, never
+without the group.  Terms whose disclosure reaches ``generalise_at`` are replaced by the
+kind of entity they point to, and those reaching ``remove_at`` are removed.
 
 Spans are offsets in code points, end exclusive; base spans always stay.  Terms that touch
 a base span are no spans of their own.  NULL and empty texts have no spans and stay as they
@@ -40,14 +42,14 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TERM = r"(?<!\p{L})\p{L}{4,}+"
+TERM = r"\p{L}[\p{L}\p{M}]*+"
 _SPAN = "struct<start:int,stop:int,rank:int,kind:string>"
 
 
 @dataclass(frozen=True)
 class Params:
     reach: int = 80
-    support: int = 3
+    smoothing: float = 1.0
     generalise_at: float = 0.9
     remove_at: float = 0.98
 
@@ -130,20 +132,34 @@ def _named(found: Column, rank: int, kind: str) -> Column:
     )
 
 
+def normal_value(kind: Column, value: Column) -> Column:
+    """One form of an entity for all ways to write it."""
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    plain = F.when(kind == "ip", F.regexp_replace(value, r"(?<![0-9])0+(?=[0-9])", "")).otherwise(F.lower(value))
+    return F.when(kind.isin("card", "phone"), digits).otherwise(plain)
+
+
+def _words(text: Column) -> Column:
+    """The different terms of a text, in lower case; those inside mail addresses are no terms."""
+    bare = F.when(text.contains("@"), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
+    return F.array_distinct(F.regexp_extract_all(F.lower(bare), F.lit(TERM), F.lit(0)))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
 
 
 def _around(base: DataFrame, reach: int) -> DataFrame:
-    """Terms near each base span: ``doc_id, text_key, entity, kind, context, term, start, stop``."""
+    """Terms near each base span: ``doc_id, text_key, groups, kind, term, start, stop``."""
     one = base.select("doc_id", "text_key", "windows", F.explode("windows").alias("w"))
     sides = one.select(
         "doc_id",
         "text_key",
-        F.concat_ws(":", F.col("w.kind"), F.lower("w.value")).alias("entity"),
+        F.array(
+            F.col("w.kind"), F.concat_ws(":", F.col("w.kind"), normal_value(F.col("w.kind"), F.col("w.value")))
+        ).alias("groups"),
         F.col("w.kind").alias("kind"),
-        F.xxhash64("w.left", "w.right").alias("context"),
         F.explode(
             F.array(
                 F.struct(F.col("w.left").alias("side"), F.col("w.left_at").alias("at"), F.col("w.left_cut").alias("cut"), F.lit(True).alias("before")),
@@ -157,9 +173,8 @@ def _around(base: DataFrame, reach: int) -> DataFrame:
     return terms.where(~(F.col("s.cut") & at_edge)).select(
         "doc_id",
         "text_key",
-        "entity",
+        "groups",
         "kind",
-        "context",
         F.lower("m.value").alias("term"),
         (F.col("s.at") + F.col("m.start")).alias("start"),
         (F.col("s.at") + F.col("m.stop")).alias("stop"),
@@ -197,28 +212,25 @@ def find(docs: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
     near = stored(_around(base.where(F.size("windows") > 0), reach), "near")
-    contexts = near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("c_e"))
-    pairs = (
-        near.select("entity", "kind", "term", "context")
-        .distinct()
-        .groupBy("entity", "kind", "term")
-        .agg(F.count("*").alias("c_te"))
-        .where(F.col("c_te") >= params.support)
-    )
-    terms = keyed.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
+    near = near.withColumn("group", F.explode("groups"))
+    met = near.select("group", "kind", "term", "doc_id", "text_key").distinct()
+    pairs = stored(met.groupBy("group", "kind", "term").agg(F.count("*").alias("c_tg")), "pairs")
+    groups = pairs.groupBy("group").agg(F.sum("c_tg").alias("c_g"))
+    terms = keyed.select(F.explode(_words(F.col("text"))).alias("term"))
     counts = stored(terms.groupBy("term").agg(F.count("*").alias("c_t")), "terms")
     total = F.lit(max(2, counts.agg(F.sum("c_t")).first()[0] or 0))
-    joined = pairs.join(counts, "term").join(contexts, "entity")
-    gain = F.log2(F.col("c_te") * total / (F.col("c_t") * F.col("c_e")))
-    content = F.log2(total / F.least(F.col("c_e"), total / 2))
-    telling = joined.withColumn("disclosure", gain / content).where(F.col("disclosure") >= params.generalise_at)
+    share = F.least(F.col("c_g") / total, F.lit(0.5))
+    given = (F.col("c_tg") - 1 + params.smoothing * share) / (F.col("c_t") - 1 + params.smoothing)
+    joined = pairs.join(counts, "term").join(groups, "group")
+    telling = joined.withColumn("disclosure", F.log2(given / share) / -F.log2(share))
+    telling = telling.where(F.col("disclosure") >= params.generalise_at)
     removed = F.col("disclosure") >= params.remove_at
     marked = telling.select(
-        "entity",
+        "group",
         "term",
         F.when(removed, F.lit("")).otherwise(F.concat(F.lit("["), F.upper("kind"), F.lit("-RELATED]"))).alias("mark"),
     )
-    hits = near.join(marked, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "stop").agg(F.min("mark").alias("mark"))
+    hits = near.join(marked, ["group", "term"]).groupBy("doc_id", "text_key", "start", "stop").agg(F.min("mark").alias("mark"))
     span = F.struct(
         "start", "stop", F.lit(len(BASE_KINDS)).alias("rank"), F.lit("term").alias("kind"), "mark"
     )
