@@ -291,6 +291,20 @@ def test_terms_near_values_that_never_repeat(documents):
     assert all(r.n_term == 0 for d, r in rows.items() if d >= 16)
 
 
+def test_copies_do_not_change_which_terms_disclose(documents):
+    rng = random.Random(13)
+    fill = lambda: " ".join(words(rng, 4))
+    texts = [f"{fill()} Zanzibar writes to boss@corp.org {fill()}" for _ in range(5)]
+    texts += [f"{fill()} Zanzibar and {' '.join(words(rng, 40))} boss@corp.org" for _ in range(2)]
+    texts += [f"{fill()} {fill()}" for _ in range(100)]
+    alone = [r.spans for r in disclosure.report(disclosure.find(documents(texts))).orderBy("doc_id").collect()]
+    for copied in (texts[0], texts[5]):
+        rows = disclosure.report(disclosure.find(documents([*texts, *[copied] * 200]))).orderBy("doc_id").collect()
+        assert [r.spans for r in rows[: len(texts)]] == alone
+        assert {r.spans for r in rows[len(texts) :]} == {alone[texts.index(copied)]}
+    assert "term:" in alone[0]
+
+
 # --- toxicity -------------------------------------------------------------------------
 
 

@@ -5,7 +5,8 @@ patterns find.  A term is a run of letters of any length.  Personal data rarely
 the entities near which a term stands are pooled: once by kind, and once by their value in
 a normal form.  Counted in pairs of a term and a text, with p(g) the share of pairs that
 stand within ``reach`` characters of a group g of entities, c(t) the texts of the term and
-c(t, g) those in which it stands near the group,
+c(t, g) those in which it stands near the group (texts
+that are equal count once, so copies prove nothing),
 
     p(g | t) = (c(t, g) - 1 + smoothing p(g)) / (c(t) - 1 + smoothing)
     disclosure(t, g) = log2(p(g | t) / p(g)) / -log2(p(g)),
@@ -213,10 +214,11 @@ def find(docs: DataFrame, params: Params = Params()) -> DataFrame:
 
     near = stored(_around(base.where(F.size("windows") > 0), reach), "near")
     near = near.withColumn("group", F.explode("groups"))
-    met = near.select("group", "kind", "term", "doc_id", "text_key").distinct()
+    met = near.select("group", "kind", "term", "text_key").distinct()
     pairs = stored(met.groupBy("group", "kind", "term").agg(F.count("*").alias("c_tg")), "pairs")
     groups = pairs.groupBy("group").agg(F.sum("c_tg").alias("c_g"))
-    terms = keyed.select(F.explode(_words(F.col("text"))).alias("term"))
+    texts = keyed.groupBy("text_key").agg(F.first("text").alias("text"))
+    terms = texts.select(F.explode(_words(F.col("text"))).alias("term"))
     counts = stored(terms.groupBy("term").agg(F.count("*").alias("c_t")), "terms")
     total = F.lit(max(2, counts.agg(F.sum("c_t")).first()[0] or 0))
     share = F.least(F.col("c_g") / total, F.lit(0.5))
