@@ -305,6 +305,24 @@ def test_copies_do_not_change_which_terms_disclose(documents):
     assert "term:" in alone[0]
 
 
+def test_disclosing_terms_are_marked_everywhere(documents):
+    rng = random.Random(14)
+    fill = lambda n=4: " ".join(words(rng, n))
+    near = [f"Zanzibar: {fill(60)} 😀 ZANZIBAR writes to boss@corp.org {fill()}" for _ in range(8)]
+    texts = [*near, f"{fill(30)} zanzibar, and {fill()} Zanzibar", f"Zanzibar{fill()} zanzibar@else.org"]
+    texts += [f"{fill()} {fill()}" for _ in range(300)]
+    docs = documents([*texts, texts[0]])
+    rows = {r.doc_id: r for r in disclosure.report(disclosure.find(docs)).collect()}
+    assert len(rows) == len(texts) + 1
+    for d, text in [*enumerate(texts), (len(texts), texts[0])]:
+        places = [m.span() for m in re.finditer(r"\bzanzibar\b(?!@)", text, re.IGNORECASE)]
+        assert {f"term:{a}:{b}" for a, b in places} <= set(rows[d].spans.split(","))
+        assert (rows[d].n_term > 0) == bool(places)
+    clean = {r.doc_id: r.text for r in disclosure.sanitised(docs).collect()}
+    assert all("zanzibar" not in clean[d].lower() for d in [*range(9), len(texts)])
+    assert clean[9] == texts[9].replace("zanzibar@else.org", "[EMAIL]")
+
+
 # --- toxicity -------------------------------------------------------------------------
 
 

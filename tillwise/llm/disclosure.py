@@ -14,8 +14,9 @@ that are equal count once, so copies prove nothing),
 pointwise mutual information over information content.  The text in which a pair is met
 first is no evidence for it, so a word of a single text says nothing, and there is no other
 least number of texts.  Disclosure nears 1 for a term that is met again and again, never
-without the group.  Terms whose disclosure reaches ``generalise_at`` are replaced by the
-kind of entity they point to, and those reaching ``remove_at`` are removed.
+without the group.  Wherever they stand, in any text, terms whose disclosure reaches
+``generalise_at`` are replaced by the kind of entity they point to, and those reaching
+``remove_at`` are removed.
 
 Spans are offsets in code points, end exclusive; base spans always stay.  Terms that touch
 a base span are no spans of their own.  NULL and empty texts have no spans and stay as they
@@ -151,35 +152,53 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
 
 
-def _around(base: DataFrame, reach: int) -> DataFrame:
-    """Terms near each base span: ``doc_id, text_key, groups, kind, term, start, stop``."""
-    one = base.select("doc_id", "text_key", "windows", F.explode("windows").alias("w"))
-    sides = one.select(
-        "doc_id",
-        "text_key",
-        F.array(
-            F.col("w.kind"), F.concat_ws(":", F.col("w.kind"), normal_value(F.col("w.kind"), F.col("w.value")))
-        ).alias("groups"),
-        F.col("w.kind").alias("kind"),
-        F.explode(
-            F.array(
-                F.struct(F.col("w.left").alias("side"), F.col("w.left_at").alias("at"), F.col("w.left_cut").alias("cut"), F.lit(True).alias("before")),
-                F.struct(F.col("w.right").alias("side"), F.col("w.right_at").alias("at"), F.col("w.right_cut").alias("cut"), F.lit(False).alias("before")),
-            )
-        ).alias("s"),
-    )
-    terms = sides.select("*", F.explode(located(F.col("s.side"), TERM)).alias("m"))
-    # a term that the edge of the window may have cut is left out
-    at_edge = F.when(F.col("s.before"), F.col("m.start") == 0).otherwise(F.col("m.stop") == F.length("s.side"))
-    return terms.where(~(F.col("s.cut") & at_edge)).select(
-        "doc_id",
-        "text_key",
-        "groups",
-        "kind",
-        F.lower("m.value").alias("term"),
-        (F.col("s.at") + F.col("m.start")).alias("start"),
-        (F.col("s.at") + F.col("m.stop")).alias("stop"),
-    )
+def _near(keyed: DataFrame, reach: int) -> DataFrame:
+    """Terms within ``reach`` of each base span: ``text_key, kind, groups, term``."""
+    text, size = F.col("text"), F.length("text")
+
+    def window(s: Column) -> Column:
+        begin = F.greatest(s["start"] - reach, F.lit(0))
+        left = F.substring(text, begin + 1, s["start"] - begin)
+        right = F.substring(text, s["stop"] + 1, F.lit(reach))
+        # a term that the edge of the window may have cut is left out
+        left = F.when(begin > 0, F.regexp_replace(left, r"^[\p{L}\p{M}]+", "")).otherwise(left)
+        right = F.when(s["stop"] + reach < size, F.regexp_replace(right, r"[\p{L}\p{M}]++$", "")).otherwise(right)
+        return F.struct(
+            s["kind"].alias("kind"),
+            F.array(s["kind"], F.concat_ws(":", s["kind"], normal_value(s["kind"], s["value"]))).alias("groups"),
+            # the text itself knows which words are parts of a mail address
+            F.array_intersect(_words(F.concat_ws(" ", left, right)), F.col("words")).alias("terms"),
+        )
+
+    held = keyed.withColumn("spans", base_spans(text)).where(F.size("spans") > 0)
+    windows = held.withColumn("words", _words(text)).select("text_key", F.explode(F.transform("spans", window)).alias("w"))
+    return windows.select("text_key", "w.kind", "w.groups", F.explode("w.terms").alias("term"))
+
+
+def _marked_terms(text: Column, marks: Column) -> Column:
+    """Every place in a text of the terms in ``marks``, in one pass over its pieces."""
+    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    gaps = F.slice(F.split(text, TERM, -1), F.lit(1), F.size(found))
+    kind = f"array<{_SPAN[:-1]},mark:string>>"
+
+    def step(held: Column, piece: Column) -> Column:
+        start = held["at"] + F.length(piece["gap"])
+        stop = start + F.length(piece["word"])
+        mark = F.element_at(marks, F.lower(piece["word"]))
+        span = F.struct(
+            start.alias("start"),
+            stop.alias("stop"),
+            F.lit(len(BASE_KINDS)).alias("rank"),
+            F.lit("term").alias("kind"),
+            mark.alias("mark"),
+        )
+        spans = F.when(mark.isNotNull(), F.concat(held["spans"], F.array(span).cast(kind))).otherwise(held["spans"])
+        return F.struct(stop.alias("at"), spans.alias("spans"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
+    pieces = F.arrays_zip(gaps.alias("gap"), found.alias("word"))
+    pieces = F.transform(pieces, lambda p: F.struct(p["gap"].alias("gap"), p["word"].alias("word")))
+    return F.aggregate(pieces, start, step)["spans"]
 
 
 def find(docs: DataFrame, params: Params = Params()) -> DataFrame:
@@ -188,32 +207,8 @@ def find(docs: DataFrame, params: Params = Params()) -> DataFrame:
     ``base`` and ``terms`` are arrays of ``start, stop, rank, kind``; a term also has its
     ``mark``, what replaces it.
     """
-    reach = params.reach
     keyed = _keyed(docs)
-
-    def window(s: Column) -> Column:
-        text, size = F.col("text"), F.length("text")
-        begin = F.greatest(s["start"] - reach, F.lit(0))
-        end = F.least(s["stop"] + reach, size)
-        return F.struct(
-            s["kind"].alias("kind"),
-            s["value"].alias("value"),
-            F.substring(text, begin + 1, s["start"] - begin).alias("left"),
-            begin.alias("left_at"),
-            (begin > 0).alias("left_cut"),
-            F.substring(text, s["stop"] + 1, end - s["stop"]).alias("right"),
-            s["stop"].alias("right_at"),
-            (end < size).alias("right_cut"),
-        )
-
-    spanned = keyed.withColumn("spans", base_spans(F.col("text")))
-    plain = F.transform("spans", lambda s: F.struct(s["start"], s["stop"], s["rank"], s["kind"])).cast(f"array<{_SPAN}>")
-    base = stored(
-        spanned.select("doc_id", "text_key", plain.alias("base"), F.transform("spans", window).alias("windows")), "base"
-    )
-
-    near = stored(_around(base.where(F.size("windows") > 0), reach), "near")
-    near = near.withColumn("group", F.explode("groups"))
+    near = _near(keyed, params.reach).withColumn("group", F.explode("groups"))
     met = near.select("group", "kind", "term", "text_key").distinct()
     pairs = stored(met.groupBy("group", "kind", "term").agg(F.count("*").alias("c_tg")), "pairs")
     groups = pairs.groupBy("group").agg(F.sum("c_tg").alias("c_g"))
@@ -227,19 +222,19 @@ def find(docs: DataFrame, params: Params = Params()) -> DataFrame:
     telling = joined.withColumn("disclosure", F.log2(given / share) / -F.log2(share))
     telling = telling.where(F.col("disclosure") >= params.generalise_at)
     removed = F.col("disclosure") >= params.remove_at
-    marked = telling.select(
-        "group",
-        "term",
-        F.when(removed, F.lit("")).otherwise(F.concat(F.lit("["), F.upper("kind"), F.lit("-RELATED]"))).alias("mark"),
-    )
-    hits = near.join(marked, ["group", "term"]).groupBy("doc_id", "text_key", "start", "stop").agg(F.min("mark").alias("mark"))
-    span = F.struct(
-        "start", "stop", F.lit(len(BASE_KINDS)).alias("rank"), F.lit("term").alias("kind"), "mark"
-    )
-    per_text = hits.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(span)).alias("terms"))
-    per_text = per_text.select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), "terms")
+    mark = F.when(removed, F.lit("")).otherwise(F.concat(F.lit("["), F.upper("kind"), F.lit("-RELATED]")))
+    # a small table is sent to all tasks and a large one is shuffled, as Spark sees from its files
+    marked = stored(telling.groupBy("term").agg(F.min(mark).alias("mark")), "marked")
+    row_terms = keyed.select("doc_id", "text_key", F.explode(_words(F.col("text"))).alias("term"))
+    per_row = row_terms.join(marked, "term").select("doc_id", "text_key", F.struct("term", "mark").alias("one"))
+    per_row = per_row.groupBy(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"))
+    hits = stored(per_row.agg(F.map_from_entries(F.collect_set("one")).alias("marks")), "hits")
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key"))
-    found = base.select("doc_id", "text_key", "base").join(per_text, same, "left")
+    terms = F.when(F.col("marks").isNotNull(), _marked_terms(F.col("text"), F.col("marks")))
+    plain = F.transform(base_spans(F.col("text")), lambda s: F.struct(s["start"], s["stop"], s["rank"], s["kind"]))
+    found = keyed.join(hits, same, "left").select(
+        "doc_id", "text_key", plain.cast(f"array<{_SPAN}>").alias("base"), terms.alias("terms")
+    )
 
     def touches(t: Column) -> Column:
         return F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"]))
