@@ -272,6 +272,30 @@ def test_secrets_of_odd_texts(documents):
     assert token_efficiency.spans(documents([]), RANKS).count() == 0
 
 
+def test_secrets_of_few_digits_and_at_punctuation(documents):
+    keys = ["qXvZrTkWpLmHsGdJfYbN", "Zq7XvKrTpWmLsHdGjFyBcN4k", "xkqzjvwpfhgtbrmdlycn"]
+    forms = ["the key is {}. Then", "key:{}", "{}: mine", "https://u:{}@host.org/a", "({}), so", "x@{} y", "at 5%{}!"]
+    texts = [form.format(key) for key in keys for form in forms]
+    token = ["eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIiwiaWF0IjoxNTE2MjM5MDIyfQ"]
+    token.append("SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c")
+    texts.append("jwt " + ".".join(token))
+    plain = [
+        f"see https://host.org/{keys[1]}?a={keys[0]}. Then www.host.org/{keys[0]}",
+        f"mail {keys[1]}@host.org or a.{keys[0]}@host.org",
+        "sha256:" + "0123456789ABCDEF" * 4 + ", 123e4567-e89b-12d3-a456-426614174000.",
+        "a/b/c/d/e/f/g/h/i/j/k/l internationalization_of_names Donaudampfschifffahrtsgesellschaft",
+        "src/main/java/org/example/Main get_user_by_id_from_db.",
+    ]
+    rows = {r.doc_id: r for r in token_efficiency.report(token_efficiency.spans(documents(texts + plain), RANKS)).collect()}
+    for d, text in enumerate(texts[:-1]):
+        place = text.index(keys[d // len(forms)])
+        assert f"random:{place}:{place + len(keys[d // len(forms)])}" in rows[d].spans.split(","), text
+    last = len(texts) - 1
+    places = [texts[last].index(part) for part in token]
+    assert rows[last].spans == ",".join(f"random:{a}:{a + len(part)}" for a, part in zip(places, token, strict=True))
+    assert [rows[last + 1 + i].n_random for i in range(len(plain))] == [0] * len(plain)
+
+
 @pytest.mark.parametrize("name", ["op3_best_fit_packing", "op7_merge_automaton", "op9_tokeniser_fertility", "op10_token_efficiency"])
 def test_columns_are_as_agreed(spark, root, name):
     expected = {

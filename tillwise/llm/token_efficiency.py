@@ -2,10 +2,13 @@
 
 The base kinds are ``assign`` (a key word with a value), ``access`` (access key ids) and
 ``hex`` (long hexadecimal runs).  The method adds the kind ``random``: a run of at least
-``min_length`` key characters with both letters and digits whose characters per token lie
-below ``max_chars_per_token``.  Words of any language are made of frequent parts and take
-few tokens; random strings take many.  Runs that are digests of a usual length, UUIDs,
-dates, numbers, addresses or parts of URLs and mail addresses are excluded.
+``min_length`` key characters whose characters per token lie below a limit.  Words of any
+language are made of frequent parts and take few tokens; random strings take many.  Signs
+between letters and digits count neither as characters nor as tokens.  The limit is
+``one_class_limit`` for a run in one case without digits and rises to
+``max_chars_per_token`` with the share of changes between small letters, capitals and
+digits.  Runs that are digests of a usual length, UUIDs, dates or numbers are excluded, and
+so are those inside a URL (but not its user part) or a mail address.
 
 Spans are offsets in code points, end exclusive.  NULL and empty texts have no spans.  A
 repeated row gives a repeated result; other columns of the input are left out.
@@ -14,6 +17,7 @@ repeated row gives a repeated result; other columns of the input are left out.
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import re
 from collections.abc import Callable, Iterator
@@ -50,15 +54,42 @@ _KNOWN = re.compile(
 class Params:
     min_length: int = 20
     max_chars_per_token: float = 2.0
-    min_digits: int = 3
+    one_class_limit: float = 1.75
+    full_change_share: float = 0.1
     min_letters: int = 3
+    #: letters or digits in a row at least once, so that lists of single letters are none
+    min_piece: int = 4
 
 
 def candidate_pattern(params: Params) -> re.Pattern[str]:
-    """Key characters that neither continue nor belong to a mail address or URL."""
+    """Whole runs of key characters, whatever punctuation stands around them."""
     key = "A-Za-z0-9+/_"
-    run = rf"[{key}-]{{{params.min_length},}}+={{0,2}}+"
-    return re.compile(rf"(?<![{key}@.:%-]){run}(?![{key}@.:%=-])")
+    return re.compile(rf"(?<![{key}-])[{key}-]{{{params.min_length},}}+={{0,2}}+(?![{key}=-])")
+
+
+# A URL without its scheme and user part, and a mail address.
+_URL = re.compile(r"""(?<=[A-Za-z0-9])://(?:[^\s"'<>/@?#]*+@)?+|(?<![A-Za-z0-9])www\.""")
+_URL_REST = re.compile(r"""[^\s"'<>]*""")
+_MAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_PIECE = re.compile(r"[A-Za-z0-9]+")
+_CHANGE = re.compile(r"(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[A-Z][A-Z])(?=[a-z])|(?<=[a-z][A-Z])(?=[a-z])")
+
+
+def addresses(text: str) -> list[tuple[int, int]]:
+    """Where URLs, from their host on, and mail addresses outside of URLs lie."""
+    found, users = [], []
+    for match in _URL.finditer(text) if "://" in text or "www." in text else ():
+        if not found or match.start() >= found[-1][1]:
+            found.append((match.end(), _URL_REST.match(text, match.end()).end()))
+            users.append((match.start(), match.end()))
+    if "@" in text:
+        mails = (m.span() for m in _MAIL.finditer(text))
+        starts = [a for a, _ in users]
+        for a, b in mails:
+            near = bisect.bisect_right(starts, b) - 1
+            if near < 0 or a >= found[near][1]:
+                found.append((a, b))
+    return sorted(found)
 
 
 @functools.lru_cache(maxsize=2)
@@ -79,13 +110,25 @@ def random_spans(
     text: str, pattern: re.Pattern[str], params: Params, tokens: Callable[[str], int]
 ) -> list[tuple[int, int, str]]:
     found = []
+    known = starts = None
     for match in pattern.finditer(text):
         run = match[0]
-        digits = sum(map(str.isdigit, run))
-        letters = sum(map(str.isalpha, run))
-        if digits < params.min_digits or letters < params.min_letters or _KNOWN.fullmatch(run):
+        if sum(map(str.isalpha, run)) < params.min_letters or _KNOWN.fullmatch(run):
             continue
-        if len(run) < params.max_chars_per_token * tokens(run):
+        pieces = _PIECE.findall(run)
+        size = sum(map(len, pieces))
+        if max(map(len, pieces)) < params.min_piece:
+            continue
+        changes = sum(len(_CHANGE.findall(piece)) for piece in pieces)
+        share = min(1.0, changes / (size * params.full_change_share))
+        limit = params.one_class_limit + share * (params.max_chars_per_token - params.one_class_limit)
+        if size >= limit * sum(map(tokens, pieces)):
+            continue
+        if known is None:
+            known = addresses(text)
+            starts = [a for a, _ in known]
+        near = bisect.bisect_left(starts, match.end()) - 1
+        if near < 0 or known[near][1] <= match.start():
             found.append((*match.span(), "random"))
     return found
 
