@@ -12,6 +12,7 @@ from tillwise.llm import (
     best_fit,
     block_anchors,
     context_mixing,
+    conversation_trie,
     dart_minhash,
     disclosure,
     fertility,
@@ -99,6 +100,12 @@ def secrets(spark: SparkSession, root: str) -> DataFrame:
     return token_efficiency.report(found)
 
 
+@query("op11_adaptive_radix")
+def conversation_prefixes(spark: SparkSession, root: str) -> DataFrame:
+    turns = conversation_trie.sequences(table(spark, root, "conversations"))
+    return conversation_trie.trie(conversation_trie.with_heads(turns))
+
+
 ORACLE["op2_block_anchors"] = r"""
 WITH texts AS (
   SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
@@ -135,3 +142,50 @@ WITH usable AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+ORACLE["op11_adaptive_radix"] = """
+WITH turns AS (
+  SELECT conv_id, COALESCE(role, '') AS role, COALESCE(text, '') AS text, turn,
+    substr(sha256(strlen(COALESCE(role, '')) || ':' || COALESCE(role, '') || COALESCE(text, '')), 1, 32) AS id
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids,
+    list(strlen(text) ORDER BY turn NULLS FIRST, id) AS sizes,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, step: xor(x >> 1, 3988292384 * (x & 1))
+      )
+    )) % 9 AS h
+  FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT o.conv_id,
+    CASE WHEN o.conv_id % 5 = 0 THEN o.ids ELSE list_concat(COALESCE(b.ids[1:o.h], []), o.ids[o.h + 1:]) END AS ids,
+    CASE WHEN o.conv_id % 5 = 0 THEN o.sizes ELSE list_concat(COALESCE(b.sizes[1:o.h], []), o.sizes[o.h + 1:]) END AS sizes
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), places AS (
+  SELECT conv_id, ids, sizes, UNNEST(range(0, len(ids) + 1)) AS depth FROM rebuilt
+), prefixes AS (
+  SELECT conv_id, depth, array_to_string(ids[1:depth], '') AS path, depth = len(ids) AS ends,
+    CASE WHEN depth = 0 THEN 0 ELSE sizes[depth] END AS size
+  FROM places
+), nodes AS (
+  SELECT path, depth, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs, MAX(size) AS size,
+    sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY path, depth
+), families AS (
+  SELECT substr(path, 1, 32 * (depth - 1)) AS path, COUNT(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), counted AS (
+  SELECT n.*, COALESCE(n_children, 0) AS n_children FROM nodes n LEFT JOIN families USING (path)
+), above AS (
+  SELECT path, n_children, (n_convs - 1) * size AS saved, UNNEST(range(0, depth + 1)) AS d FROM counted
+), subtrees AS (
+  SELECT substr(path, 1, 32 * d) AS path, COUNT(*) FILTER (n_children = 0) AS n_leaves, SUM(saved) AS saved
+  FROM above GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN subtrees s ON s.path = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = substr(n.path, 1, 32 * (n.depth - 1))
+"""
