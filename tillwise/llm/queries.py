@@ -20,6 +20,7 @@ from tillwise.llm import (
     ngram_toxicity,
     pivot_index,
     token_efficiency,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +107,11 @@ def conversation_prefixes(spark: SparkSession, root: str) -> DataFrame:
     return conversation_trie.trie(conversation_trie.with_heads(turns))
 
 
+@query("op13_jacobi_davidson")
+def whitened(spark: SparkSession, root: str) -> DataFrame:
+    return whitening.whiten(whitening.whole_vectors(table(spark, root, "embeddings")))
+
+
 ORACLE["op2_block_anchors"] = r"""
 WITH texts AS (
   SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
