@@ -19,6 +19,7 @@ from tillwise.llm import (
     merge_automaton,
     ngram_toxicity,
     pivot_index,
+    site_templates,
     token_efficiency,
     whitening,
 )
@@ -107,6 +108,11 @@ def conversation_prefixes(spark: SparkSession, root: str) -> DataFrame:
     return conversation_trie.trie(conversation_trie.with_heads(turns))
 
 
+@query("op12_site_templates")
+def main_text(spark: SparkSession, root: str) -> DataFrame:
+    return site_templates.main_texts(table(spark, root, "pages"))
+
+
 @query("op13_jacobi_davidson")
 def whitened(spark: SparkSession, root: str) -> DataFrame:
     return whitening.whiten(whitening.whole_vectors(table(spark, root, "embeddings")))
