@@ -443,7 +443,7 @@ def with_heads(seqs: DataFrame, *, every: int = 5, spread: int = 9) -> DataFrame
 
     Conversation c takes the first h turns of c - c % every (all if fewer, none if there is
     no such conversation) and then its own turns after its first h; h is the CRC-32 of the
-    decimal c modulo ``spread``.
+    decimal c modulo ``spread``.  Remainders have the sign of c, as in SQL.
     """
     base = F.col("conv_id") - F.col("conv_id") % every
     heads = seqs.where(F.col("conv_id") % every == 0).select(

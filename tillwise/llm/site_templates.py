@@ -29,6 +29,7 @@ import functools
 import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,6 +62,8 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # an open p ends before these, and an end tag does not reach past those
 _ENDS_P = _BLOCKS - frozenset("body caption head html legend optgroup option tbody tfoot thead tr".split())
 _BARRIERS = frozenset("caption html object table td template th".split())
+_AROUND_CELLS = frozenset("html table template".split())
+_IN_TABLES = frozenset("caption table tbody td tfoot th thead tr".split())
 _REPLACES = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
     "option": frozenset(["option"]), "optgroup": frozenset(["option", "optgroup"]),
@@ -165,12 +168,17 @@ def parse(page: str) -> Element:
     """The tree of a page; end tags that are left out are added where HTML implies them."""
     root = Element("html", False, False)
     stack = [root]
+    opened: Counter[str] = Counter()
 
     def close(down_to: int) -> None:
         while len(stack) > down_to:
-            stack.pop().close()
+            element = stack.pop()
+            opened[element.tag] -= 1
+            element.close()
 
     def find(tags, stops: frozenset[str]) -> int | None:
+        if not any(opened[t] for t in tags):
+            return None
         for at in range(len(stack) - 1, 0, -1):
             if stack[at].tag in tags:
                 return at
@@ -192,8 +200,9 @@ def parse(page: str) -> Element:
             continue
         name = name.lower()
         if token["end"]:
-            found = find((name,), _BARRIERS)
-            if found is not None and (name in _BLOCKS or not any(e.tag in _BLOCKS for e in stack[found + 1 :])):
+            found = find((name,), _AROUND_CELLS if name in _IN_TABLES else _BARRIERS)
+            whole = name in _BLOCKS or name in _SIDE or name in _CELLS
+            if found is not None and (whole or not any(e.tag in _BLOCKS for e in stack[found + 1 :])):
                 close(found)
             continue
         if name in ("html", "body"):
@@ -213,14 +222,14 @@ def parse(page: str) -> Element:
         above.children.append(element)
         if name in _VOID:
             element.close()
-        elif name in _RAW:
+        if name in _RAW:
             over = re.compile(rf"</{name}(?=[\s/>])|\Z", re.IGNORECASE).search(page, at)
             if name == "xmp":
                 element.children.append(page[at : over.start()])
             at = over.start()
+        if name not in _VOID:
             stack.append(element)
-        else:
-            stack.append(element)
+            opened[name] += 1
     close(1)
     root.close()
     return root
