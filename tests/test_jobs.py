@@ -8,6 +8,7 @@ from tillwise import jobs, schemas
 from tillwise.config import StreamConf
 from tillwise.plans.pipeline import StoredWarehouse
 from tillwise.sources import readers, star
+from tillwise.sources.catalog import drop_all
 from tillwise.streaming import alerts
 
 
@@ -30,6 +31,49 @@ def test_alert_arguments():
     assert (args.trigger_seconds, args.offsets, args.run) == (10, "latest", jobs.live_alerts)
 
 
+def test_minute_and_compact_arguments(spark, tmp_path):
+    line = "minutes --brokers b:9092 --raw-topic r --metric-topic m --group g --archive /x --checkpoint /y"
+    args = jobs.parser().parse_args([*line.split(), "--max-offsets", "500", "--qty-spike", "70", "--margin-low", "0.1"])
+    assert (args.run, args.watermark_minutes) == (jobs.live_minutes, 5)
+    conf = jobs._kafka(args, metric_topic=args.metric_topic)
+    assert (conf.max_offsets_per_trigger, conf.metric_topic) == (500, "m")
+    limits = jobs._thresholds(args)
+    assert (limits.qty_spike, limits.margin_low, limits.price_high) == (70, 0.1, 12000)
+
+
+def test_bootstrap_steps_and_compaction_as_jobs(spark, root, tmp_path):
+    ods, store, live = (str(tmp_path / name) for name in ("ods", "store", "live"))
+    star.sales_fact(spark, root).write.parquet(ods)
+
+    def run(*line):
+        args = jobs.parser().parse_args(list(line))
+        args.run(spark, args)
+
+    try:
+        run("bootstrap", "--ods", ods, "--warehouse", store)
+        assert spark.table("sales_ads.ads_column_dict").count() == 70
+        base = ("pipeline", "--ods", ods, "--warehouse", store, "--catalog", "--steps")
+        run(*base, "dwd")
+        assert spark.table("sales_dwd.dwd_sales").count() == 6000 and spark.table("sales_dws.dws_sales_daily").count() == 0
+        run(*base, "cube", "dws", "ads")
+        assert spark.table("sales_ads.ads_growth_potential").count() == 10
+        batch = alerts.alert_frame(star.sale_event_json(star.sale_events(spark, root)))
+        alerts.write_batch(batch, ("run", 0), [alerts.ArchiveSink(live)])
+        run("compact", "--table", "ads_realtime_alert", "--archive", live, "--warehouse", store, "--before", "9999-01-01")
+        assert spark.table("sales_ads.ads_realtime_alert").count() == batch.count()
+    finally:
+        drop_all(spark, ("sales_ods", "sales_dwd", "sales_dws", "sales_ads"))
+
+
+def test_schema_report_as_a_file(spark, root, tmp_path):
+    raw, ods, report = (str(tmp_path / name) for name in ("raw", "ods", "report"))
+    star.raw_sheet(spark, root).write.option("header", True).csv(raw)
+    args = jobs.parser().parse_args(["prepare", "--raw", raw, "--out", ods, "--report", report])
+    args.run(spark, args)
+    lines = spark.read.option("header", True).csv(report)
+    assert lines.count() == len(schemas.ODS) and "value_cnt" in lines.columns
+
+
 def test_live_query_stops_on_signal(spark, root, tmp_path):
     source = str(tmp_path / "in")
     star.sale_event_json(star.sale_events(spark, root)).write.text(source)

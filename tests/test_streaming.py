@@ -2,15 +2,19 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tillwise import schemas
-from tillwise.config import StreamConf
+from tillwise.config import KafkaConf, StreamConf, WarehouseConf
 from tillwise.plans import serving
-from tillwise.sources import readers, star
+from tillwise.sources import folders, readers, star
+from tillwise.sources.catalog import WarehouseCatalog, drop_all
+from tillwise.sources.loads import LoadStore
 from tillwise.streaming import alerts, minute, rules
+from tillwise.streaming.archive import LiveArchive
 from tillwise.streaming.events import parse_events
 
 LOSS = {"eventId": "e1", "eventTime": "2026-01-02T03:04:05", "brand": "B", "model": "M", "unitPrice": 4000,
@@ -177,3 +181,153 @@ def test_recent_alerts(spark, root):
     assert serving.recent_alerts(frame, 5).count() == 5
     assert serving.alert_status(frame).first().recent_cnt == 100
     assert serving.alert_status(frame.limit(3)).first().recent_cnt == 3
+
+
+# --- closed days ----------------------------------------------------------------------
+
+
+def alerts_at(spark, clock, count=1):
+    tagged = rules.alerts_only(rules.tag(parse_events(messages(spark, *[LOSS | {"eventId": f"{clock}{i}"} for i in range(count)]))))
+    return alerts.enrich(tagged, F.lit(clock).cast("timestamp"))
+
+
+@pytest.fixture
+def archive(spark, tmp_path):
+    folder = str(tmp_path)
+    return LiveArchive(spark, f"{folder}/live", LoadStore(spark, f"{folder}/w"), "ads_realtime_alert", schemas.REALTIME_ALERT)
+
+
+def land(archive, spark, clock, batch, count=1):
+    alerts.ArchiveSink(archive.live)(alerts_at(spark, clock, count), batch)
+
+
+FIRST, SECOND, THIRD = "2026-01-02 10:00:00", "2026-01-03 10:00:00", "2026-01-04 10:00:00"
+
+
+def test_closed_days_keep_every_alert_once(spark, archive):
+    for number, clock in enumerate((FIRST, FIRST, SECOND, THIRD)):
+        land(archive, spark, clock, ("run", number), 3)
+    before = lines(archive.rows())
+    assert archive.compact(before="2026-01-04") == ["2026-01-02", "2026-01-03"]
+    assert lines(archive.rows()) == before and len(before) == 12
+    assert list(archive.live_days()) == ["2026-01-04", "2026-01-03", "2026-01-02"]
+    assert [archive.batches(d) for d in ("2026-01-02", "2026-01-03")] == [[], []]
+    assert archive.compact(before="2026-01-04") == []
+    # a batch that is replayed after its day was closed counts once, before and after the next time
+    land(archive, spark, FIRST, ("run", 1), 3)
+    assert lines(archive.rows()) == before
+    # a late batch of a closed day is added
+    land(archive, spark, FIRST, ("other", 0), 2)
+    assert archive.rows(["2026-01-02"]).count() == 8
+    assert archive.compact(before="2026-01-03") == ["2026-01-02"]
+    assert archive.rows().count() == 14 and archive.batches("2026-01-02") == []
+
+
+def test_replay_during_compaction(spark, archive, monkeypatch):
+    """Batches land while the closed day is written, and before the live ones are removed."""
+    land(archive, spark, FIRST, ("run", 0), 3)
+    land(archive, spark, FIRST, ("run", 1), 2)
+    before = lines(archive.rows())
+    write = LoadStore.replace_months
+
+    def slow(self, table, frame, **options):
+        land(archive, spark, FIRST, ("run", 2), 4)
+        done = write(self, table, frame, **options)
+        land(archive, spark, FIRST, ("run", 1), 2)
+        assert archive.rows().count() == 9
+        return done
+
+    monkeypatch.setattr(LoadStore, "replace_months", slow)
+    archive.compact(before="2026-01-03")
+    monkeypatch.undo()
+    assert archive.rows().count() == 9 and set(before) < set(lines(archive.rows()))
+    archive.compact(before="2026-01-03")
+    assert archive.rows().count() == 9
+
+
+def test_failed_compaction_loses_nothing(spark, archive, monkeypatch):
+    land(archive, spark, FIRST, ("run", 0), 3)
+    before = lines(archive.rows())
+    monkeypatch.setattr(LoadStore, "replace_months", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        archive.compact(before="2026-01-03")
+    assert lines(archive.rows()) == before
+
+
+def test_files_of_a_closed_day_follow_its_bytes(spark, archive):
+    for number in range(12):
+        land(archive, spark, FIRST, ("run", number), 5)
+    assert len(folders.sizes(spark, archive.live)) >= 12
+    archive.compact(before="2026-01-03")
+    assert len(folders.sizes(spark, archive.store.path(archive.table))) == 1
+    assert archive.rows().count() == 60
+
+
+def test_closed_days_in_the_catalog(spark, tmp_path):
+    conf = WarehouseConf(ods_db="a_ods", dwd_db="a_dwd", dws_db="a_dws", ads_db="a_ads")
+    catalog = WarehouseCatalog(spark, conf, LoadStore(spark, str(tmp_path / "w")))
+    catalog.bootstrap()
+    live = LiveArchive(spark, str(tmp_path / "live"), catalog.store, "ads_realtime_alert", schemas.REALTIME_ALERT, catalog)
+    try:
+        land(live, spark, FIRST, ("run", 0), 3)
+        live.compact(before="2026-01-03")
+        table = spark.table("a_ads.ads_realtime_alert")
+        assert table.columns == list(alerts.COLUMNS)
+        assert lines(table) == lines(live.rows().select(*alerts.COLUMNS))
+    finally:
+        drop_all(spark, ("a_ods", "a_dwd", "a_dws", "a_ads"))
+
+
+def test_newest_alerts_read_few_days(spark, archive):
+    for number, clock in enumerate((FIRST, SECOND, THIRD)):
+        land(archive, spark, clock, ("run", number), 3)
+    archive.compact(before="2026-01-04")
+    everything = archive.rows().select(*alerts.COLUMNS)
+    for limit, folders_read in ((2, 1), (3, 1), (4, 3), (100, 3)):
+        frame = serving.newest_alerts(archive, limit).select(*alerts.COLUMNS)
+        assert list(map(str, frame.collect())) == list(map(str, serving.recent_alerts(everything, limit).collect()))
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        read = {day for day in ("2026-01-02", "2026-01-03", "2026-01-04") if f"dt={day}" in str(frame.inputFiles())}
+        assert len(read) == folders_read and "2026-01-04" in read
+        assert "TakeOrderedAndProject" in plan
+        assert archive.status(limit).first().recent_cnt == min(limit, 9)
+    empty = LiveArchive(spark, archive.live + "x", archive.store, "none", schemas.REALTIME_ALERT)
+    assert serving.newest_alerts(empty).count() == 0 and empty.status(5).first().recent_cnt == 0
+
+
+# --- versions of minutes --------------------------------------------------------------
+
+
+def test_minute_updates_equal_the_batch_result(spark, root, tmp_path):
+    """Events in order of time and several micro-batches: open minutes show, then change and close."""
+    ordered = star.sale_event_json(star.sale_events(spark, root).orderBy("event_time").coalesce(1))
+    source = tmp_path / "in"
+    texts = [r.value for r in ordered.collect()]
+    source.mkdir()
+    step = len(texts) // 3 + 1
+    for i in range(3):
+        (source / f"{i}.txt").write_text("\n".join(texts[i * step : (i + 1) * step]) + "\n")
+        os.utime(source / f"{i}.txt", (1e9 + i, 1e9 + i))  # files are taken by age
+    sinks = [minute.version_sink(str(tmp_path / "versions")), minute.JsonMetricSink(str(tmp_path / "topic"))]
+    conf = StreamConf(checkpoint=str(tmp_path / "checkpoint"), available_now=True)
+    tagged = rules.tag(parse_events(readers.file_messages(spark, str(source), files_per_batch=1)))
+    query = minute.start_minute_updates(tagged, sinks, conf)
+    query.awaitTermination()
+    assert query.exception() is None
+    store = LoadStore(spark, str(tmp_path / "w"))
+    live = LiveArchive(spark, str(tmp_path / "versions"), store, "dws_realtime_metric_1min", minute.VERSIONS)
+    expected = lines(minute.minute_metrics(rules.tag(star.sale_events(spark, root))))
+    assert lines(minute.newest_versions(live.rows()).select(*minute.COLUMNS)) == expected
+    assert live.rows().select("batch_id").distinct().count() >= 3
+    # messages: the last one of a key tells the same
+    sent = spark.read.text(sinks[1].path).select(F.from_json("value", "windowStart string, brand string, model string, eventCnt long").alias("m"))
+    assert sent.select("m.*").groupBy("windowStart", "brand", "model").agg(F.max("eventCnt")).count() == len(expected)
+    # closed days hold one version of each row
+    live.compact("9999-01-01", minute.newest_versions)
+    assert store.read_months(live.table, minute.VERSIONS).count() == len(expected)
+    assert lines(minute.newest_versions(live.rows()).select(*minute.COLUMNS)) == expected
+
+
+def test_metric_topic_options():
+    conf = KafkaConf("h:9092", "raw", "", "group", metric_topic="metric")
+    assert minute.KafkaMetricSink(conf).options() == {"kafka.bootstrap.servers": "h:9092", "topic": "metric"}

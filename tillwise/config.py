@@ -19,6 +19,8 @@ class ResultParams:
     min_orders: int = 5
     opportunity_weights: tuple[float, float, float, float] = (0.4, 0.3, 0.2, 0.1)
     potential_weights: tuple[float, float, float] = (0.5, 0.3, 0.2)
+    potential_groups: int = 5
+    potential_rounds: int = 20
 
 
 @dataclass(frozen=True)
@@ -71,6 +73,7 @@ class KafkaConf:
     alert_topic: str
     group_id: str
     starting_offsets: str = "latest"
+    metric_topic: str = "sales_metric"
     # bounds a micro-batch, for example after the job was down for long
     max_offsets_per_trigger: int | None = None
 

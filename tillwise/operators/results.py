@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise import schemas
-from tillwise.config import ResultParams
+from tillwise.config import ResultParams, scratch_dir
 from tillwise.functions.buckets import year_month_label
 from tillwise.functions.numeric import growth, safe_ratio, stable_sum
 from tillwise.operators.ranking import top_k
 from tillwise.operators.rollups import ROLLUPS, finish, merge
-from tillwise.operators.scoring import Term, with_score
+from tillwise.operators.scoring import Term, stored_with_score, with_score
 from tillwise.operators.windows import latest_rows, rolling_mean, with_lags
 
 DEFAULTS = ResultParams()
@@ -119,31 +119,16 @@ def with_share_of_total(frame: DataFrame, value: str, name: str) -> DataFrame:
 def low_contributors(totals: DataFrame, keys: Sequence[str], table: str, params: ResultParams = DEFAULTS) -> DataFrame:
     """The rows with the lowest profit and their share of the overall profit.
 
-    Grouping sets add the grand total as one more row, which the ordering puts first;
-    limiting to ``k + 1`` rows then yields the total and the ``k`` lowest rows from one
-    pass over the input, where a scalar subquery would compute the input twice.
+    The total is a single row beside the lowest rows.  It looks at all columns that these
+    need, so both come from the same aggregate and the shuffle below them runs once.
     """
     profit = "total_gross_profit"
     carried = [c for c in schemas.ADS[table].names if c not in (*keys, "rank_no", "contribution_ratio")]
-    level = F.grouping_id()
-    grouped = totals.groupingSets([list(keys), []], *keys).agg(
-        level.alias("level"),
-        stable_sum(F.col(profit)).alias("group_sum"),
-        *[F.max(c).alias(c) for c in carried],
-    )
-    total_first = F.col("level").desc()
-    order = [F.col(profit).asc_nulls_first(), *[F.col(k).asc_nulls_first() for k in keys]]
-    lowest = grouped.orderBy(total_first, *order).limit(params.top_n + 1)
-    # the windows below see k + 1 rows
-    everything = Window.partitionBy()
-    total = F.max(F.when(F.col("level") > 0, F.col("group_sum"))).over(everything)
-    ranked = (
-        lowest.withColumn("grand_total", total)
-        .where(F.col("level") == 0)
-        .withColumn("rank_no", F.row_number().over(Window.orderBy(*order)).cast("int"))
-        .withColumn("contribution_ratio", safe_ratio(F.col(profit), F.col("grand_total")))
-    )
-    return _publish(ranked, table)
+    lowest = top_k(totals.select(*keys, *carried), profit, params.top_n, keys, ascending=True)
+    every = F.max(F.struct(*carried)).alias("seen")  # not NULL as soon as there is a row
+    total = totals.agg(stable_sum(F.col(profit)).alias("grand_total"), every).where(F.col("seen").isNotNull())
+    share = safe_ratio(F.col(profit), F.col("grand_total"))
+    return _publish(lowest.crossJoin(F.broadcast(total)).withColumn("contribution_ratio", share), table)
 
 
 def low_contrib_model(by_model: DataFrame, params: ResultParams = DEFAULTS) -> DataFrame:
@@ -299,14 +284,19 @@ def potential_candidates(cells: DataFrame) -> DataFrame:
     return with_channel_growth(cells).where(F.col("gross_margin") > 0)
 
 
-def growth_potential(cells: DataFrame, params: ResultParams = DEFAULTS) -> DataFrame:
-    """Cells that grow fast with little marketing and a healthy margin."""
+def growth_potential(cells: DataFrame, params: ResultParams = DEFAULTS, folder: str | None = None) -> DataFrame:
+    """Cells that grow fast with little marketing and a healthy margin.
+
+    The look-back over all cells runs once, while the candidates are written to ``folder``
+    (a scratch folder by default); this runs a job when it is called.
+    """
     grow, spend, margin = params.potential_weights
     terms = [
         Term("qty_growth_ratio", grow),
         Term("marketing_ratio", spend, inverted=True),
         Term("gross_margin", margin),
     ]
-    scored = with_score(potential_candidates(cells), terms, "potential_score")
+    place = folder or scratch_dir(cells.sparkSession, "growth-candidates")
+    scored = stored_with_score(potential_candidates(cells), terms, "potential_score", place)
     best = top_k(scored, "potential_score", params.top_n, ["brand", "model", "sale_ym", "promotion"])
     return _publish(best, "ads_growth_potential")

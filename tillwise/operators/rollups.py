@@ -13,7 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillwise import schemas
 from tillwise.functions.buckets import year_month_label
 from tillwise.functions.numeric import (
     MONEY_SCALE,
@@ -191,6 +193,15 @@ def accumulate(rows: DataFrame, keys: Sequence[str], measures: Iterable[str]) ->
     return rows.groupBy(*keys).agg(*[column.alias(part) for part, column in parts.items()])
 
 
+def partials_schema(keys: Sequence[str], measures: Iterable[str]) -> T.StructType:
+    """Schema of what ``accumulate`` returns over the detail fact."""
+    columns = [schemas.DWD[key] for key in keys]
+    for name in measures:
+        for part in MEASURES[name].parts:
+            columns.append(T.StructField(part, schemas.D if part.endswith("_odd") else schemas.L))
+    return T.StructType(columns)
+
+
 def merge(partials: DataFrame, keys: Sequence[str], measures: Iterable[str], *extra: Column) -> DataFrame:
     """Partial measures rolled up to coarser keys."""
     parts = [part for name in measures for part in MEASURES[name].parts]
@@ -217,3 +228,15 @@ def rollup(rows: DataFrame, spec: Rollup, *, from_partials: bool = False) -> Dat
         counted, name = spec.distinct
         partials = merge(partials, spec.keys, spec.measures, F.count(counted).cast("bigint").alias(name))
     return finish(partials, spec)
+
+
+def with_counted(sums: DataFrame, counts: DataFrame, spec: Rollup) -> DataFrame:
+    """One table from partial measures by key and distinct counts by key.
+
+    A union instead of a join, so that a NULL key finds its count as well.
+    """
+    name = spec.distinct[1]
+    parts = [part for measure in spec.measures for part in MEASURES[measure].parts]
+    both = sums.select(*spec.keys, *parts).unionByName(counts.select(*spec.keys, name), allowMissingColumns=True)
+    total = F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name)
+    return finish(both.groupBy(*spec.keys).agg(*[F.sum(part).alias(part) for part in parts], total), spec)

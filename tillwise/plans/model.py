@@ -120,8 +120,11 @@ class CubeModel:
         return build_result(table, self, self.fact.params)
 
 
-def build_result(table: str, source: Rollups, params: ResultParams) -> DataFrame:
-    """A result table from anything that offers the roll-ups it needs."""
+def build_result(table: str, source: Rollups, params: ResultParams, folder: str | None = None) -> DataFrame:
+    """A result table from anything that offers the roll-ups it needs.
+
+    ``folder`` is for candidates that are stored on the way, a scratch folder by default.
+    """
     if table == "ads_profit_anomaly":
         return results.profit_anomaly(source.dws("dws_sales_daily"), params)
     if table == "ads_metric_trend":
@@ -137,5 +140,5 @@ def build_result(table: str, source: Rollups, params: ResultParams) -> DataFrame
     if table == "ads_segment_top_margin":
         return results.segment_top_margin(source.dws("dws_sales_by_segment"), params)
     if table == "ads_growth_potential":
-        return results.growth_potential(source.channel_cells(), params)
+        return results.growth_potential(source.channel_cells(), params, folder)
     raise KeyError(table)

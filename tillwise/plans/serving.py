@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.streaming.archive import LiveArchive
+
 Day = dt.date | str | None
 RECENT_MONTHS = 24
 RECENT_ALERTS = 100
@@ -91,12 +93,20 @@ def tagged_rows(frames: dict[str, DataFrame], tag: str) -> DataFrame:
     return merged.select(tag, *[c for c in merged.columns if c != tag])
 
 
+def _newest_first() -> list[Column]:
+    return [F.col("triggered_at").desc(), F.col("event_time").desc_nulls_last(), F.col("alert_id")]
+
+
 def recent_alerts(archive: DataFrame, limit: int = RECENT_ALERTS) -> DataFrame:
     """Newest alerts first; equal times are ordered by event and id."""
-    order = [F.col("triggered_at").desc(), F.col("event_time").desc_nulls_last(), F.col("alert_id")]
-    return archive.orderBy(*order).limit(limit)
+    return archive.orderBy(*_newest_first()).limit(limit)
+
+
+def newest_alerts(archive: LiveArchive, limit: int = RECENT_ALERTS) -> DataFrame:
+    """The same from an archive by day: days are read from the newest on until they suffice."""
+    return archive.newest(_newest_first(), limit)
 
 
 def alert_status(archive: DataFrame, limit: int = RECENT_ALERTS) -> DataFrame:
-    """How many alerts a new subscriber would get."""
-    return archive.select("alert_id").limit(limit).agg(F.count(F.lit(1)).alias("recent_cnt"))
+    """How many alerts a new subscriber would get; every task sends one number."""
+    return archive.agg(F.least(F.count(F.lit(1)), F.lit(limit).cast("bigint")).alias("recent_cnt"))

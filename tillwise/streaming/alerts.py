@@ -79,7 +79,7 @@ Batch = tuple[str, int]
 Sink = Callable[[DataFrame, Batch], None]
 
 
-def _write_parts(rows: DataFrame, batch: Batch, path: str, form: str) -> None:
+def write_parts(rows: DataFrame, batch: Batch, path: str, form: str) -> None:
     """Replace the files of this batch, whatever day they fall on; no other batch is touched."""
     run, number = batch
     (
@@ -100,7 +100,7 @@ class ArchiveSink:
     path: str
 
     def __call__(self, alerts: DataFrame, batch: Batch) -> None:
-        _write_parts(alerts, batch, self.path, "parquet")
+        write_parts(alerts, batch, self.path, "parquet")
 
 
 @dataclass(frozen=True)
@@ -123,7 +123,7 @@ class JsonFileSink:
     path: str
 
     def __call__(self, alerts: DataFrame, batch: Batch) -> None:
-        _write_parts(alert_messages(alerts, "dt").select("value", "dt"), batch, self.path, "text")
+        write_parts(alert_messages(alerts, "dt").select("value", "dt"), batch, self.path, "text")
 
 
 def write_batch(alerts: DataFrame, batch: Batch, sinks: Sequence[Sink]) -> int:
@@ -149,9 +149,10 @@ def write_batch(alerts: DataFrame, batch: Batch, sinks: Sequence[Sink]) -> int:
         cached.unpersist()
 
 
-def alert_frame(messages: DataFrame, thresholds: Thresholds = DEFAULTS) -> DataFrame:
+def alert_frame(messages: DataFrame, thresholds: Thresholds = DEFAULTS, clock: Column | None = None) -> DataFrame:
     """Archive rows for all messages that trigger a rule; static or streaming."""
-    return messages.transform(parse_events).transform(tag, thresholds).transform(alerts_only).transform(enrich)
+    tagged = messages.transform(parse_events).transform(tag, thresholds)
+    return tagged.transform(alerts_only).transform(enrich, clock)
 
 
 def start_alert_query(

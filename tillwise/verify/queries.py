@@ -6,23 +6,27 @@ sinks and streams write below the shared scratch folder and return what they rea
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise import schemas
-from tillwise.config import StreamConf, scratch_dir
-from tillwise.operators import cleansing, dictionary, results
+from tillwise.config import StreamConf, WarehouseConf, scratch_dir
+from tillwise.operators import cleansing, dictionary, distinct, potential, results
 from tillwise.operators.ranking import top_k
 from tillwise.operators.rollups import ROLLUPS
 from tillwise.operators.scoring import Term, minmax_stats, with_normalised, with_score
 from tillwise.operators.windows import latest_rows, rolling_mean
 from tillwise.plans import serving
-from tillwise.plans.model import SalesModel
+from tillwise.plans.model import CubeModel, SalesModel
 from tillwise.plans.pipeline import StoredWarehouse, run_pipeline
 from tillwise.sources import readers, star, writers
+from tillwise.sources.catalog import WarehouseCatalog
+from tillwise.sources.loads import LoadStore
 from tillwise.streaming import alerts, events, minute, rules
+from tillwise.streaming.archive import LiveArchive
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -205,6 +209,18 @@ on_model(
     ).select("brand", "model", "sale_ym", "promotion", "potential_score"),
 )
 
+
+
+@query("ml_model_potential")
+def ml_model_potential(spark: SparkSession, root: str) -> DataFrame:
+    """Five groups of models by scaled revenue, margin, growth and rating."""
+    model = SalesModel.from_star(spark, root)
+    params = model.params
+    return potential.model_potential(
+        model.model_candidates(), scratch_dir(spark, "potential"), k=params.potential_groups, rounds=params.potential_rounds
+    )
+
+
 # --- result tables and serving --------------------------------------------------------
 
 for _table in schemas.ADS:
@@ -238,9 +254,13 @@ on_model("q_recent_months", lambda m: serving.recent_months(m.ads("ads_profit_de
 
 @query("q_overview")
 def q_overview(spark: SparkSession, root: str) -> DataFrame:
-    """Five blocks in one plan; their scans run side by side."""
+    """Five blocks; four are merged from one stored cube, so the fact is read twice in all."""
     fact = SalesModel.from_star(spark, root)
-    return serving.overview_rows({table: fact.ads(table) for table in serving.OVERVIEW.values()})
+    folder = scratch_dir(spark, "overview-cube")
+    cube = fact.cube()
+    writers.write_table(cube, folder)
+    stored = CubeModel(spark.read.schema(cube.schema).parquet(folder), fact)
+    return serving.overview_rows({table: stored.ads(table) for table in serving.OVERVIEW.values()})
 
 
 @query("q_dict_lookup")
@@ -358,14 +378,45 @@ def st_minute_metric_stream(spark: SparkSession, root: str) -> DataFrame:
     return plain_time(spark.read.schema(stored).parquet(f"{folder}/out").select(*minute.COLUMNS))
 
 
+def _archive(spark: SparkSession, root: str) -> LiveArchive:
+    """Alerts archived by the day of their event, as if each had been handled at once."""
+    folder = scratch_dir(spark, "alert-archive")
+    frame = alerts.alert_frame(_messages(spark, root), clock=F.col("event_time"))
+    alerts.write_batch(frame, ("run", 0), [alerts.ArchiveSink(f"{folder}/live")])
+    return LiveArchive(spark, f"{folder}/live", LoadStore(spark, folder), "ads_realtime_alert", schemas.REALTIME_ALERT)
+
+
 @query("q_recent_alerts")
 def q_recent_alerts(spark: SparkSession, root: str) -> DataFrame:
-    return plain_time(serving.recent_alerts(alerts.alert_frame(_messages(spark, root))).select(*ALERT_COLUMNS))
+    """The newest alerts of an archive, from its newest days alone."""
+    return plain_time(serving.newest_alerts(_archive(spark, root)).select(*ALERT_COLUMNS))
 
 
 @query("q_alert_status")
 def q_alert_status(spark: SparkSession, root: str) -> DataFrame:
-    return serving.alert_status(alerts.alert_frame(_messages(spark, root)))
+    return _archive(spark, root).status(serving.RECENT_ALERTS)
+
+
+@query("sink_alert_compacted")
+def sink_alert_compacted(spark: SparkSession, root: str) -> DataFrame:
+    """The archive after its older days were brought into closed form and a batch was replayed."""
+    archive = _archive(spark, root)
+    archive.compact(before=archive.days()[len(archive.days()) // 2])
+    frame = alerts.alert_frame(_messages(spark, root), clock=F.col("event_time"))
+    alerts.write_batch(frame, ("run", 0), [alerts.ArchiveSink(archive.live)])
+    return plain_time(archive.rows().select(*ALERT_COLUMNS))
+
+
+@query("st_minute_update_stream")
+def st_minute_update_stream(spark: SparkSession, root: str) -> DataFrame:
+    """All minutes, open ones too: newest versions, read back from the sink of the update stream."""
+    folder = scratch_dir(spark, "minute-updates")
+    conf = StreamConf(checkpoint=f"{folder}/checkpoint", available_now=True)
+    sinks = [minute.version_sink(f"{folder}/versions"), minute.JsonMetricSink(f"{folder}/topic")]
+    tagged = rules.tag(events.parse_events(_landed(spark, root, folder)))
+    minute.start_minute_updates(tagged, sinks, conf).awaitTermination()
+    archive = LiveArchive(spark, f"{folder}/versions", LoadStore(spark, folder), "minutes", minute.VERSIONS)
+    return plain_time(minute.newest_versions(archive.rows()).select(*minute.COLUMNS))
 
 
 # --- cleansing ------------------------------------------------------------------------
@@ -538,7 +589,7 @@ def sink_dws(spark: SparkSession, root: str) -> DataFrame:
     warehouse = StoredWarehouse(spark, scratch_dir(spark, "dws"))
     fact = SalesModel.from_star(spark, root)
     for table in ROLLUPS:
-        writers.write_table(fact.dws(table), warehouse.path(table))
+        warehouse.put(table, fact.dws(table))
     return serving.tagged_rows({table: warehouse.dws(table) for table in ROLLUPS}, "table_name")
 
 
@@ -547,7 +598,7 @@ def sink_ads(spark: SparkSession, root: str) -> DataFrame:
     warehouse = StoredWarehouse(spark, scratch_dir(spark, "ads"))
     fact = SalesModel.from_star(spark, root)
     for table in schemas.ADS:
-        writers.write_table(fact.ads(table), warehouse.path(table))
+        warehouse.put(table, fact.ads(table))
     return serving.tagged_rows({table: warehouse.ads(table) for table in schemas.ADS}, "table_name")
 
 
@@ -556,3 +607,78 @@ def batch_pipeline(spark: SparkSession, root: str) -> DataFrame:
     warehouse = StoredWarehouse(spark, scratch_dir(spark, "pipeline"))
     run_pipeline(warehouse, star.sales_fact(spark, root))
     return serving.tagged_rows({table: warehouse.ads(table) for table in schemas.ADS}, "table_name")
+
+
+def _catalog(spark: SparkSession, folder: str) -> WarehouseCatalog:
+    """Databases of their own for one call, over the tables below a folder."""
+    tag = uuid.uuid4().hex[:8]
+    conf = WarehouseConf(*(f"{layer}_{tag}" for layer in ("ods", "dwd", "dws", "ads")))
+    return WarehouseCatalog(spark, conf, LoadStore(spark, folder))
+
+
+def _cataloged(spark: SparkSession, root: str, folder: str) -> WarehouseCatalog:
+    """Bootstrap over the prepared fact and the whole pipeline, as catalog tables."""
+    catalog = _catalog(spark, folder)
+    writers.write_table(star.sales_fact(spark, root), f"{folder}/prepared")
+    catalog.bootstrap(f"{folder}/prepared")
+    warehouse = StoredWarehouse(spark, folder, catalog=catalog)
+    run_pipeline(warehouse, spark.table(catalog.name("ods_sales")))
+    warehouse.store_dictionary()
+    return catalog
+
+
+@query("schema_bootstrap")
+def schema_bootstrap(spark: SparkSession, root: str) -> DataFrame:
+    """Every catalog table with its columns, partitions and rows, after bootstrap and pipeline."""
+    catalog = _cataloged(spark, root, scratch_dir(spark, "warehouse"))
+    counts = None
+    for table, spec in catalog.specs().items():
+        frame = spark.table(catalog.name(table))
+        months = [F.countDistinct(F.coalesce(F.col("dt"), F.lit("")))] if spec.partition else [F.lit(0)]
+        row = frame.agg(F.count(F.lit(1)).alias("row_cnt"), months[0].cast("bigint").alias("partition_cnt")).select(
+            F.lit(table).alias("table_name"),
+            F.lit(spec.layer).alias("layer"),
+            F.lit(len(frame.columns)).alias("column_cnt"),
+            "partition_cnt",
+            "row_cnt",
+        )
+        counts = row if counts is None else counts.union(row)
+    return counts
+
+
+@query("catalog_tables")
+def catalog_tables(spark: SparkSession, root: str) -> DataFrame:
+    """Roll-ups and results through a second catalog, which finds them in the folders."""
+    folder = scratch_dir(spark, "warehouse")
+    _cataloged(spark, root, folder)
+    again = _catalog(spark, folder)
+    again.bootstrap(f"{folder}/prepared")
+    tables = [*ROLLUPS, *schemas.ADS]
+    return serving.tagged_rows({table: spark.table(again.name(table)) for table in tables}, "table_name")
+
+
+@query("pipeline_month_refresh")
+def pipeline_month_refresh(spark: SparkSession, root: str) -> DataFrame:
+    """All results after one month was loaded wrong with all others and then again, alone."""
+    warehouse = StoredWarehouse(spark, scratch_dir(spark, "pipeline"))
+    fact = star.sales_fact(spark, root)
+    in_month = F.date_format("sale_date", "yyyy-MM") == F.lit("1997-03")
+    wrong = fact.withColumns(
+        {
+            "sales_qty": F.when(in_month, F.col("sales_qty") * 7).otherwise(F.col("sales_qty")),
+            "model": F.when(in_month, F.concat("model", F.lit(" x"))).otherwise(F.col("model")),
+        }
+    )
+    run_pipeline(warehouse, wrong)
+    run_pipeline(warehouse, fact.where(in_month))
+    return serving.tagged_rows({table: warehouse.ads(table) for table in schemas.ADS}, "table_name")
+
+
+@query("distinct_models_merged")
+def distinct_models_merged(spark: SparkSession, root: str) -> DataFrame:
+    """Models per brand, merged from one set of models per brand and month."""
+    warehouse = StoredWarehouse(spark, scratch_dir(spark, "models"))
+    sold = SalesModel.from_star(spark, root).dwd(["brand", "model", "dt"]).distinct()
+    codes = warehouse.codes(sold.select("model"))
+    monthly = distinct.sets(sold.join(codes, "model"), ("brand", "dt"), F.col("code"))
+    return distinct.counted(monthly, ("brand",), "model_cnt")

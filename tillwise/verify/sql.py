@@ -446,7 +446,48 @@ SELECT p_partkey AS part_key, p_size AS size,
 FROM part
 """
 
+
+
+def _clusters(k: int, rounds: int) -> str:
+    """Rounds of k-means, one step each: a row of all centres, and every point with its group."""
+    dims = [f"{metric}_norm" for metric in _MODEL_METRICS]
+    points = "SELECT brand, model, " + ", ".join(f"{_norm(m)} AS {m}_norm" for m in _MODEL_METRICS)
+    points += " FROM model_growth CROSS JOIN model_bounds WHERE " + " AND ".join(f"{m} IS NOT NULL" for m in _MODEL_METRICS)
+    steps = [("points", points)]
+    start = ", ".join(f"{2 * i + 1} / CAST({2 * k} AS DOUBLE) AS c{i}_{d}" for i in range(k) for d in range(len(dims)))
+    steps.append(("centres0", f"SELECT {start}"))
+
+    def distance(i: int) -> str:
+        return " + ".join(f"({c} - c{i}_{d}) * ({c} - c{i}_{d})" for d, c in enumerate(dims))
+
+    def group(source: str) -> str:
+        least = f"LEAST({', '.join(f'd{i}' for i in range(k))})"
+        cases = " ".join(f"WHEN d{i} = {least} THEN {i}" for i in range(k))
+        columns = ", ".join(f"{distance(i)} AS d{i}" for i in range(k))
+        return f"SELECT *, CAST(CASE {cases} END AS INTEGER) AS cluster, {least} AS distance FROM (SELECT *, {columns} FROM points CROSS JOIN {source})"
+
+    for r in range(1, rounds + 1):
+        moved = []
+        for i in range(k):
+            for d, c in enumerate(dims):
+                total = f"SUM(CAST({c} AS DECIMAL(38, 9))) FILTER (WHERE cluster = {i})"
+                whole = f"CAST(FLOOR({total}) AS DOUBLE) + CAST(({total} - FLOOR({total})) * 1000000000 AS DOUBLE) / 1000000000"
+                moved.append(f"COALESCE(({whole}) / COUNT(*) FILTER (WHERE cluster = {i}), MAX(c{i}_{d})) AS c{i}_{d}")
+        steps.append((f"round{r}", group(f"centres{r - 1}")))
+        steps.append((f"centres{r}", f"SELECT {', '.join(moved)} FROM round{r}"))
+    level = [" + ".join(f"c{i}_{d}" for d in range(len(dims))) for i in range(k)]
+    rank = " ".join(
+        f"WHEN {i} THEN " + " + ".join(f"CAST({level[j]} < {level[i]} AS INTEGER)" for j in range(k) if j != i) for i in range(k)
+    )
+    last = group(f"centres{rounds}")
+    for name, body in steps:
+        _STEPS[name] = body
+    return f"SELECT brand, model, {', '.join(dims)}, CAST(CASE cluster {rank} END AS INTEGER) AS cluster, distance FROM ({last})"
+
+
 _USED = re.compile(r"[a-z_0-9]+")
+# steps that later ones read many times
+_ONCE = re.compile(r"points|centres\d+|round\d+")
 
 
 def _statement(body: str) -> str:
@@ -460,7 +501,9 @@ def _statement(body: str) -> str:
                 needed.append(word)
 
     visit(body)
-    steps = ",\n".join(f"{name} AS ({_STEPS[name].strip()})" for name in needed)
+    steps = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if _ONCE.fullmatch(name) else ''}({_STEPS[name].strip()})" for name in needed
+    )
     return f"WITH {steps}\n{body.strip()}" if steps else body.strip()
 
 
@@ -571,6 +614,7 @@ def statements() -> dict[str, str]:
         + " FROM model_growth CROSS JOIN model_bounds",
         "weighted_score": "SELECT brand, model, opportunity_score FROM model_scored",
         "weighted_score_cells": "SELECT brand, model, sale_ym, promotion, potential_score FROM cell_scored",
+        "ml_model_potential": _clusters(5, 20),
         "ads_profit_anomaly": "SELECT * FROM anomaly",
         "ads_metric_trend": "SELECT * FROM trend",
         "ads_low_contrib_model": "SELECT * FROM low_model",
@@ -671,6 +715,30 @@ def _schema_report(rows: str) -> str:
     return " UNION ALL ".join(lines)
 
 
+# Catalog tables with layer and number of columns; partitions, rows, and where they come from.
+_CATALOG = (
+    ("ods_sales", "ods", 34, "0", "COUNT(*)", " FROM ods"),
+    ("dwd_sales", "dwd", 47, "COUNT(DISTINCT COALESCE(dt, ''))", "COUNT(*)", " FROM dwd"),
+    ("dws_sales_daily", "dws", 12, "0", "COUNT(*)", " FROM daily"),
+    ("dws_sales_monthly", "dws", 14, "0", "COUNT(*)", " FROM monthly"),
+    ("dws_sales_by_brand", "dws", 13, "0", "COUNT(*)", " FROM by_brand"),
+    ("dws_sales_by_model", "dws", 14, "0", "COUNT(*)", " FROM by_model"),
+    ("dws_sales_by_channel", "dws", 10, "0", "COUNT(*)", " FROM by_channel"),
+    ("dws_sales_by_segment", "dws", 11, "0", "COUNT(*)", " FROM by_segment"),
+    ("ads_profit_anomaly", "ads", 6, "0", "COUNT(*)", " FROM anomaly"),
+    ("ads_metric_trend", "ads", 6, "0", "COUNT(*)", " FROM trend"),
+    ("ads_low_contrib_model", "ads", 7, "0", "COUNT(*)", " FROM low_model"),
+    ("ads_low_contrib_channel", "ads", 7, "0", "COUNT(*)", " FROM low_channel"),
+    ("ads_profit_decomp", "ads", 10, "0", "COUNT(*)", " FROM decomp"),
+    ("ads_high_value_model", "ads", 9, "0", "COUNT(*)", " FROM high_value"),
+    ("ads_segment_top_margin", "ads", 10, "0", "COUNT(*)", " FROM top_segment"),
+    ("ads_growth_potential", "ads", 11, "0", "COUNT(*)", " FROM potential"),
+    ("ads_realtime_alert", "ads", 20, "0", "0", ""),
+    ("dws_realtime_metric_1min", "dws", 11, "0", "0", ""),
+    ("ads_column_dict", "ads", 4, "0", "70", ""),
+)
+
+
 def _stored() -> dict[str, str]:
     return {
         "src_ods": "SELECT * FROM ods",
@@ -682,6 +750,16 @@ def _stored() -> dict[str, str]:
         "sink_dws": _named(_DWS_STEPS, "table_name"),
         "sink_ads": _named(_ADS_STEPS, "table_name"),
         "batch_pipeline": _named(_ADS_STEPS, "table_name"),
+        "catalog_tables": _named(_DWS_STEPS | _ADS_STEPS, "table_name"),
+        "pipeline_month_refresh": _named(_ADS_STEPS, "table_name"),
+        "distinct_models_merged": "SELECT brand, CAST(COUNT(DISTINCT model) AS BIGINT) AS model_cnt FROM dwd GROUP BY brand",
+        "schema_bootstrap": " UNION ALL ".join(
+            f"SELECT '{table}' AS table_name, '{layer}' AS layer, CAST({columns} AS INTEGER) AS column_cnt, "
+            f"CAST({parts} AS BIGINT) AS partition_cnt, CAST({rows} AS BIGINT) AS row_cnt{source}"
+            for table, layer, columns, parts, rows, source in _CATALOG
+        ),
+        "sink_alert_compacted": f"SELECT {_ALERT_COLUMNS} FROM alerts",
+        "st_minute_update_stream": "SELECT * FROM minute",
         "st_minute_metric_stream": """SELECT * FROM minute
   WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 5 MINUTE""",
     }
