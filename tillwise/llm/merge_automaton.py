@@ -17,11 +17,12 @@ other than the text are returned; ``ids`` and ``decoded`` replace columns of tha
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.memory import Memory
 from tillwise.llm.words import texts_of
 
-#: words remembered per worker
-MEMORY = 300_000
+#: pieces remembered per worker, in each of two halves
+HALF = 150_000
 #: arcs remembered per worker
 ARCS = 500_000
 ROWS_OUT = 2000
@@ -115,75 +117,97 @@ class MergeAutomaton:
         return known
 
     def segment(self, piece: bytes) -> list[int]:
-        """Tokens of one pre-split piece."""
+        """Tokens of one pre-split piece.
+
+        From each place the longest token that an arc allows comes first.  Every beginning of
+        a piece has a single accepted segmentation, so a place that leads nowhere is never
+        tried again, and the first path to the end is the segmentation.
+        """
         symbols = [self.inner[b] for b in piece[:-1]]
         symbols.append(self.final[piece[-1]])
         count, size, steps, ends, arcs = len(symbols), self.size, self.steps, self.ends, self.arcs
-        last = [-1] * (count + 1)
-        back = [0] * (count + 1)
-        for begin in range(count):
-            row, node, at = last[begin] * size, 0, begin
+        tokens: list[int] = []
+        begins: list[int] = []
+        choices: list[list[int]] = []
+        tried = 0
+        begin, row = 0, -1
+        while True:
+            node, at, found = 0, begin, []
             for symbol in symbols[begin : begin + self.longest]:
                 node = steps.get(node * size + symbol)
                 if node is None:
                     break
                 at += 1
-                if last[at] < 0:
-                    token = ends[node]
-                    if token >= 0:
-                        known = begin == 0 or arcs.get(row + token)
-                        if known or (known is None and self.follows(last[begin], token)):
-                            last[at], back[at] = token, begin
-        tokens = []
-        while count:
-            tokens.append(last[count])
-            count = back[count]
-        return tokens[::-1]
-
-
-class WordEncoder(dict):
-    """Token ids of a white-space separated word, as bytes of 32-bit ids."""
+                if ends[node] >= 0:
+                    found += ends[node], at
+            while True:
+                if not found:  # a dead end
+                    begin, found = begins.pop(), choices.pop()
+                    tokens.pop()
+                    row = tokens[-1] * size if tokens else -1
+                    continue
+                end, token = found.pop(), found.pop()
+                if tried >> end & 1:
+                    continue
+                known = row < 0 or arcs.get(row + token)
+                if known or (known is None and self.follows(row // size, token)):
+                    break
+            tokens.append(token)
+            if end == count:
+                return tokens
+            tried |= 1 << end
+            begins.append(begin)
+            choices.append(found)
+            begin, row = end, token * size
+
+
+class TextEncoder:
+    """Token ids of a text, and how they are written and spelled, piece by piece."""
 
     #: fixed value: the split of the public vocabulary; its white space is Unicode's
     PIECES = regex.compile(
         r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
     )
+    #: the same for lower-case ASCII
+    PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 
     def __init__(self, path: str):
-        super().__init__()
-        self.pieces: dict[str, list[int]] = {}
         with open(path, encoding="utf-8") as file:
             self.automaton = MergeAutomaton(json.load(file))
         marks = sorted(self.automaton.special, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, marks)) + ")")
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids: list[int] = []
-        for part in self.marks.split(word.decode("utf-8", "replace")):
+        #: ids of a piece as bytes of 32-bit numbers; in decimal; and their labels, joined by one space
+        self.ids = Memory(lambda piece: array("i", self.tokens(piece)).tobytes(), HALF)
+        self.written = Memory(lambda piece: " ".join(map(str, self.tokens(piece))), HALF)
+        self.spelled = Memory(lambda ids: self.decoded(map(int, ids.split())), HALF)
+
+    def tokens(self, piece: str) -> list[int]:
+        special = self.automaton.special.get(piece)
+        return self.automaton.segment(piece.encode()) if special is None else [special]
+
+    def pieces(self, text: str) -> list[str]:
+        """Pieces to be encoded one by one; strings of special tokens are pieces of their own."""
+        found: list[str] = []
+        for part in self.marks.split(text):
             if part in self.automaton.special:
-                ids.append(self.automaton.special[part])
-                continue
-            if part.isascii():
-                plain = part.lower()
+                found.append(part)
+            elif part.isascii():
+                found += self.PLAIN.findall(part.lower())
             else:  # one character at a time: no context rules
-                plain = "".join(map(str.lower, unicodedata.normalize("NFC", part)))
-            for piece in self.PIECES.findall(plain):
-                known = self.pieces.get(piece)
-                if known is None:
-                    if len(self.pieces) >= MEMORY:
-                        self.pieces.clear()
-                    known = self.pieces[piece] = self.automaton.segment(piece.encode())
-                ids += known
-        if len(self) >= MEMORY:
-            self.clear()
-        value = self[word] = array("i", ids).tobytes()
-        return value
+                plain = unicodedata.normalize("NFC", part)
+                plain = plain.lower() if "\u03a3" not in plain else "".join(map(str.lower, plain))
+                found += self.PIECES.findall(plain)
+        return found
+
+    def decoded(self, ids: Iterable[int]) -> str:
+        """The labels of the arcs that the ids stand for."""
+        return " ".join(map(self.automaton.labels.__getitem__, ids))
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> TextEncoder:
     """One automaton for all tasks of a worker."""
-    return WordEncoder(path)
+    return TextEncoder(path)
 
 
 def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
@@ -214,9 +238,10 @@ def encode(docs: DataFrame, path: str, *, text: str = "text") -> DataFrame:
     source = docs.withColumnRenamed(text, "__text").drop("ids")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
+        found = encoder(path)
         for batch in _parts(batches):
-            parts = [b"".join(map(words.__getitem__, t.split())) for t in texts_of(batch, "__text")]
+            texts = (t.decode("utf-8", "replace") for t in texts_of(batch, "__text"))
+            parts = [b"".join(map(found.ids.__getitem__, found.pieces(t))) for t in texts]
             yield _with_column(batch, "ids", _lists(parts)).select(names)
 
     names = [n for n in source.columns if n != "__text"] + ["ids"]
@@ -228,21 +253,38 @@ def decode(frame: DataFrame, path: str) -> DataFrame:
     source = frame.drop("decoded")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = encoder(path).automaton.labels
+        found = encoder(path)
         for batch in _parts(batches):
-            texts = [" ".join(map(labels.__getitem__, v.as_py() or ())) for v in batch.column("ids")]
+            texts = [found.decoded(v.as_py() or []) for v in batch.column("ids")]
             yield _with_column(batch, "decoded", pa.array(texts, pa.string()))
 
     return source.mapInArrow(task, _schema(source, "decoded", "string"))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Per document: token count and SHA-256 of the ids and of the decoded text."""
-    both = decode(encode(docs.select("doc_id", "text"), path), path)
-    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(joined, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """Per document: token count and SHA-256 of the ids and of the decoded text.
+
+    Both are written piece by piece while the text is encoded, so neither the ids nor the
+    decoded text leave the task.
+    """
+    source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = encoder(path)
+        for batch in batches:
+            counts, first, second = [], [], []
+            for text in texts_of(batch):
+                ids = list(map(found.written.__getitem__, found.pieces(text.decode("utf-8", "replace"))))
+                whole = " ".join(ids)
+                counts.append(whole.count(" ") + 1 if ids else 0)
+                first.append(_digest(whole))
+                second.append(_digest(" ".join(map(found.spelled.__getitem__, ids))))
+            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(first), pa.array(second)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return source.mapInArrow(task, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
