@@ -13,11 +13,11 @@ at cells up to the rank at which about ``k ln k + 2k`` darts hit it, so the work
 document is its length plus a constant; where a coordinate stays empty the rank doubles.
 
 Signatures are cut into bands; documents that share a band are candidates.  Within a band,
-members are compared with few representatives at first; bands whose members fall into one
-component are done, in the others all members are compared across components, so no link
-between components is left untested.  Before each round, elements
-that one text alone holds are set aside: they are in no overlap, so what is left of a text
-bounds its similarity to any other, and members too far from all others leave the band.
+members are compared with few representatives at first, after elements that one text alone
+holds are set aside: they are in no overlap, so what is left of a text bounds its similarity
+to any other.  Bands whose members fall into one component are done.  The texts of the
+others are joined across components by rare elements, of which two texts at the threshold
+must share one, so no link between components is left untested (see ``_sharing_rare``).
 Candidates are compared exactly by their texts.  Similarity at the threshold makes a link, links make classes.
 
 Texts of one to four words have one element, all their words.  NULL, empty and blank texts
@@ -33,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm.components import components, merged, stored
@@ -253,43 +253,16 @@ def node_classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
     pairs = _possible(first.join(weights, "rep"), params)
     links = stored(_links(pairs, texts, params), "links")
     labels = components(links)
-    # about 8 representatives per band at first, then all members
-    for before, spread in ((0, 3), (3, 63)):
-        members = live.join(labels, "node", "left").select(
-            "bucket", "members", "node", "weight", F.coalesce("component", "node").alias("component")
-        )
-        apart = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        step = F.greatest(F.lit(1), F.shiftright("members", spread))
-        # a band is through once all of its members have been representatives
-        due = members.join(apart.select("bucket"), "bucket").where(
-            (F.shiftright("members", before) > 1) & (F.col("members") > 2)
-        )
-        due = stored(due, "due")
-        if not due.limit(1).count():
-            break
-        # who leaves a band has no link in it, so the later rounds do without
-        due = _within_reach(due, texts, params)
-        live = due.select("bucket", "members", "node", "weight")
-        reps = due.where(F.pmod(F.xxhash64("node"), step) == 0).select(
-            F.col("bucket").alias("rep_bucket"),
-            F.col("node").alias("rep"),
-            F.col("weight").alias("rep_weight"),
-            F.col("common").alias("rep_common"),
-            F.col("component").alias("rep_component"),
-        )
-        other = (F.col("bucket") == F.col("rep_bucket")) & (F.col("component") != F.col("rep_component"))
-        near = _enough(F.least("common", "rep_common"), F.col("weight") + F.col("rep_weight"), params)
-        cross = due.join(reps, other & near)
-        member = F.struct("node", "weight", "component")
-        other_member = F.struct(*(F.col(f"rep_{c}" if c != "node" else "rep").alias(c) for c in ("node", "weight", "component")))
-        ordered = (
-            cross.select(F.least(member, other_member).alias("x"), F.greatest(member, other_member).alias("y"))
-            .distinct()
-            .select("x.*", *(F.col(f"y.{c}").alias(f"rep_{c}" if c != "node" else "rep") for c in ("node", "weight", "component")))
-        )
-        more = stored(_links(_possible(ordered, params), texts, params), "links")
-        if more.limit(1).count():
-            labels = merged(labels, more)
+    due = stored(_undecided(live, labels), "due")
+    if due.limit(1).count():
+        numbered, held = _held(due, texts, params)
+        # about 8 representatives per band join most components
+        due = _within_reach(due, numbered, held, params)
+        links = stored(_links(_possible(_with_representatives(due, params), params), texts, params), "links")
+        labels = merged(labels, links) if links.limit(1).count() else labels
+        due = stored(_undecided(due.select("bucket", "members", "node", "weight"), labels), "due")
+        links = stored(_links(_sharing_rare(due, numbered, held, params), texts, params), "links")
+        labels = merged(labels, links) if links.limit(1).count() else labels
     joined = nodes.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     keepers = joined.groupBy("class").agg(F.min("first").alias("keeper"))
     return stored(
@@ -305,12 +278,17 @@ def _enough(overlap: Column, weights: Column, params: Params) -> Column:
     return overlap * (1 + params.threshold) >= weights * (params.threshold * (1 - 1e-9))
 
 
-def _within_reach(due: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
-    """Members of ``due`` that can have a link in their band, with ``common``.
+def _undecided(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their component, of bands that hold several components and more than a pair."""
+    members = live.join(labels, "node", "left").select(
+        "bucket", "members", "node", "weight", F.coalesce("component", "node").alias("component")
+    )
+    apart = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    return members.join(apart.select("bucket"), "bucket").where("members > 2")
 
-    ``common`` is the weight of a text's elements that other texts of ``due`` hold too, and
-    so the most that it can share with any of them.
-    """
+
+def _held(due: DataFrame, texts: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """``node, number`` of the texts in ``due``, and their elements as ``number, key, weight``."""
     numbered = stored(due.select("node").distinct().withColumn("number", F.monotonically_increasing_id()), "numbered")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,6 +302,15 @@ def _within_reach(due: DataFrame, texts: DataFrame, params: Params) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["number", "key", "weight"])
 
     held = texts.join(numbered, "node").select("number", "text").mapInArrow(task, "number long, key long, weight long")
+    return numbered, stored(held, "elements")
+
+
+def _within_reach(due: DataFrame, numbered: DataFrame, held: DataFrame, params: Params) -> DataFrame:
+    """Members of ``due`` that can have a link in their band, with ``common``.
+
+    ``common`` is the weight of a text's elements that other texts of ``due`` hold too, and
+    so the most that it can share with any of them.
+    """
     holders = held.groupBy("key").agg(
         F.count("*").alias("texts"), F.max("number").alias("number"), F.sum("weight").alias("weight")
     )
@@ -336,6 +323,62 @@ def _within_reach(due: DataFrame, texts: DataFrame, params: Params) -> DataFrame
     return stored(rest.join(bounds, "bucket").where(near).drop("lightest", "most"), "reach")
 
 
+def _with_representatives(due: DataFrame, params: Params) -> DataFrame:
+    """Each member with about 8 others of its band, of other components, as ``node, rep`` with weights."""
+    step = F.greatest(F.lit(1), F.shiftright("members", 3))
+    reps = due.where(F.pmod(F.xxhash64("node"), step) == 0).select(
+        F.col("bucket").alias("rep_bucket"),
+        F.col("node").alias("rep"),
+        F.col("weight").alias("rep_weight"),
+        F.col("common").alias("rep_common"),
+        F.col("component").alias("rep_component"),
+    )
+    other = (F.col("bucket") == F.col("rep_bucket")) & (F.col("component") != F.col("rep_component"))
+    near = _enough(F.least("common", "rep_common"), F.col("weight") + F.col("rep_weight"), params)
+    cross = due.join(reps, other & near)
+    member = F.struct("node", "weight", "component")
+    other_member = F.struct(*(F.col(f"rep_{c}" if c != "node" else "rep").alias(c) for c in ("node", "weight", "component")))
+    return (
+        cross.select(F.least(member, other_member).alias("x"), F.greatest(member, other_member).alias("y"))
+        .distinct()
+        .select("x.*", *(F.col(f"y.{c}").alias(f"rep_{c}" if c != "node" else "rep") for c in ("node", "weight", "component")))
+    )
+
+
+def _sharing_rare(due: DataFrame, numbered: DataFrame, held: DataFrame, params: Params) -> DataFrame:
+    """Pairs ``a, b`` of texts in different components with their components; no link between any is left out.
+
+    Elements are ordered from the rarest on.  Texts x and y of weights X <= Y at the threshold
+    t share weight t (X + Y) / (1 + t) at least, so 2tX / (1 + t) and also tY.  Hence they
+    share an element among the first of x, up to the point where less than the one is left,
+    and the first of y, up to the point where less than the other is left.  Texts of equal
+    weight both play the part of x.  What many texts share comes last in the order: edits of
+    one text meet by the edits that they share, not by the text itself.
+    """
+    t = params.threshold
+    texts = due.select("node", "component", F.col("weight").alias("total")).distinct().join(numbered, "node")
+    own = held.join(texts.select("number", "total", "component"), "number")
+    spread = own.groupBy("key").agg(
+        F.count("*").alias("texts"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    rarest_first = Window.partitionBy("number").orderBy("texts", "key").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("weight").over(rarest_first), F.lit(0))
+    slack = F.col("total") * (1 + 1e-9)
+    ranked = own.join(spread, "key").withColumn("before", before)
+    first = (
+        ranked.where((F.col("before") <= slack - t * F.col("total")) & (F.col("low") != F.col("high")))
+        .withColumn("light", F.col("before") <= slack - 2 * t / (1 + t) * F.col("total"))
+        .select("key", "number", "total", "component", "light")
+    )
+    x = first.where("light").select("key", *(F.col(c).alias(f"x_{c}") for c in ("number", "total", "component")))
+    heavier = (F.col("x_total") < F.col("total")) & (F.col("x_total") >= t * (1 - 1e-9) * F.col("total"))
+    equal = (F.col("x_total") == F.col("total")) & F.col("light") & (F.col("x_number") < F.col("number"))
+    met = first.join(x, "key").where((F.col("component") != F.col("x_component")) & (heavier | equal))
+    pairs = met.select("number", "x_number", "component", F.col("x_component").alias("rep_component")).distinct()
+    names = numbered.select("number", F.col("node").alias("a")), numbered.select(F.col("number").alias("x_number"), F.col("node").alias("b"))
+    return pairs.join(names[0], "number").join(names[1], "x_number").select("a", "b", "component", "rep_component")
+
+
 def _possible(pairs: DataFrame, params: Params) -> DataFrame:
     """Pairs whose total weights allow the similarity."""
     light, heavy = F.least("weight", "rep_weight"), F.greatest("weight", "rep_weight")
