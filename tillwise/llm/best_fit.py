@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillwise.config import scratch_dir
+from tillwise.llm.memory import Memory
 
 CAPACITY = 2048
 OPEN_BINS = 256
-MEMORY = 300_000
+#: segments remembered per task, in each of two halves
+HALF = 150_000
 END = array("i", [0]).tobytes()
 # Fixed value: the split of the public vocabulary.
 _PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -84,11 +86,11 @@ class Packer:
         return [(n, self.capacity - free) for free, held in enumerate(self.bins) for n in held]
 
 
-class SegmentIds(dict):
+class SegmentIds(Memory):
     """Ids of one space-led segment, as bytes of 32-bit ids."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(self._segment, HALF)
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -97,13 +99,10 @@ class SegmentIds(dict):
         ranks = {bytes(symbols[c] for c in label): i for label, i in spec["model"]["vocab"].items()}
         self.plain = tiktoken.Encoding("ranks", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
 
-    def __missing__(self, segment: str) -> bytes:
+    def _segment(self, segment: str) -> bytes:
         # a segment that starts with a line end was not led by a space
         text = segment if segment[:1] == "\n" else " " + segment
-        if len(self) >= MEMORY:
-            self.clear()
-        value = self[segment] = array("i", self.plain.encode_ordinary(text)).tobytes()
-        return value
+        return array("i", self.plain.encode_ordinary(text)).tobytes()
 
     def ids(self, text: str) -> bytes:
         if any(mark in text for mark in self.special):
@@ -164,6 +163,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, open
                 yield _batch(rows)
         rows = [(None, -1, 0, held, 0, partition + number, 0) for number, held in packer.remaining()]
         yield _batch(rows)
+        encoder.forget()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession

@@ -49,42 +49,52 @@ def _unpacked(low: bytes, high: bytes) -> np.ndarray:
     return upper | np.frombuffer(low, np.uint32).astype(np.uint64)
 
 
-def _merged(keys: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys; flags joined, with the mark of a second place where due."""
-    order = np.argsort(keys, kind="stable")
-    keys, flags = keys[order], flags[order]
-    fresh = np.ones(len(keys), bool)
-    fresh[1:] = keys[1:] != keys[:-1]
-    starts = np.flatnonzero(fresh)
-    if not len(starts):
-        return keys, flags
-    joined = np.bitwise_or.reduceat(flags, starts)
-    several = np.diff(np.append(starts, len(keys))) > 1
-    return keys[starts], np.where(several, joined | _TWICE, joined)
-
-
-def _block_windows(words: Words, hashes: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, keys and block flags of the rolling windows of block size."""
+def _merged(sent: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys, flags joined, with the mark of a second place where due; sorts in place."""
+    if not len(sent):
+        return sent
+    sent.sort()
+    keys = sent & _KEY
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    del keys
+    joined = np.bitwise_or.reduceat(sent, starts)
+    joined[np.diff(np.append(starts, len(sent))) > 1] |= _TWICE
+    return joined
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(known, values)
+    at[at == len(known)] = 0
+    return known[at] == values
+
+
+def _block_windows(words: Words, hashes: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the rolling windows of block size, and their keys with block flags."""
     starts = words.window_starts(block)
     if not len(starts):
-        return starts, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    keys = HASH_A.windows(hashes, block)[starts] & _KEY
+        return starts, np.zeros(0, np.uint64)
+    keys = HASH_A.windows(hashes, block)[starts]
+    keys &= _KEY
     within = starts - words.first[words.text_of[starts]]
-    return starts, keys, np.where(within % block == 0, _BLOCK, np.uint64(0))
+    keys[within % block == 0] |= _BLOCK
+    return starts, keys
 
 
 def _block_part(shards: int, block: int):
     def task(key, table):
-        keys, flags = [], []
+        keys = [np.zeros(0, np.uint64)]
         for texts in slices(texts_of(table)):
             words = Words.of(texts)
-            _, found, marks = _block_windows(words, words.hashes(HASH_A), block)
-            keys.append(found)
-            flags.append(marks)
-        merged, joined = _merged(np.concatenate(keys), np.concatenate(flags))
+            keys.append(_merged(_block_windows(words, words.hashes(HASH_A), block)[1]))
+        # a key of two slices occurs at two places as well
+        merged = _merged(np.concatenate(keys))
+        del keys
         rows = []
-        for shard, begin, end in runs_by_shard(shard_of(merged, shards), shards):
-            rows.append((shard, key[0].as_py(), *_packed(merged[begin:end] | joined[begin:end])))
+        for shard, begin, end in runs_by_shard(shard_of(merged, shards)):
+            rows.append((shard, key[0].as_py(), *_packed(merged[begin:end])))
         return _table(rows, _SENT)
 
     return task
@@ -93,13 +103,12 @@ def _block_part(shards: int, block: int):
 def _answer(table: pa.Table) -> pa.Table:
     """Per chunk, its keys that are a block somewhere and occur at two places."""
     parts = [_unpacked(low.as_py(), high.as_py()) for low, high in zip(table["low"], table["high"], strict=True)]
-    sent = np.concatenate(parts)
-    keys, flags = _merged(sent & _KEY, sent & ~_KEY)
-    hits = keys[flags == _BLOCK | _TWICE]
+    merged = _merged(np.concatenate(parts))
+    hits = merged[(merged & ~_KEY) == (_BLOCK | _TWICE)] & _KEY
     rows = []
     for chunk, part in zip(table["chunk"].to_pylist(), parts, strict=True):
         own = part & _KEY
-        own = own[np.isin(own, hits, assume_unique=True)]
+        own = own[_among(own, hits)]
         if len(own):
             rows.append((chunk, *_packed(own)))
     return _table(rows, _ASKED)
@@ -107,13 +116,15 @@ def _answer(table: pa.Table) -> pa.Table:
 
 def _hit_keys(asked: pa.Table) -> np.ndarray:
     parts = [_unpacked(low.as_py(), high.as_py()) for low, high in zip(asked["low"], asked["high"], strict=True)]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    found = np.concatenate([np.zeros(0, np.uint64), *parts])
+    found.sort()
+    return found
 
 
 def _around_hits(words: Words, hashes: np.ndarray, hits: np.ndarray, length: int, block: int) -> np.ndarray:
     """Starts of the windows that hold a hit."""
-    starts, keys, _ = _block_windows(words, hashes, block)
-    at = starts[np.isin(keys & _LOW48, hits)]
+    starts, keys = _block_windows(words, hashes, block)
+    at = starts[_among(keys & (_LOW48 & _KEY), hits)]
     room = length - block
     change = np.zeros(len(hashes) + 1, np.int64)
     np.add.at(change, np.maximum(at - room, words.first[words.text_of[at]]), 1)
@@ -155,7 +166,7 @@ def _extension_part(length: int, shards: int, block: int):
         pairs = pairs[:, starts]
         rows = [
             (shard, key[0].as_py(), *_packed(pairs[0, a:b]), _half(pairs[1, a:b]).tobytes(), twice[a:b].tobytes())
-            for shard, a, b in runs_by_shard(shard_of(pairs[0], shards), shards)
+            for shard, a, b in runs_by_shard(shard_of(pairs[0], shards))
         ]
         return _table(rows, _EXTENDED)
 
@@ -204,6 +215,9 @@ def _removal_part(length: int, columns: list[str]):
         sent = _pairs(repeated)
         first, second = (np.concatenate([np.zeros(0, np.uint64), *part]) for part in sent)
         known = _joined(first, second)
+        known.sort()
+        first.sort()
+        del sent, second
         n_words, n_removed, kept = [], [], []
         for texts in slices(texts_of(docs)):
             words = Words.of(texts)
@@ -212,10 +226,10 @@ def _removal_part(length: int, columns: list[str]):
             windows = words.window_starts(length)
             if len(known) and len(windows):
                 keys = HASH_A.windows(words.hashes(HASH_A), length)[windows]
-                maybe = windows[np.isin(keys & _LOW48, first)]
+                maybe = windows[_among(keys & _LOW48, first)]
                 one, two = _window_keys(words, maybe, length)
                 own = _joined(one & _LOW48, _half(two))
-                starts = maybe[np.isin(own, known)]
+                starts = maybe[_among(own, known)]
                 change = np.zeros(total + 1, np.int64)
                 np.add.at(change, starts, 1)
                 np.add.at(change, starts + length, -1)

@@ -15,8 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 6 << 20
-SHARD_BITS = 20
+CHUNK_BYTES = 3 << 20
+SHARD_BITS = 32
 
 
 def chunked(docs: DataFrame, *, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
@@ -35,7 +35,10 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(64 - SHARD_BITS)) * np.uint64(shards)) >> np.uint64(SHARD_BITS)
 
 
-def runs_by_shard(owners: np.ndarray, shards: int) -> list[tuple[int, int, int]]:
-    """Shard, begin and end of each run in a sorted array of owners."""
-    bounds = np.searchsorted(owners, np.arange(shards + 1, dtype=owners.dtype))
-    return [(s, int(a), int(b)) for s, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b]
+def runs_by_shard(owners: np.ndarray) -> list[tuple[int, int, int]]:
+    """Shard, begin and end of each run in a sorted array of owners; only those that occur."""
+    if not len(owners):
+        return []
+    starts = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
+    ends = np.append(starts[1:], len(owners))
+    return list(zip(owners[starts].tolist(), starts.tolist(), ends.tolist(), strict=True))

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import functools
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,9 +29,11 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.memory import Memory
 from tillwise.llm.words import HASH_A, Words, slices, texts_of
 
-MEMORY = 300_000
+#: words remembered per task, in each of two halves
+HALF = 150_000
 # The symbols that are counted, and the split of the public vocabulary.
 _SYMBOLS = b"#*$%&|<>"
 _PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -75,23 +78,20 @@ def _ranks(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
 
 
-class WordCosts(dict):
+class WordCosts(Memory):
     """Per word: ids under the rank vocabulary, pieces and byte pieces under the other."""
 
     def __init__(self, ranks_path: str, pieces_path: str):
-        super().__init__()
+        super().__init__(self._costs, HALF)
         self.ranks = _ranks(ranks_path)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         self.is_byte = [self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())]
 
-    def __missing__(self, word: bytes) -> tuple[bytes, int, int]:
+    def _costs(self, word: bytes) -> tuple[bytes, int, int]:
         text = word.decode("utf-8", "replace")
-        ids = np.array(self.ranks.encode_ordinary(" " + text), np.int32)
+        ids = array("i", self.ranks.encode_ordinary(" " + text))
         pieces = self.pieces.encode(text)
-        if len(self) >= MEMORY:
-            self.clear()
-        value = self[word] = (ids.tobytes(), len(pieces), sum(map(self.is_byte.__getitem__, pieces)))
-        return value
+        return ids.tobytes(), len(pieces), sum(map(self.is_byte.__getitem__, pieces))
 
 
 @functools.lru_cache(maxsize=2)
@@ -190,6 +190,7 @@ def measure(
                 values = [pa.array(found[k], t) for k, t in MEASURES.items()]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays([*kept, script, *values], [*keep, "script", *MEASURES])
+        costs.forget()
 
     kept = ", ".join(f"`{k}` {source.schema[k].dataType.simpleString()}" for k in keep)
     measures = ", ".join(f"{k} {_KINDS[t]}" for k, t in MEASURES.items())

@@ -12,7 +12,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
+#: powers kept between calls; longer texts make theirs anew
+KEPT_POWERS = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -48,6 +50,12 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def _powers(factor: int, count: int) -> np.ndarray:
+    table = np.full(count, factor, np.uint64)
+    table[0] = 1
+    return np.multiply.accumulate(table, out=table)
+
+
 class RunHash:
     """Hashes of runs in a sequence of 64-bit values by a polynomial modulo 2**64.
 
@@ -61,20 +69,25 @@ class RunHash:
         self._powers = self._inverses = np.ones(1, np.uint64)
 
     def _upto(self, count: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self._powers) < count:
-            size = 1 << (count - 1).bit_length()
-            for name, factor in (("_powers", self.base), ("_inverses", self.inverse)):
-                table = np.full(size, factor, np.uint64)
-                table[0] = 1
-                setattr(self, name, np.multiply.accumulate(table))
+        if len(self._powers) >= count:
+            return self._powers[:count], self._inverses[:count]
+        size = min(KEPT_POWERS, 1 << (count - 1).bit_length())
+        if size < count:
+            return _powers(self.base, count), _powers(self.inverse, count)
+        self._powers, self._inverses = _powers(self.base, size), _powers(self.inverse, size)
         return self._powers[:count], self._inverses[:count]
 
     def runs(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         powers, inverses = self._upto(len(values) + 1)
         sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * powers[: len(values)], out=sums[1:])
-        found = (sums[ends] - sums[starts]) * inverses[starts]
-        return mixed(found ^ (ends - starts).astype(np.uint64))
+        np.multiply(values, powers[: len(values)], out=sums[1:])
+        np.cumsum(sums, out=sums)
+        found = sums[ends]
+        found -= sums[starts]
+        del sums
+        found *= inverses[starts]
+        found ^= (ends - starts).astype(np.uint64)
+        return mixed(found)
 
     def windows(self, values: np.ndarray, length: int) -> np.ndarray:
         """Hash of every window of ``length`` values, by its start."""
