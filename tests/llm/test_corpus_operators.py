@@ -6,12 +6,14 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.llm import block_anchors, context_mixing, dart_minhash, disclosure, ngram_toxicity, pivot_index
 from tillwise.llm.queries import ORACLE, REGISTRY
@@ -262,6 +264,41 @@ def test_private_data_of_odd_texts(documents):
     assert disclosure.find(documents([])).count() == 0
 
 
+def test_texts_with_very_many_matches(documents):
+    """Logs and tables of numbers end in seconds, with every span in place."""
+    rng = random.Random(21)
+    numbers = " ".join(str(rng.randint(10, 99)) + ("é" if i % 7 else "😀") for i in range(100_000))
+    log = "\n".join(f"10.{i % 256}.{i // 256 % 256}.7 user{i}@host.org said é {rng.randint(0, 9)}" for i in range(6_000))
+    texts = [numbers, log, "plain"]
+    started = time.monotonic()
+    private_rows_are_right(disclosure.report(disclosure.find(documents(texts))).collect(), dict(enumerate(texts)))
+    clean = {r.doc_id: r.text for r in disclosure.sanitised(documents(texts)).collect()}
+    assert time.monotonic() - started < 90
+    expected, at = [], 0
+    for start, _, kind, stop in plain_spans(log):
+        expected += [log[at:start], disclosure.MARKS[kind]]
+        at = stop
+    expected.append(log[at:])
+    assert re.sub(r"\[IP-RELATED\]|\[EMAIL-RELATED\]|user|said|é", "", clean[1]) == re.sub("user|said|é", "", "".join(expected))
+    assert clean[0] == numbers and clean[2] == "plain"
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 3, 10, 99, 1000])
+def test_running_results(spark, size):
+    rng = random.Random(size)
+    values = [rng.randint(-50, 50) for _ in range(size)]
+    row = (
+        spark.createDataFrame([(values,)], "v array<int>")
+        .select(
+            disclosure.running(F.col("v"), lambda a, x: a + x, F.lit(0)).alias("sums"),
+            disclosure.running(F.col("v"), F.greatest, F.lit(-99)).alias("most"),
+        )
+        .first()
+    )
+    assert row.sums == [sum(values[: i + 1]) for i in range(size)]
+    assert row.most == [max(values[: i + 1]) for i in range(size)]
+
+
 def test_terms_that_give_an_entity_away(documents):
     rng = random.Random(11)
     fill = lambda: " ".join(words(rng, 4))

@@ -25,6 +25,7 @@ are.  A repeated row gives a repeated result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM = r"\p{L}[\p{L}\p{M}]*+"
+BLOCK = 512
 _SPAN = "struct<start:int,stop:int,rank:int,kind:string>"
 
 
@@ -56,24 +58,76 @@ class Params:
     remove_at: float = 0.98
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, also where lambdas below use it many times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """Running results of an associative ``merge`` over an array, each with its own element.
+
+    Blocks of about the square root of the length are merged first, so each place needs the
+    blocks before it and its own block only.
+    """
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, zero, lambda a, x: merge(a, x))
+
+    def over(v: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(v))).cast("int"))
+        return let(width, lambda w: let(_blocks(v, w), lambda blocks: let(_before(blocks), lambda b: _places(v, w, b))))
+
+    def _blocks(v: Column, w: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / w).cast("int"))
+        return F.transform(numbers, lambda n: total(F.slice(v, n * w + 1, w)))
+
+    def _before(blocks: Column) -> Column:
+        return F.transform(blocks, lambda _, n: total(F.slice(blocks, F.lit(1), n)))
+
+    def _places(v: Column, w: Column, before: Column) -> Column:
+        def place(_: Column, i: Column) -> Column:
+            block = F.floor(i / w).cast("int")
+            return merge(F.get(before, block), total(F.slice(v, block * w + 1, i - block * w + 1)))
+
+        return F.transform(v, place)
+
+    return let(values, lambda v: F.when(F.size(v) > 0, over(v)).otherwise(v))
+
+
+def _sums(values: Column) -> Column:
+    return running(values, lambda a, x: a + x, F.lit(0))
+
+
 def located(text: Column, pattern: str) -> Column:
     """``start, stop, value`` of every match; offsets count code points.
 
-    The pieces between matches and the matches themselves alternate, so the start of a
-    match is the length of all pieces up to it and of all earlier matches.
+    The pieces between matches and the matches themselves alternate, so a match ends where
+    the lengths of all pieces and matches up to it add up to.
     """
+
+    def placed(found: Column, gaps: Column) -> Column:
+        ends = _sums(F.transform(found, lambda value, i: F.get(gaps, i) + F.length(value)))
+
+        def span(value: Column, i: Column, at: Column) -> Column:
+            return F.struct((F.get(at, i) - F.length(value)).alias("start"), F.get(at, i).alias("stop"), value.alias("value"))
+
+        return let(ends, lambda at: F.transform(found, lambda value, i: span(value, i, at)))
+
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda piece: F.length(piece))
-    sizes = F.transform(found, lambda value: F.length(value))
+    return let(found, lambda f: let(gaps, lambda g: placed(f, g)))
+
 
-    def total(values: Column, count: Column) -> Column:
-        return F.aggregate(F.slice(values, F.lit(1), count), F.lit(0), lambda a, x: a + x)
+def cut(text: Column) -> Column:
+    """A text in blocks of ``BLOCK`` code points, so that parts of long texts are found fast."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
 
-    def placed(value: Column, i: Column) -> Column:
-        start = total(gaps, i + 1) + total(sizes, i)
-        return F.struct(start.alias("start"), (start + F.length(value)).alias("stop"), value.alias("value"))
 
-    return F.transform(found, placed)
+def part_of(blocks: Column, at: Column, size: Column) -> Column:
+    """``size`` code points from offset ``at`` of a text in blocks."""
+    first, last = F.floor(at / BLOCK).cast("int"), F.floor((at + size) / BLOCK).cast("int")
+    near = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+    return F.substring(near, at - first * BLOCK + 1, size)
 
 
 def _small(part: Column) -> Column:
@@ -152,53 +206,89 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
 
 
+def _masked(text: Column) -> Column:
+    """The text with blanks in place of its mail addresses, whose parts are no terms."""
+    email = PATTERNS["email"]
+    found = F.regexp_extract_all(text, F.lit(email), F.lit(0))
+
+    def blanks(values: Column, i: Column) -> Column:
+        return F.coalesce(F.repeat(F.lit(" "), F.length(F.get(values, i))), F.lit(""))
+
+    whole = let(found, lambda f: F.array_join(F.transform(F.split(text, email, -1), lambda gap, i: F.concat(gap, blanks(f, i))), ""))
+    return F.when(text.contains("@"), whole).otherwise(text)
+
+
 def _near(keyed: DataFrame, reach: int) -> DataFrame:
     """Terms within ``reach`` of each base span: ``text_key, kind, groups, term``."""
-    text, size = F.col("text"), F.length("text")
 
-    def window(s: Column) -> Column:
+    def window(s: Column, blocks: Column, size: Column) -> Column:
         begin = F.greatest(s["start"] - reach, F.lit(0))
-        left = F.substring(text, begin + 1, s["start"] - begin)
-        right = F.substring(text, s["stop"] + 1, F.lit(reach))
+        left = part_of(blocks, begin, s["start"] - begin)
+        right = part_of(blocks, s["stop"], F.lit(reach))
         # a term that the edge of the window may have cut is left out
         left = F.when(begin > 0, F.regexp_replace(left, r"^[\p{L}\p{M}]+", "")).otherwise(left)
         right = F.when(s["stop"] + reach < size, F.regexp_replace(right, r"[\p{L}\p{M}]++$", "")).otherwise(right)
         return F.struct(
             s["kind"].alias("kind"),
             F.array(s["kind"], F.concat_ws(":", s["kind"], normal_value(s["kind"], s["value"]))).alias("groups"),
-            # the text itself knows which words are parts of a mail address
-            F.array_intersect(_words(F.concat_ws(" ", left, right)), F.col("words")).alias("terms"),
+            _words(F.concat_ws(" ", left, right)).alias("terms"),
         )
 
+    text, spans = F.col("text"), F.col("spans")
     held = keyed.withColumn("spans", base_spans(text)).where(F.size("spans") > 0)
-    windows = held.withColumn("words", _words(text)).select("text_key", F.explode(F.transform("spans", window)).alias("w"))
+    near = let(cut(_masked(text)), lambda blocks: let(F.length(text), lambda size: F.transform(spans, lambda s: window(s, blocks, size))))
+    windows = held.select("text_key", F.explode(near).alias("w"))
     return windows.select("text_key", "w.kind", "w.groups", F.explode("w.terms").alias("term"))
 
 
 def _marked_terms(text: Column, marks: Column) -> Column:
-    """Every place in a text of the terms in ``marks``, in one pass over its pieces."""
-    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-    gaps = F.slice(F.split(text, TERM, -1), F.lit(1), F.size(found))
+    """Every place in a text of the terms in ``marks``."""
     kind = f"array<{_SPAN[:-1]},mark:string>>"
-
-    def step(held: Column, piece: Column) -> Column:
-        start = held["at"] + F.length(piece["gap"])
-        stop = start + F.length(piece["word"])
-        mark = F.element_at(marks, F.lower(piece["word"]))
-        span = F.struct(
-            start.alias("start"),
-            stop.alias("stop"),
+    spans = F.transform(
+        located(text, TERM),
+        lambda m: F.struct(
+            m["start"].alias("start"),
+            m["stop"].alias("stop"),
             F.lit(len(BASE_KINDS)).alias("rank"),
             F.lit("term").alias("kind"),
-            mark.alias("mark"),
+            F.element_at(marks, F.lower(m["value"])).alias("mark"),
+        ),
+    )
+    return F.filter(spans, lambda m: m["mark"].isNotNull()).cast(kind)
+
+
+def _apart(terms: Column, base: Column) -> Column:
+    """Terms that touch no base span, by one pass over both in order of their starts."""
+    ordered = F.array_sort(
+        F.concat(
+            F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(False).alias("term"), b["stop"].alias("stop"), F.lit(-1).alias("at"))),
+            F.transform(terms, lambda t, i: F.struct(t["start"].alias("start"), F.lit(True).alias("term"), t["stop"].alias("stop"), i.alias("at"))),
+        )
+    )
+    far = F.lit(2**31 - 1)
+
+    def judged(both: Column) -> Column:
+        reached = running(F.transform(both, lambda s: F.when(s["term"], F.lit(0)).otherwise(s["stop"])), F.greatest, F.lit(0))
+        starts = F.transform(F.reverse(both), lambda s: F.when(s["term"], far).otherwise(s["start"]))
+        following = F.reverse(running(starts, F.least, far))
+        return let(
+            reached,
+            lambda before: let(
+                following,
+                lambda after: F.filter(
+                    F.transform(
+                        both,
+                        lambda s, i: F.when(
+                            s["term"] & (F.get(before, i) <= s["start"]) & (F.get(after, i) >= s["stop"]), s["at"]
+                        ),
+                    ),
+                    lambda at: at.isNotNull(),
+                ),
+            ),
         )
-        spans = F.when(mark.isNotNull(), F.concat(held["spans"], F.array(span).cast(kind))).otherwise(held["spans"])
-        return F.struct(stop.alias("at"), spans.alias("spans"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
-    pieces = F.arrays_zip(gaps.alias("gap"), found.alias("word"))
-    pieces = F.transform(pieces, lambda p: F.struct(p["gap"].alias("gap"), p["word"].alias("word")))
-    return F.aggregate(pieces, start, step)["spans"]
+    whole = let(ordered, lambda both: let(judged(both), lambda kept: F.transform(kept, lambda at: F.get(terms, at))))
+    return F.when((F.size(terms) == 0) | (F.size(base) == 0), terms).otherwise(whole)
 
 
 def find(docs: DataFrame, params: Params = Params()) -> DataFrame:
@@ -218,7 +308,11 @@ def find(docs: DataFrame, params: Params = Params()) -> DataFrame:
     total = F.lit(max(2, counts.agg(F.sum("c_t")).first()[0] or 0))
     share = F.least(F.col("c_g") / total, F.lit(0.5))
     given = (F.col("c_tg") - 1 + params.smoothing * share) / (F.col("c_t") - 1 + params.smoothing)
-    joined = pairs.join(counts, "term").join(groups, "group")
+    # a kind is a group that most terms belong to: these few rows go to all tasks
+    of_kind = F.col("group").isin(*BASE_KINDS)
+    counted = pairs.join(counts, "term")
+    kinds = counted.where(of_kind).join(F.broadcast(groups.where(of_kind)), "group")
+    joined = kinds.unionByName(counted.where(~of_kind).join(groups.where(~of_kind), "group"))
     telling = joined.withColumn("disclosure", F.log2(given / share) / -F.log2(share))
     telling = telling.where(F.col("disclosure") >= params.generalise_at)
     removed = F.col("disclosure") >= params.remove_at
@@ -232,14 +326,11 @@ def find(docs: DataFrame, params: Params = Params()) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key"))
     terms = F.when(F.col("marks").isNotNull(), _marked_terms(F.col("text"), F.col("marks")))
     plain = F.transform(base_spans(F.col("text")), lambda s: F.struct(s["start"], s["stop"], s["rank"], s["kind"]))
+    none = F.array().cast(f"array<{_SPAN[:-1]},mark:string>>")
     found = keyed.join(hits, same, "left").select(
-        "doc_id", "text_key", plain.cast(f"array<{_SPAN}>").alias("base"), terms.alias("terms")
+        "doc_id", "text_key", plain.cast(f"array<{_SPAN}>").alias("base"), F.coalesce(terms, none).alias("terms")
     )
-
-    def touches(t: Column) -> Column:
-        return F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"]))
-
-    apart = F.filter(F.coalesce("terms", F.array().cast(f"array<{_SPAN[:-1]},mark:string>>")), lambda t: ~touches(t))
+    apart = let(F.col("terms"), lambda t: let(F.col("base"), lambda b: _apart(t, b)))
     return found.select("doc_id", "text_key", "base", apart.alias("terms"))
 
 
@@ -285,14 +376,16 @@ def sanitised(docs: DataFrame, params: Params = Params()) -> DataFrame:
         )
     )
     # of spans that overlap, the later start gives way, but nothing it covers is left in
-    pieces = F.transform(
-        both,
-        lambda s, i: F.struct(
-            F.when(i == 0, F.lit(0)).otherwise(F.array_max(F.transform(F.slice(both, 1, i), lambda p: p["stop"]))).alias("from"),
-            s["start"].alias("start"),
-            s["mark"].alias("mark"),
-        ),
-    )
+    def pieces_of(spans: Column) -> Column:
+        reached = running(F.transform(spans, lambda s: s["stop"]), F.greatest, F.lit(0))
+
+        def piece(s: Column, i: Column, stops: Column) -> Column:
+            since = F.when(i == 0, F.lit(0)).otherwise(F.get(stops, i - 1))
+            return F.struct(since.alias("from"), s["start"].alias("start"), s["mark"].alias("mark"))
+
+        return let(reached, lambda stops: F.transform(spans, lambda s, i: piece(s, i, stops)))
+
+    pieces = let(both, pieces_of)
     edits = touched.select(
         F.col("doc_id").alias("__doc"),
         F.col("text_key").alias("__key"),
@@ -302,12 +395,12 @@ def sanitised(docs: DataFrame, params: Params = Params()) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__key"))
     joined = docs.join(edits, same, "left")
-    parts = F.transform(
-        "__pieces",
-        lambda p: F.when(
-            p["start"] >= p["from"], F.concat(F.substring("text", p["from"] + 1, p["start"] - p["from"]), p["mark"])
-        ).otherwise(F.lit("")),
-    )
+
+    def part(p: Column, blocks: Column) -> Column:
+        before = part_of(blocks, p["from"], p["start"] - p["from"])
+        return F.when(p["start"] >= p["from"], F.concat(before, p["mark"])).otherwise(F.lit(""))
+
+    parts = let(cut(F.col("text")), lambda blocks: F.transform("__pieces", lambda p: part(p, blocks)))
     tail = F.substring(F.col("text"), F.col("__last") + 1, F.length("text"))
     changed = F.concat(F.array_join(parts, ""), tail)
     return joined.withColumn("text", F.when(F.col("__key").isNotNull(), changed).otherwise(F.col("text"))).drop(
