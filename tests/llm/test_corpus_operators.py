@@ -206,6 +206,15 @@ def test_spelling_is_a_distribution():
     assert (10.0**values).sum() <= 1 + 1e-9
 
 
+def test_scores_do_not_depend_on_the_order_of_rows(spark, root):
+    docs = spark.read.parquet(f"{root.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
+    one = {r.doc_id: r.score for r in context_mixing.score(docs).collect()}
+    turned = docs.orderBy(F.col("doc_id").desc()).coalesce(3)
+    two = {r.doc_id: r.score for r in context_mixing.score(turned).collect()}
+    assert one.keys() == two.keys()
+    assert all(two[d] == pytest.approx(one[d], rel=1e-5) for d in one)
+
+
 # --- personal data --------------------------------------------------------------------
 
 PLAIN = {
