@@ -425,3 +425,18 @@ def test_top_k_with_ties_copies_and_unusable_vectors(spark):
         scores = sorted((-int(whole[query] @ v), i) for i, v in whole.items() if i != query)[:20]
         assert best == [(i, -s) for s, i in scores]
     assert pivot_index.search(usable.limit(0), usable.limit(0)).count() == 0
+
+
+def test_long_scores_stay_exact(spark):
+    rng = random.Random(17)
+    whole = {i: [rng.randint(-(2**27), 2**27) for _ in range(64)] for i in range(60)}
+    frame = spark.createDataFrame(list(whole.items()), "vec_id long, v array<long>")
+    rows = pivot_index.search(frame, frame.where("vec_id % 20 = 0")).collect()
+    for query in (0, 20, 40):
+        scores = sorted((-sum(a * b for a, b in zip(whole[query], v, strict=True)), i) for i, v in whole.items() if i != query)
+        best = sorted((r.rank, r.vec_id, r.score) for r in rows if r.query_id == query)
+        assert best == [(n, i, -s) for n, (s, i) in enumerate(scores[:20], 1)]
+        assert max(-scores[0][0], scores[-1][0]) > 2**53
+    huge = spark.createDataFrame([(0, [2**32]), (1, [2**32])], "vec_id long, v array<long>")
+    with pytest.raises(ArithmeticError):
+        pivot_index.search(huge, huge)

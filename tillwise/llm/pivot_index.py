@@ -13,7 +13,9 @@ its k-th best, so no result is lost.  The best of all parts are merged per query
 Pivots are spread-out vectors of a bounded sample; they affect speed alone.  Vectors that
 are NULL or hold NULL or non-finite components take no part, nor do rows without id.
 Shorter vectors count as padded with zeros.  Rows with the id of a query are its own rows.
-Ties go to the smaller id; repeated rows are candidates each.
+Ties go to the smaller id; repeated rows are candidates each.  Scores are whole numbers of up
+to 62 bits; vectors whose squared length is larger end the search with an error.  Columns
+other than the id and the vector are not read.
 """
 
 from __future__ import annotations
@@ -60,11 +62,11 @@ def spread(sample: np.ndarray, count: int) -> np.ndarray:
     return sample[chosen]
 
 
-def _matrix(lists: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+def _matrix(lists: pa.ChunkedArray | pa.Array, width: int, kind: type = np.float64) -> np.ndarray:
     if isinstance(lists, pa.ChunkedArray):
         lists = lists.combine_chunks()
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    out = np.zeros((len(lists), width))
+    out = np.zeros((len(lists), width), kind)
     rows = np.repeat(np.arange(len(lists)), sizes)
     columns = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     out[rows, columns] = lists.flatten().to_numpy(zero_copy_only=False)
@@ -88,12 +90,13 @@ class Best:
         self.k = k
         self.row = np.zeros(0, np.int64)
         self.id = np.zeros(0, np.int64)
-        self.score = np.zeros(0)
-        self.least = np.full(count, -np.inf)
+        self.score = np.zeros(0, np.int64)
+        #: least score that still counts; the smallest number while there are fewer than k
+        self.least = np.full(count, np.iinfo(np.int64).min)
 
     def add(self, row: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
         row, ids, score = (np.concatenate(p) for p in ((self.row, row), (self.id, ids), (self.score, score)))
-        order = np.lexsort((ids, -score, row))
+        order = np.lexsort((ids, ~score, row))
         row, ids, score = row[order], ids[order], score[order]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         keep = place < self.k
@@ -116,8 +119,11 @@ def search(index: DataFrame, queries: DataFrame, params: Params = Params()) -> D
     width, largest = max(1, size["width"]), float(size["largest"])
     few = index.select("v").limit(params.sample).toArrow()
     pivots = spread(lifted(_matrix(few["v"], width), largest), params.pivots)
-    # the products of doubles are exact while they stay below 2**53
-    exact = largest < 2.0**52
+    # no score is larger than the largest squared length; beyond 64 bits there is no result
+    if largest >= 2.0**62:
+        raise ArithmeticError("scores of these vectors may leave 64 bits")
+    # products of doubles, which are faster, are exact while they stay below 2**53
+    kind = np.float64 if largest < 2.0**52 else np.int64
     ring_width = 2.0 * math.sqrt(largest) / params.annuli + 1e-9
 
     def keyed(batches):
@@ -150,15 +156,15 @@ def search(index: DataFrame, queries: DataFrame, params: Params = Params()) -> D
 
     def meet(key, left, right):
         if not left.num_rows or not right.num_rows:
-            return _rows(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            return _rows(*(np.zeros(0, np.int64) for _ in range(3)))
         query_ids = left["vec_id"].to_numpy()
-        asked_for, held = _matrix(left["v"], width), _matrix(right["v"], width)
+        asked_for, held = _matrix(left["v"], width, kind), _matrix(right["v"], width, kind)
         ids = right["vec_id"].to_numpy()
         keys = np.stack([right[c].to_numpy() for c in ("pivot", "ring", "salt")])
         near = right["near"].to_numpy()
         order = np.lexsort(keys[::-1])
         starts = np.flatnonzero(np.append(True, (np.diff(keys[:, order], axis=1) != 0).any(0)))
-        lengths = (asked_for**2).sum(1)
+        lengths = (asked_for.astype(np.float64) ** 2).sum(1)
         to_pivot = distances(np.column_stack((asked_for, np.zeros(len(asked_for)))), pivots)
         annuli = []
         for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
@@ -174,10 +180,7 @@ def search(index: DataFrame, queries: DataFrame, params: Params = Params()) -> D
             rows = np.flatnonzero(bound >= best.least)
             if not len(rows):
                 continue
-            if exact:
-                score = asked_for[rows] @ held[member].T
-            else:
-                score = (asked_for[rows].astype(object) @ held[member].T.astype(object)).astype(np.float64)
+            score = (asked_for[rows] @ held[member].T).astype(np.int64)
             good = (score >= best.least[rows][:, None]) & (query_ids[rows][:, None] != ids[member][None, :])
             row, column = np.nonzero(good)
             best.add(rows[row], ids[member[column]], score[row, column])
@@ -192,7 +195,7 @@ def search(index: DataFrame, queries: DataFrame, params: Params = Params()) -> D
 
 
 def _rows(query: np.ndarray, vec: np.ndarray, score: np.ndarray) -> pa.Table:
-    columns = [pa.array(query), pa.array(vec), pa.array(score.astype(np.int64))]
+    columns = [pa.array(query), pa.array(vec), pa.array(score)]
     return pa.Table.from_arrays(columns, ["query_id", "vec_id", "score"])
 
 

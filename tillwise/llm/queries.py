@@ -142,12 +142,13 @@ FROM texts t LEFT JOIN kept USING (doc_id)
 
 ORACLE["op8_pivot_index"] = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(FLOOR(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(FLOOR(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: CAST(p[1] AS HUGEINT) * p[2])) AS BIGINT) AS score
   FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
