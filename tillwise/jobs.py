@@ -11,10 +11,10 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from tillwise import schemas
-from tillwise.config import JdbcConf, KafkaConf, ResultParams, StreamConf, Thresholds, WarehouseConf, build_session
+from tillwise.config import JdbcConf, KafkaConf, ResultParams, StreamConf, Thresholds, WarehouseConf, build_session, scratch_dir
 from tillwise.operators import cleansing
 from tillwise.plans.pipeline import STEPS, StoredWarehouse, run_pipeline
-from tillwise.sources import readers, writers
+from tillwise.sources import folders, readers, writers
 from tillwise.sources.catalog import WarehouseCatalog
 from tillwise.sources.loads import LoadStore
 from tillwise.streaming import alerts, events, minute, rules
@@ -31,7 +31,9 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
         log.warning("raw data lacks: %s", ", ".join(report.missing))
     if report.extra:
         log.warning("unknown columns dropped: %s", ", ".join(report.extra))
-    writers.write_clean_parquet(cleansing.prepare(readers.raw_sheet(spark, args.raw)), args.out)
+    work = scratch_dir(spark, "prepare")
+    writers.write_clean_parquet(cleansing.prepare(readers.raw_sheet(spark, args.raw), work), args.out)
+    folders.remove(spark, work)
     stored = spark.read.parquet(args.out)
     if args.csv:
         writers.write_clean_csv(stored, args.csv)

@@ -682,6 +682,7 @@ def _cleaning() -> dict[str, str]:
         "clean_strings": "SELECT c_custkey, c_name AS brand FROM customer",
         "clean_rename": "SELECT c_custkey AS user_age, c_mktsegment AS user_member_level FROM customer",
         "clean_project": f"SELECT {columns} FROM ({rows})",
+        "clean_dedupe_digest": f"SELECT {columns} FROM ({rows})",
         "ods_clean": f"SELECT {columns} FROM ({rows})",
         "sink_clean_csv_parquet": f"SELECT {columns} FROM ({rows})",
         "clean_schema_report": _schema_report(rows),
