@@ -206,6 +206,35 @@ def test_spelling_is_a_distribution():
     assert (10.0**values).sum() <= 1 + 1e-9
 
 
+def test_very_long_texts_find_their_copies_and_scores(spark, documents):
+    rng = random.Random(23)
+    book = words(rng, 200_000)
+    changed = [*book[:100_000], "changed", *book[100_001:]]
+    texts = [" ".join(book), " ".join(changed), " ".join(words(rng, 200_000)), " ".join(book[:120_000])]
+    docs = documents(texts)
+    assert {r.doc_id: r.class_id for r in dart_minhash.classes(docs).collect()} == {0: 0, 1: 0, 2: 2, 3: 3}
+    found = ngram_toxicity.scored(docs, ngram_toxicity.train(docs, labelled(spark, [(1, 1, 1), (2, 1, 0), (3, 1, 0)]))).collect()
+    assert len(found) == 4 and all(0 <= r.score <= 1 for r in found)
+
+
+def test_near_copies_far_from_each_other_stay_apart(documents):
+    """Edits of one text: pairs below the threshold are in one class only through others."""
+    rng = random.Random(29)
+    base = words(rng, 150)
+    texts = []
+    for _ in range(120):
+        text, share = list(base), rng.choice([0.005, 0.02, 0.04, 0.06])
+        for i in range(len(text)):
+            if rng.random() < share:
+                text[i] = rng.choice(words(rng, 3))
+        texts.append(" ".join(text))
+    texts += [" ".join([*base[:75], *words(rng, 75)]) for _ in range(30)]
+    expected = plain_classes(dict(enumerate(texts)))
+    assert 1 < len(set(expected.values())) < len(texts)
+    params = dart_minhash.Params(bands=256)
+    assert {r.doc_id: r.class_id for r in dart_minhash.classes(documents(texts), params).collect()} == expected
+
+
 def test_scores_do_not_depend_on_the_order_of_rows(spark, root):
     docs = spark.read.parquet(f"{root.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
     one = {r.doc_id: r.score for r in context_mixing.score(docs).collect()}

@@ -12,7 +12,9 @@ the open bins.  The open bins left at the end of a task, and only these, are rep
 whole items over fewer, larger groups.
 
 NULL and empty texts are one end token.  A text with the string of a special token is
-encoded by the library itself.  A repeated row is packed like any other row.
+encoded by the library itself.  A repeated row is packed like any other row.  Of bins with equal
+free space the one that has had it longest is taken first.  Ids are whole numbers or NULL; columns
+other than doc_id and text are not read, so their names do not matter.
 """
 
 from __future__ import annotations

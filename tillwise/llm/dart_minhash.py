@@ -23,6 +23,8 @@ Candidates are compared exactly by their texts.  Similarity at the threshold mak
 Texts of one to four words have one element, all their words.  NULL, empty and blank texts
 have none; each is a class of its own.  Equal texts form one node before anything else, so
 copies make no pairs.  A class takes the smallest id of its documents; NULL ids count last.
+Other columns are not read, but kept as they are by ``one_of_each``; there they must not be
+named ``__node``.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ without the group.  Wherever they stand, in any text, terms whose disclosure rea
 
 Spans are offsets in code points, end exclusive; base spans always stay.  Terms that touch
 a base span are no spans of their own.  NULL and empty texts have no spans and stay as they
-are.  A repeated row gives a repeated result.
+are.  A repeated row gives a repeated result.  Other columns may bear any names; ``sanitised``
+returns them as they are, ``find`` does not read them.
 """
 
 from __future__ import annotations
@@ -392,17 +393,18 @@ def sanitised(docs: DataFrame, params: Params = Params()) -> DataFrame:
         pieces.alias("__pieces"),
         F.array_max(F.transform(both, lambda s: s["stop"])).alias("__last"),
     )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__key"))
-    joined = docs.join(edits, same, "left")
+    # columns travel inside a struct, so that no name of theirs meets one used here
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+    old = F.col("__row")["text"]
+    text = F.coalesce(old.cast("string"), F.lit(""))
+    same = F.col("__row")["doc_id"].eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__key"))
+    joined = rows.join(edits, same, "left")
 
     def part(p: Column, blocks: Column) -> Column:
         before = part_of(blocks, p["from"], p["start"] - p["from"])
         return F.when(p["start"] >= p["from"], F.concat(before, p["mark"])).otherwise(F.lit(""))
 
-    parts = let(cut(F.col("text")), lambda blocks: F.transform("__pieces", lambda p: part(p, blocks)))
-    tail = F.substring(F.col("text"), F.col("__last") + 1, F.length("text"))
-    changed = F.concat(F.array_join(parts, ""), tail)
-    return joined.withColumn("text", F.when(F.col("__key").isNotNull(), changed).otherwise(F.col("text"))).drop(
-        "__doc", "__key", "__pieces", "__last"
-    )
+    parts = let(cut(text), lambda blocks: F.transform("__pieces", lambda p: part(p, blocks)))
+    tail = F.substring(text, F.col("__last") + 1, F.length(text))
+    changed = F.when(F.col("__key").isNotNull(), F.concat(F.array_join(parts, ""), tail)).otherwise(old)
+    return joined.select(*((changed if c == "text" else F.col("__row")[c]).alias(c) for c in docs.columns))

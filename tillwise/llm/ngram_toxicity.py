@@ -12,6 +12,7 @@ weights.  Every text is scored whole.  Only text is an input of the score.
 NULL and empty texts have no features; their score is the classifier's intercept.  Without
 labelled rows of both classes every score is the smoothed share of toxic labels.  A
 repeated row gives a repeated result; a label that contradicts another counts as toxic.
+Columns other than those named are not read, so their names do not matter.
 """
 
 from __future__ import annotations
