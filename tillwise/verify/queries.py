@@ -320,13 +320,16 @@ def st_enrich(spark: SparkSession, root: str) -> DataFrame:
     return plain_time(alerts.alert_frame(_messages(spark, root)).select(*ALERT_COLUMNS))
 
 
+def _message_fields() -> str:
+    kinds = {column: "double" if column == "deviation" else "string" for column in alerts.MESSAGE_FIELDS}
+    return ", ".join(f"{alerts.MESSAGE_FIELDS[column]} {kind}" for column, kind in kinds.items())
+
+
 @query("st_alert_json")
 def st_alert_json(spark: SparkSession, root: str) -> DataFrame:
     """The messages, read back from their JSON text; the processing time is left out."""
-    kinds = {column: "double" if column == "deviation" else "string" for column in alerts.MESSAGE_FIELDS}
-    fields = ", ".join(f"{alerts.MESSAGE_FIELDS[column]} {kind}" for column, kind in kinds.items())
     sent = alerts.alert_messages(alerts.alert_frame(_messages(spark, root)))
-    return sent.select("key", F.from_json("value", fields).alias("m")).select("key", "m.*").drop("triggeredAt")
+    return sent.select("key", F.from_json("value", _message_fields()).alias("m")).select("key", "m.*").drop("triggeredAt")
 
 
 @query("st_dual_sink")
@@ -337,6 +340,17 @@ def st_dual_sink(spark: SparkSession, root: str) -> DataFrame:
     return plain_time(alerts.read_archive(spark, f"{folder}/archive").select(*ALERT_COLUMNS))
 
 
+@query("st_topic_messages")
+def st_topic_messages(spark: SparkSession, root: str) -> DataFrame:
+    """The messages of the topic side of the live query, read back from its sink."""
+    folder = scratch_dir(spark, "alert-topic")
+    conf = StreamConf(checkpoint=f"{folder}/checkpoint", available_now=True)
+    sinks = [alerts.ArchiveSink(f"{folder}/archive"), alerts.JsonFileSink(f"{folder}/topic")]
+    alerts.start_alert_query(_landed(spark, root, folder), sinks, conf).awaitTermination()
+    sent = spark.read.text(f"{folder}/topic").select(F.from_json("value", _message_fields()).alias("m"))
+    return sent.select("m.*").drop("triggeredAt")
+
+
 def _landed(spark: SparkSession, root: str, folder: str) -> DataFrame:
     """The event messages as files, and the stream that reads them."""
     _messages(spark, root).write.text(f"{folder}/in")
@@ -544,6 +558,16 @@ def src_raw_table(spark: SparkSession, root: str) -> DataFrame:
     return stored.agg(F.count(F.lit(1)).alias("row_cnt"), F.countDistinct(_DAY).alias("day_cnt"))
 
 
+@query("src_raw_rows")
+def src_raw_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Every row of the raw sheet, from CSV files through all cleansing steps but the removal of copies."""
+    folder = scratch_dir(spark, "raw-sheet")
+    sheet = star.raw_sheet(spark, root)
+    sheet.write.option("header", True).csv(folder)
+    stored = readers.raw_sheet(spark, folder, sheet.columns)
+    return cleansing.project(cleansing.coerce(cleansing.rename(cleansing.split_units(stored))))
+
+
 @query("src_ods")
 def src_ods(spark: SparkSession, root: str) -> DataFrame:
     folder = scratch_dir(spark, "ods")
@@ -558,6 +582,23 @@ def ods_publish(spark: SparkSession, root: str) -> DataFrame:
     return rows(readers.prepared_fact(spark, folder), "sale_date")
 
 
+@query("ods_publish_rows")
+def ods_publish_rows(spark: SparkSession, root: str) -> DataFrame:
+    folder = scratch_dir(spark, "ods")
+    writers.write_clean_parquet(star.sales_fact(spark, root), folder)
+    return readers.prepared_fact(spark, folder)
+
+
+@query("sink_clean_csv")
+def sink_clean_csv(spark: SparkSession, root: str) -> DataFrame:
+    """The prepared fact, read back from its CSV files, where an empty label is none."""
+    folder = scratch_dir(spark, "clean-csv")
+    prepared = cleansing.prepare(star.raw_sheet(spark, root))
+    writers.write_clean_csv(prepared, folder)
+    reader = spark.read.schema(schemas.ODS).option("header", True).option("dateFormat", "yyyy-MM-dd")
+    return reader.csv(folder)
+
+
 @query("sink_clean_csv_parquet")
 def sink_clean_csv_parquet(spark: SparkSession, root: str) -> DataFrame:
     folder = scratch_dir(spark, "clean")

@@ -647,6 +647,7 @@ def statements() -> dict[str, str]:
         "st_parse_events": "SELECT * FROM events_in",
         "st_enrich": f"SELECT {_ALERT_COLUMNS} FROM alerts",
         "st_alert_json": _ALERT_JSON,
+        "st_topic_messages": _ALERT_JSON.replace("alert_id AS key, ", ""),
         "st_dual_sink": f"SELECT {_ALERT_COLUMNS} FROM alerts",
         "st_query": f"SELECT {_ALERT_COLUMNS} FROM alerts",
         "st_minute_metric": "SELECT * FROM minute",
@@ -685,6 +686,8 @@ def _cleaning() -> dict[str, str]:
         "clean_dedupe_digest": f"SELECT {columns} FROM ({rows})",
         "ods_clean": f"SELECT {columns} FROM ({rows})",
         "sink_clean_csv_parquet": f"SELECT {columns} FROM ({rows})",
+        "sink_clean_csv": f"SELECT * REPLACE (NULLIF({stripped}, '') AS promotion) FROM ({rows})",
+        "src_raw_rows": f"SELECT {columns} FROM ods",
         "clean_schema_report": _schema_report(rows),
     }
 
@@ -743,6 +746,7 @@ _CATALOG = (
 def _stored() -> dict[str, str]:
     return {
         "src_ods": "SELECT * FROM ods",
+        "ods_publish_rows": "SELECT * FROM ods",
         "src_raw_table": "SELECT COUNT(*) AS row_cnt, COUNT(DISTINCT l_shipdate) AS day_cnt FROM lineitem",
         "ods_publish": "SELECT sale_date, COUNT(*) AS row_cnt FROM ods GROUP BY ALL",
         "ods_refresh_count": "SELECT COUNT(*) AS row_cnt FROM ods",
