@@ -40,7 +40,7 @@ from tillwise.llm.memory import Memory
 CAPACITY = 2048
 OPEN_BINS = 256
 #: segments remembered per task, in each of two halves
-HALF = 150_000
+HALF = 60_000
 END = array("i", [0]).tobytes()
 # Fixed value: the split of the public vocabulary.
 _PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -166,6 +166,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, open
         rows = [(None, -1, 0, held, 0, partition + number, 0) for number, held in packer.remaining()]
         yield _batch(rows)
         encoder.forget()
+        segment_ids.cache_clear()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession

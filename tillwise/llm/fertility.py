@@ -33,7 +33,7 @@ from tillwise.llm.memory import Memory
 from tillwise.llm.words import HASH_A, Words, slices, texts_of
 
 #: words remembered per task, in each of two halves
-HALF = 150_000
+HALF = 60_000
 # The symbols that are counted, and the split of the public vocabulary.
 _SYMBOLS = b"#*$%&|<>"
 _PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -190,7 +190,10 @@ def measure(
                 values = [pa.array(found[k], t) for k, t in MEASURES.items()]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays([*kept, script, *values], [*keep, "script", *MEASURES])
+        # a worker goes on to other stages, which need its memory
         costs.forget()
+        word_costs.cache_clear()
+        _ranks.cache_clear()
 
     kept = ", ".join(f"`{k}` {source.schema[k].dataType.simpleString()}" for k in keep)
     measures = ", ".join(f"{k} {_KINDS[t]}" for k, t in MEASURES.items())
