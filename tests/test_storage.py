@@ -212,3 +212,11 @@ def test_serving_bounds_reach_the_scan(stored):
 
 def test_scratch_folders_are_new(spark):
     assert scratch_dir(spark, "a") != scratch_dir(spark, "a")
+
+
+def test_compressed_csv_reads_like_plain(spark, tmp_path):
+    frame = fact(spark, JAN, FEB)
+    writers.write_clean_csv(frame, str(tmp_path / "csv"), compression="gzip")
+    assert list((tmp_path / "csv").glob("*.csv.gz")) and not list((tmp_path / "csv").glob("*.csv"))
+    reader = spark.read.schema(frame.schema).option("header", True).option("dateFormat", "yyyy-MM-dd")
+    assert lines(reader.csv(str(tmp_path / "csv"))) == lines(frame)
