@@ -214,6 +214,18 @@ def test_scratch_folders_are_new(spark):
     assert scratch_dir(spark, "a") != scratch_dir(spark, "a")
 
 
+def test_months_are_written_without_an_exchange_of_wide_rows(spark, tmp_path):
+    prepared = fact(spark, JAN, FEB).crossJoin(spark.range(50)).drop("id").repartition(4)
+    months = writers._by_month(spark, str(tmp_path / "none"), detail(prepared).schema)
+    assert months.count() == 0
+    assert writers.write_by_month(detail(prepared), str(tmp_path / "t")) == 100
+    assert {p.name for p in tmp_path.iterdir()} == {"t"}
+    stored = writers._by_month(spark, str(tmp_path / "t"), detail(prepared).schema)
+    assert stored.count() == 100 and stored.rdd.getNumPartitions() >= 2
+    assert "Exchange" not in stored._jdf.queryExecution().executedPlan().toString()
+    assert sorted({r.dt for r in stored.select("dt").collect()}) == ["2024-01", "2024-02"]
+
+
 def test_compressed_csv_reads_like_plain(spark, tmp_path):
     frame = fact(spark, JAN, FEB)
     writers.write_clean_csv(frame, str(tmp_path / "csv"), compression="gzip")
