@@ -218,7 +218,8 @@ def test_months_are_written_without_an_exchange_of_wide_rows(spark, tmp_path):
     prepared = fact(spark, JAN, FEB).crossJoin(spark.range(50)).drop("id").repartition(4)
     months = writers._by_month(spark, str(tmp_path / "none"), detail(prepared).schema)
     assert months.count() == 0
-    assert writers.write_by_month(detail(prepared), str(tmp_path / "t")) == 100
+    keyed = prepared.withColumn("dt", F.date_format("sale_date", "yyyy-MM"))
+    assert writers.write_wide_by_month(keyed, str(tmp_path / "t"), detail) == 100
     assert {p.name for p in tmp_path.iterdir()} == {"t"}
     stored = writers._by_month(spark, str(tmp_path / "t"), detail(prepared).schema)
     assert stored.count() == 100 and stored.rdd.getNumPartitions() >= 2
