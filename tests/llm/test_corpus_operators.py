@@ -12,11 +12,13 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tillwise.llm import block_anchors, context_mixing, dart_minhash, disclosure, ngram_toxicity, pivot_index
+from tillwise.llm import block_anchors, context_mixing, dart_minhash, disclosure, ngram_toxicity, pivot_index, word_contexts
 from tillwise.llm.queries import ORACLE, REGISTRY
+from tillwise.llm.words import Tokens, word_hashes
 
 
 def sha(text: str) -> str:
@@ -235,6 +237,48 @@ def test_near_copies_far_from_each_other_stay_apart(documents):
     assert {r.doc_id: r.class_id for r in dart_minhash.classes(documents(texts), params).collect()} == expected
 
 
+def test_words_before_predict_a_word(spark):
+    """Held-out texts made of known phrases score better than the same words in another order."""
+    rng = random.Random(41)
+    phrases = [words(rng, 5) for _ in range(30)]
+    ids = range(1200)
+    held = [d for d in ids if zlib.crc32(str(d).encode()) % 7 == 2]
+    assert len(held) > 100
+    texts = {d: sum(rng.choices(phrases, k=12), []) for d in ids}
+    for one, two in zip(held[0::2], held[1::2], strict=False):
+        texts[two] = rng.sample(texts[one], len(texts[one]))
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id long, text string")
+    rows = {r.doc_id: r for r in context_mixing.score(docs).collect()}
+    for one, two in zip(held[0::2], held[1::2], strict=False):
+        assert rows[one].base_score == pytest.approx(rows[two].base_score)
+        assert rows[one].score > rows[two].score + 20
+
+
+def test_code_of_words_is_a_distribution_and_counts_every_bit():
+    params = word_contexts.WordParams(slots=(10, 12), batch_tokens=50)
+    rng = random.Random(43)
+    texts = [" ".join(rng.choices(["a", "b", "cc", "d", "rare%d" % i], k=40)).encode() for i in range(30)] + [b"", b" a  b "]
+    counts = Counter(w for t in texts for w in [*t.split(), b""])
+    listed = [w for w, n in counts.most_common() if n > 1][:8]
+    code = word_contexts.Code(listed, [counts[w] for w in listed], sum(counts.values()) - sum(counts[w] for w in listed))
+    tokens = Tokens.of(texts)
+    assert [tokens.words[i].as_py() for i in tokens.at] == [w for t in texts for w in [*t.split(), b""]]
+    learner = word_contexts.WordLearner(2, code, params)
+    learner.learn(tokens, np.arange(len(texts)) % 2)
+    bits = code.size[code.symbols(tokens.words)[tokens.at]].sum()
+    assert [t.sum() for t in learner.mixer.tables] == [bits] * 3
+    mixer = learner.mixer
+    mixer.weights, mixer.refined = word_contexts.averaged(mixer.weights * learner.seen, learner.seen, learner.refined, params)
+    before = word_hashes(pa.array([b"a", b"cc"], pa.binary()))
+    chances = []
+    for symbol in range(len(listed) + 1):
+        value = word_contexts.code_scores(
+            code, mixer.packed(params), np.array([1, 2, symbol]), np.append(before, before[0]), np.array([0]), np.zeros(3, np.int64), params
+        )
+        chances.append(10.0 ** value[2])
+    assert sum(chances) == pytest.approx(1, abs=1e-5)
+
+
 def test_scores_do_not_depend_on_the_order_of_rows(spark, root):
     docs = spark.read.parquet(f"{root.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
     one = {r.doc_id: r.score for r in context_mixing.score(docs).collect()}

@@ -1,26 +1,31 @@
 """Language-model scores by online logistic context mixing.
 
-A text is its lower-cased words, each spelled in bytes with a closing space, and one end
-token.  It is coded in two parts.  First its class, the best of a few classes found by a
-mixture of multinomials over byte pairs.  Then, within the class, every word.
-
-The bits of a word are predicted by several contexts: the last one, two or three bytes
+A text is its lower-cased words, then one end token.  It is coded in two parts.  First its
+class, the best of a few classes found by a mixture of multinomials over byte pairs.  Then
+every token.  A token is a symbol, one of the frequent words or "another word", coded bit by
+bit: each bit is predicted from the class, the word before and the two words before, see
+``word_contexts``.  Another word then joins its own frequency among the other words of the
+class with its spelling in bytes and a closing space, the share of spelling being the
+frequency of words seen once.
+
+The bits of a spelling are predicted by several contexts: the last one, two or three bytes
 alone, the last two or four with the class, and the whole word so far with the class.
 Each context is hashed to a slot with counts of zeros and ones.  The predictions are
 mixed in the logistic domain with weights chosen by a gate, the evidence that the two
 longest contexts have.  The weights are learned online, word batch by word batch.  The
 mixed probability is refined by an adaptive table over the bits so far, the evidence and
-the mixed probability itself.  A word's final probability joins this spelling with the
-word's own frequency in its class, the share of spelling being the frequency of words
-seen once.  Every part is a proper distribution, so scores are log probabilities.
+the mixed probability itself.  Every part is a proper distribution, so scores are log
+probabilities.
 
-While weights and table are learned, a word never sees its own contribution: its counts
-are lowered by what it has added, as if it had been met before it was learned.
+While weights and table of the spelling are learned, a word never sees its own
+contribution: its counts are lowered by what it has added, as if it had been met before it
+was learned.  What words say of the next word is learned from every training token in turn,
+predicted before it is counted.
 
 Spark counts (class, word) over all training texts, so all work on spelling is per
 distinct word, not per token.  Tables of contexts have a fixed number of slots, and only
-these tables, the weights and the classes are broadcast: about 45 MB at most, whatever the
-size of the corpus.
+these tables, the code of frequent words, the weights and the classes are broadcast: about
+90 MB at most, whatever the size of the corpus.
 
 NULL and empty texts are one end token.  A NULL id trains.  Repeated rows count each time.
 Columns other than doc_id and text are not read, so their names do not matter.
@@ -29,21 +34,21 @@ Columns other than doc_id and text are not read, so their names do not matter.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm.chunks import chunked
 from tillwise.llm.components import stored
-from tillwise.llm.words import HASH_A, mixed, slices, texts_of
+from tillwise.llm.word_contexts import Code, WordLearner, WordMixer, WordParams, averaged, code_scores, evidence, level_of
+from tillwise.llm.words import HASH_A, Tokens, mixed, slices, texts_of, word_hashes
 
 BINS = 256
-END = b""
 # a byte that no word holds closes the text, another closes a word
 _CLOSE_TEXT, _CLOSE_WORD = b"\n", b" "
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -70,20 +75,26 @@ class Params:
     rate: float = 0.5
     batch_words: int = 4096
     words_per_task: int = 1_000_000
-    flush_words: int = 400_000
     chunk_bytes: int = 16 << 20
+    slice_bytes: int = 4 << 20
     refine_levels: int = 24
     refine_trust: float = 16.0
+    words: WordParams = field(default_factory=WordParams)
 
 
 # --- classes --------------------------------------------------------------------------
 
 
+_PAIR_BINS = (np.arange(1 << 16, dtype=np.uint32) * np.uint32(2654435761) >> np.uint32(24)).astype(np.int64)
+
+
 def byte_pairs(text: bytes) -> np.ndarray:
     """Counts of adjacent bytes, folded into ``BINS`` bins."""
-    data = np.frombuffer(text, np.uint8).astype(np.uint32)
-    pairs = (data[:-1] * 256 + data[1:]) * np.uint32(2654435761) >> np.uint32(24)
-    return np.bincount(pairs, minlength=BINS)
+    counts = np.zeros(BINS, np.int64)
+    for begin in (0, 1):  # pairs that begin at even places, then at odd ones
+        pairs = np.frombuffer(text, ">u2", max(0, len(text) - begin) // 2, begin if len(text) > begin else 0)
+        counts += np.bincount(_PAIR_BINS.take(pairs), minlength=BINS)
+    return counts
 
 
 @dataclass
@@ -103,6 +114,11 @@ class Classes:
         return np.argmax(features @ self.bins.T + self.prior, axis=1)
 
 
+    def of_texts(self, texts: list[bytes]) -> np.ndarray:
+        """Class of each lower-cased text."""
+        return self.best(np.array([byte_pairs(t) for t in texts], np.float64).reshape(-1, BINS))
+
+
 def first_classes(features: np.ndarray, count: int) -> Classes:
     """Start of learning: spread centres, then some rounds over the sample alone."""
     shares = np.sqrt((features + 0.1) / (features + 0.1).sum(1, keepdims=True))
@@ -120,14 +136,18 @@ def first_classes(features: np.ndarray, count: int) -> Classes:
     return found
 
 
-def summed(blobs: DataFrame, kind: type = np.float64) -> DataFrame:
-    """Adds arrays (``key int, value binary``) by key, streaming through tasks."""
+def summed(blobs: DataFrame, kind: type = np.float64, read: Callable[[int, bytes], np.ndarray] | None = None) -> DataFrame:
+    """Adds arrays (``key int, value binary``) by key, streaming through tasks.
+
+    ``read`` makes an array of ``kind`` from a key and bytes that hold something else.
+    """
+    read = read or (lambda _, value: np.frombuffer(value, kind))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for key, value in zip(batch.column("key").to_pylist(), batch.column("value"), strict=True):
-                part = np.frombuffer(value.as_py(), kind)
+                part = read(key, value.as_py())
                 if key in sums:
                     sums[key] += part
                 else:
@@ -203,43 +223,101 @@ def learn_classes(docs: DataFrame, params: Params) -> Classes:
 # --- counts of words ------------------------------------------------------------------
 
 
-def text_words(text: bytes) -> list[bytes]:
-    words = text.lower().split()
-    words.append(END)
-    return words
+def lowered(batch: pa.RecordBatch | pa.Table, limit: int) -> Iterator[list[bytes]]:
+    """Lower-cased texts in runs of about ``limit`` bytes."""
+    return slices((t.lower() for t in texts_of(batch)), limit)
 
 
 def count_words(docs: DataFrame, classes: Classes, params: Params) -> DataFrame:
-    """``z, word, n``: occurrences in training texts; 0 for words of other texts alone."""
+    """``z, word, n, total, head``: occurrences in training texts of the class and in all; 0 for words of other texts alone.
 
-    def flushed(counts: dict[int, Counter]) -> Iterator[pa.RecordBatch]:
-        for z, counter in counts.items():
-            words = pa.array(list(counter), pa.binary())
-            n = pa.array(list(counter.values()), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), z, np.int32)), words, n], ["z", "word", "n"])
+    One row of each word is its head.
+    """
+
+    def counts(parts: list[Tokens], member: list[np.ndarray], train: np.ndarray) -> pa.RecordBatch:
+        tokens = Tokens.joined(parts)
+        key = np.repeat(np.concatenate(member), tokens.sizes) * len(tokens.words) + tokens.at
+        slots = len(classes.prior) * len(tokens.words)
+        present = np.flatnonzero(np.bincount(key, minlength=slots))
+        n = np.bincount(key[np.repeat(train, tokens.sizes)], minlength=slots)[present]
+        z, place = np.divmod(present, len(tokens.words))
+        return pa.RecordBatch.from_arrays([pa.array(z, pa.int32()), tokens.words.take(pa.array(place)), pa.array(n, pa.int64())], ["z", "word", "n"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, Counter] = {}
+        parts: list[Tokens] = []
+        member: list[np.ndarray] = []
+        train: list[np.ndarray] = []
         for batch in batches:
-            train = batch.column("train").to_pylist()
+            trains = np.array(batch.column("train").to_pylist(), bool)
             at = 0
-            for texts in slices(texts_of(batch)):
-                member = classes.best(np.array([byte_pairs(t.lower()) for t in texts], np.float64))
-                for text, z, trains in zip(texts, member.tolist(), train[at : at + len(texts)], strict=True):
-                    counter = counts.setdefault(z, Counter())
-                    if trains:
-                        counter.update(text_words(text))
-                    else:
-                        counter.update(dict.fromkeys(text_words(text), 0))
+            for texts in lowered(batch, params.slice_bytes):
+                parts.append(Tokens.of(texts))
+                member.append(classes.of_texts(texts))
+                train.append(trains[at : at + len(texts)])
                 at += len(texts)
-                if sum(map(len, counts.values())) > params.flush_words:
-                    yield from flushed(counts)
-                    counts = {}
-        yield from flushed(counts)
+                if sum(len(p.at) for p in parts) * 6 > params.chunk_bytes:
+                    yield counts(parts, member, np.concatenate(train))
+                    parts, member, train = [], [], []
+        if parts:
+            yield counts(parts, member, np.concatenate(train))
 
     parts = docs.select("text", "train").mapInArrow(task, "z int, word binary, n long")
+    whole = Window.partitionBy("word").orderBy("z").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = parts.repartition("word").groupBy("word", "z").agg(F.sum("n").alias("n"))
+    found = counted.select("z", "word", "n", F.sum("n").over(whole).alias("total"), (F.first("z").over(whole) == F.col("z")).alias("head"))
     # in order, so that what is learned word by word is the same on every run
-    return parts.groupBy("z", "word").agg(F.sum("n").alias("n")).sortWithinPartitions("z", "word")
+    return found.sortWithinPartitions("word", "z")
+
+
+# --- words in their contexts ----------------------------------------------------------
+
+
+def _planes(values: np.ndarray) -> np.ndarray:
+    """Whole numbers as a row for each of their four bytes, so that high bytes, zero for most, take little room."""
+    return values.astype("<i4").view(np.uint8).reshape(-1, 4).T
+
+
+def _of_planes(value: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(value, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def learn_words(docs: DataFrame, classes: Classes, code, params: Params) -> WordMixer:
+    """What the class and the words before say of the next word, from all training texts of ``docs``."""
+    count = len(classes.prior)
+    mixer = WordMixer.empty(count, code.value, params.words)
+    last = len(mixer.tables)
+
+    def task(table: pa.Table) -> pa.Table:
+        learner = WordLearner(count, code.value, params.words)
+        # by content, so the order of rows and files does not matter
+        order = np.argsort(table["key"].to_numpy(), kind="stable").tolist()
+        found = table["text"].cast(pa.binary())
+        for texts in slices(((found[i].as_py() or b"").lower() for i in order), params.slice_bytes):
+            learner.learn(Tokens.of(texts), classes.of_texts(texts))
+        rows = []
+        for number, values in enumerate(learner.mixer.tables):
+            for block in range(0, len(values), _BLOCK):
+                part = values[block : block + _BLOCK]
+                if part.any():
+                    rows.append(blob_batch([(number << 16 | block // _BLOCK, _planes(part))], np.uint8))
+        summary = [learner.mixer.weights * learner.seen, learner.seen, learner.refined]
+        rows.append(blob_batch([(last << 16, np.concatenate([x.ravel() for x in summary]))]))
+        return pa.Table.from_batches(rows)
+
+    def read(key: int, value: bytes) -> np.ndarray:
+        return np.frombuffer(value, np.float64) if key >> 16 == last else _of_planes(value).astype(np.float64)
+
+    chunks, _ = chunked(docs.where("train"), chunk_bytes=params.words.learn_bytes)
+    keyed = chunks.select("chunk", F.xxhash64("text").alias("key"), "text")
+    for row in summed(keyed.groupBy("chunk").applyInArrow(task, "key int, value binary"), read=read).toLocalIterator():
+        number, block = row["key"] >> 16, (row["key"] & 0xFFFF) * _BLOCK
+        part = np.frombuffer(bytes(row["value"]), np.float64)
+        if number < last:
+            mixer.tables[number][block : block + len(part)] = part
+        else:
+            weights, seen, refined = np.split(part, np.cumsum([mixer.weights.size, mixer.weights.shape[1]]))
+            mixer.weights, mixer.refined = averaged(weights.reshape(mixer.weights.shape), seen, refined.reshape(2, -1), params.words)
+    return mixer
 
 
 # --- spelling -------------------------------------------------------------------------
@@ -247,14 +325,19 @@ def count_words(docs: DataFrame, classes: Classes, params: Params) -> DataFrame:
 
 @dataclass
 class Spelled:
-    """Bytes of some words, and for each byte the first slots of its contexts."""
+    """Bytes of some words, and for each byte the first slots of its contexts.
+
+    If ``same`` is given, words of a class share the bytes of their common beginnings, and it
+    holds for each byte of each word, whose word is ``word_of``, the place of the shared one.
+    """
 
     data: np.ndarray
     word_of: np.ndarray
     base: list[np.ndarray]
+    same: np.ndarray | None = None
 
 
-def spelled(words: list[bytes], classes: np.ndarray, params: Params) -> Spelled:
+def spelled(words: list[bytes], classes: np.ndarray, params: Params, share: bool = False) -> Spelled:
     parts = [(w + _CLOSE_WORD) if w else _CLOSE_TEXT for w in words]
     data = np.frombuffer(b"".join(parts), np.uint8)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -263,11 +346,16 @@ def spelled(words: list[bytes], classes: np.ndarray, params: Params) -> Spelled:
     at = np.arange(len(data))
     values = _BYTE_VALUES[data]
     own_class = mixed((classes.astype(np.uint64) + np.uint64(1)) << np.uint64(32))[word_of]
+    same = None
+    if share:
+        whole = HASH_A.runs(values, begin, at + 1) ^ own_class
+        _, first, same = np.unique(whole, return_index=True, return_inverse=True)
     base = []
     for number, (length, with_class, _) in enumerate(params.contexts):
         hashes = HASH_A.runs(values, np.maximum(begin, at - length), at) + np.uint64(number)
-        base.append((mixed(hashes ^ own_class if with_class else hashes) >> np.uint64(32)).astype(np.uint32))
-    return Spelled(data, word_of, base)
+        slots = (mixed(hashes ^ own_class if with_class else hashes) >> np.uint64(32)).astype(np.uint32)
+        base.append(slots[first] if share else slots)
+    return Spelled(data[first] if share else data, word_of, base, same)
 
 
 def _slots(base: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
@@ -282,8 +370,7 @@ def _bit_steps(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def gate_of(long_evidence: np.ndarray, short_evidence: np.ndarray) -> np.ndarray:
-    longest = np.minimum(np.log2(long_evidence + 1).astype(np.int64), 7)
-    return longest * 4 + np.minimum(np.log2(short_evidence + 1).astype(np.int64) // 2, 3)
+    return np.minimum(level_of(long_evidence), 7) * 4 + np.minimum(level_of(short_evidence) >> 1, 3)
 
 
 GATES = 32
@@ -310,8 +397,8 @@ def learn_tables(items: DataFrame, params: Params) -> list[np.ndarray]:
         tables = [np.zeros(2 << bits) for _, _, bits in params.contexts]
         for batch in _items(batches, 4 * params.batch_words):
             weight = item_weight(batch.column("n").to_numpy())
-            found = spelled(batch.column("word").to_pylist(), batch.column("z").to_numpy(), params)
-            each = weight[found.word_of]
+            found = spelled(batch.column("word").to_pylist(), batch.column("z").to_numpy(), params, share=True)
+            each = np.bincount(found.same, weight[found.word_of])
             for node, bit in _bit_steps(found.data):
                 for table, base, (_, _, bits) in zip(tables, found.base, params.contexts, strict=True):
                     np.add.at(table, _slots(base, node, bits).astype(np.int64) * 2 + bit, each)
@@ -330,6 +417,14 @@ def learn_tables(items: DataFrame, params: Params) -> list[np.ndarray]:
     return tables
 
 
+def _mix(weights: np.ndarray, gate: np.ndarray, inputs: list[np.ndarray]) -> np.ndarray:
+    """Sum of the inputs by the weights (context, gate) that the gate chooses."""
+    found = weights[0].take(gate) * inputs[0]
+    for own, x in zip(weights[1:], inputs[1:], strict=True):
+        found += own.take(gate) * x
+    return found
+
+
 @dataclass
 class Mixer:
     weights: np.ndarray
@@ -347,9 +442,9 @@ def _squash(x: np.ndarray) -> np.ndarray:
 def _evidence(tables: list[np.ndarray], found: Spelled, node: np.ndarray, params: Params) -> tuple[list, list]:
     zeros, ones = [], []
     for table, base, (_, _, bits) in zip(tables, found.base, params.contexts, strict=True):
-        slot = _slots(base, node, bits).astype(np.int64) * 2
-        zeros.append(table[slot])
-        ones.append(table[slot + 1])
+        none, one = evidence(table, _slots(base, node, bits))
+        zeros.append(none)
+        ones.append(one)
     return zeros, ones
 
 
@@ -361,6 +456,7 @@ def learn_mixer(items: DataFrame, tables_of, params: Params) -> Mixer:
     """Weights per gate and the refining table, learned online in every task and averaged."""
     count, levels = len(params.contexts), params.refine_levels
     start = 1.2 / count
+    prior = np.float32(params.prior)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = tables_of.value
@@ -371,18 +467,20 @@ def learn_mixer(items: DataFrame, tables_of, params: Params) -> Mixer:
             n = batch.column("n").to_numpy()
             if not (n > 0).any():
                 continue
-            weight = item_weight(n)
+            weight = item_weight(n).astype(np.float32)
             found = spelled(batch.column("word").to_pylist(), batch.column("z").to_numpy(), params)
             each = weight[found.word_of]
             for node, bit in _bit_steps(found.data):
                 zeros, ones = _evidence(tables, found, node, params)
-                own = [np.maximum(o - each * bit, 0) for o in ones]
-                other = [np.maximum(z - each * (1 - bit), 0) for z in zeros]
-                inputs = np.stack([np.log((o + params.prior) / (z + params.prior)) for o, z in zip(own, other, strict=True)])
+                for_one = each * bit.astype(np.float32)
+                for_zero = each - for_one
+                own = [np.maximum(o - for_one, 0) for o in ones]
+                other = [np.maximum(z - for_zero, 0) for z in zeros]
+                inputs = [np.log((o + prior) / (z + prior)) for o, z in zip(own, other, strict=True)]
                 gate = gate_of(own[-1] + other[-1], own[-2] + other[-2])
-                stretch = (weights[gate].T * inputs).sum(0)
+                stretch = _mix(weights.T.astype(np.float32), gate, inputs)
                 error = (bit - _squash(stretch)) * each
-                norm = np.bincount(gate, each * (inputs**2).sum(0), GATES)
+                norm = np.bincount(gate, each * sum(x * x for x in inputs), GATES)
                 amount = np.bincount(gate, each, GATES)
                 for k in range(count):
                     slope = np.bincount(gate, error * inputs[k], GATES)
@@ -390,7 +488,7 @@ def learn_mixer(items: DataFrame, tables_of, params: Params) -> Mixer:
                 seen += amount
                 key = _refine_key(node, gate, stretch, levels)
                 refined[:, 0] += np.bincount(key, each, len(refined))
-                refined[:, 1] += np.bincount(key, each * bit, len(refined))
+                refined[:, 1] += np.bincount(key, for_one, len(refined))
         yield blob_batch([(0, np.column_stack((weights * seen[:, None], seen))), (1, refined)])
 
     got = _collected(items.mapInArrow(task, "key int, value binary"))
@@ -407,18 +505,17 @@ def learn_mixer(items: DataFrame, tables_of, params: Params) -> Mixer:
 
 def spelling_scores(words: list[bytes], classes: np.ndarray, tables: list[np.ndarray], mixer: Mixer, params: Params) -> np.ndarray:
     """Log10 probability of the spelling of each word in its class."""
-    found = spelled(words, classes, params)
+    found = spelled(words, classes, params, share=True)
     total = np.zeros(len(found.data))
+    prior, weights = np.float32(params.prior), mixer.weights.T.astype(np.float32)
     for node, bit in _bit_steps(found.data):
         zeros, ones = _evidence(tables, found, node, params)
         gate = gate_of(ones[-1] + zeros[-1], ones[-2] + zeros[-2])
-        stretch = np.zeros(len(node))
-        for k, (z, o) in enumerate(zip(zeros, ones, strict=True)):
-            stretch += mixer.weights[gate, k] * np.log((o + params.prior) / (z + params.prior))
-        refined = mixer.refined[_refine_key(node, gate, stretch, params.refine_levels)]
-        one = np.clip(0.5 * (_squash(stretch) + refined), 1e-6, 1 - 1e-6)
+        stretch = _mix(weights, gate, [np.log((o + prior) / (z + prior)) for o, z in zip(ones, zeros, strict=True)])
+        refined = mixer.refined.take(_refine_key(node, gate, stretch, params.refine_levels))
+        one = np.clip(0.5 * (_squash(stretch) + refined), 1e-6, 1 - 1e-6).astype(np.float64)
         total += np.log10(np.where(bit == 1, one, 1.0 - one))
-    return np.bincount(found.word_of, total, len(words))
+    return np.bincount(found.word_of, total[found.same], len(words))
 
 
 # --- scores ---------------------------------------------------------------------------
@@ -435,18 +532,29 @@ def score(docs: DataFrame, params: Params = Params()) -> DataFrame:
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"), trains(F.col("doc_id")).alias("train"))
     classes = learn_classes(source, params)
     counted = stored(count_words(source, classes, params), "words")
-    sizes = {r["z"]: r for r in counted.groupBy("z").agg(F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once"), F.count("*").alias("items")).collect()}
-    words = counted.groupBy("word").agg(F.sum("n").alias("total"))
-    whole = words.agg(F.sum("total").alias("n"), F.sum((F.col("total") > 0).cast("long")).alias("v")).first()
-    n_train, n_distinct = whole["n"] or 0, whole["v"] or 0
+    frequent = counted.where("head and total > 1").orderBy(F.desc("total"), "word").limit(params.words.vocabulary).select("word", "total").collect()
+    listed = spark.createDataFrame([(r["word"],) for r in frequent], "word binary").withColumn("frequent", F.lit(True))
+    other = counted.join(F.broadcast(listed), "word", "left").withColumn("other", F.col("frequent").isNull())
+    sums = {
+        "n": F.sum("n"),
+        "items": F.count("*"),
+        "distinct": F.sum(F.expr("cast(head and total > 0 as long)")),
+        "other": F.sum(F.expr("if(other, n, 0)")),
+        "once": F.sum(F.expr("cast(other and n = 1 as long)")),
+    }
+    sizes = {r["z"]: r for r in other.groupBy("z").agg(*(v.alias(k) for k, v in sums.items())).collect()}
+    n_train, n_distinct = sum(r["n"] for r in sizes.values()), sum(r["distinct"] for r in sizes.values())
+    code = spark.sparkContext.broadcast(Code([bytes(r["word"]) for r in frequent], [r["total"] for r in frequent], sum(r["other"] for r in sizes.values())))
+    words = spark.sparkContext.broadcast(learn_words(source, classes, code, params).packed(params.words))
     tasks = max(1, math.ceil(sum(r["items"] for r in sizes.values()) / params.words_per_task))
     tables = spark.sparkContext.broadcast(learn_tables(counted.where("n > 0").coalesce(tasks), params))
     mixer = learn_mixer(counted.where("n > 0"), tables, params)
-    # share of spelling in each class: how often a token is met for the first time
-    in_class = {z: max(1, r["n"]) for z, r in sizes.items()}
-    novel = {z: min(1.0, max(1, r["once"]) / in_class[z]) if r["n"] else 1.0 for z, r in sizes.items()}
+    # share of spelling in each class: how often another word is met for the first time
+    in_class = {z: max(1, r["other"]) for z, r in sizes.items()}
+    novel = {z: min(1.0, max(1, r["once"]) / in_class[z]) if r["other"] else 1.0 for z, r in sizes.items()}
 
     def word_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Values of words as other words; those of frequent words are not used."""
         for batch in _items(batches, 4 * params.batch_words):
             z = batch.column("z").to_numpy()
             spelling = spelling_scores(batch.column("word").to_pylist(), z, tables.value, mixer, params)
@@ -455,32 +563,30 @@ def score(docs: DataFrame, params: Params = Params()) -> DataFrame:
             frequency = batch.column("n").to_numpy() / size
             value = np.log10((1 - share) * frequency + share * 10.0**spelling + 1e-300)
             kept = [batch.column(c) for c in ("z", "word")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(value)], ["z", "word", "value"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(value), batch.column("total")], ["z", "word", "value", "total"])
 
-    scored = counted.mapInArrow(word_task, "z int, word binary, value double")
-    lexicon = scored.join(words, "word").select("z", "word", "value", "total")
+    lexicon = counted.select("z", "word", "n", "total").mapInArrow(word_task, "z int, word binary, value double, total long")
 
     parted, _ = chunked(source, chunk_bytes=params.chunk_bytes)
 
-    def words_of(table) -> tuple[list[tuple[int, list[bytes]]], list[int]]:
-        """Distinct words per class in a fixed order, so that a place stands for a word; class of each text."""
-        by_class: dict[int, set[bytes]] = {}
-        class_of: list[int] = []
-        for texts in slices(texts_of(table)):
-            member = classes.best(np.array([byte_pairs(t.lower()) for t in texts], np.float64)).tolist()
-            for text, z in zip(texts, member, strict=True):
-                by_class.setdefault(z, set()).update(text_words(text))
-            class_of += member
-        return [(z, sorted(own)) for z, own in sorted(by_class.items())], class_of
+    def tokens_of(table: pa.Table) -> tuple[Tokens, np.ndarray, np.ndarray]:
+        """Tokens, class of each text, and the pairs of class and word that occur, whose order gives them places."""
+        parts, member = [], []
+        for texts in lowered(table, params.slice_bytes):
+            parts.append(Tokens.of(texts))
+            member.append(classes.of_texts(texts))
+        tokens, member = Tokens.joined(parts), np.concatenate(member)
+        key = np.repeat(member, tokens.sizes) * len(tokens.words) + tokens.at
+        return tokens, member, np.flatnonzero(np.bincount(key))
 
     def distinct_words(key, table):
-        rows, _ = words_of(table)
-        count = sum(len(own) for _, own in rows)
+        tokens, _, pairs = tokens_of(table)
+        z, place = np.divmod(pairs, len(tokens.words))
         columns = [
-            pa.array(np.full(count, key[0].as_py(), np.int32)),
-            pa.array(np.repeat([z for z, _ in rows], [len(own) for _, own in rows]).astype(np.int32)),
-            pa.array([w for _, own in rows for w in own], pa.binary()),
-            pa.array(np.arange(count, dtype=np.int32)),
+            pa.array(np.full(len(pairs), key[0].as_py(), np.int32)),
+            pa.array(z, pa.int32()),
+            tokens.words.take(pa.array(place)),
+            pa.array(np.arange(len(pairs), dtype=np.int32)),
         ]
         return pa.Table.from_arrays(columns, ["chunk", "z", "word", "place"])
 
@@ -503,38 +609,44 @@ def score(docs: DataFrame, params: Params = Params()) -> DataFrame:
     log_n = math.log10(n_train + n_distinct + 1)
 
     def chunk_scores(key, texts_table, lexicon_table):
-        place_of: dict[int, dict[bytes, int]] = {}
-        count = 0
-        rows, class_of = words_of(texts_table)
-        for z, own in rows:
-            place_of[z] = dict(zip(own, range(count, count + len(own)), strict=True))
-            count += len(own)
-        value_at, total_at = np.zeros(count), np.zeros(count, np.int64)
+        tokens, member, pairs = tokens_of(texts_table)
+        value_at, total_at = np.zeros(len(pairs)), np.zeros(len(pairs), np.int64)
         for place, value, total in zip(*(lexicon_table[c] for c in ("place", "value", "total")), strict=True):
             at = np.frombuffer(place.as_py(), np.int32)
             value_at[at] = np.frombuffer(value.as_py(), np.float32)
             total_at[at] = np.frombuffer(total.as_py(), np.int64)
-        n_tokens, n_known, base, model, bits = [], [], [], [], []
-        for text, z in zip(texts_of(texts_table), class_of, strict=True):
-            tokens = text_words(text)
-            at = np.fromiter(map(place_of[z].__getitem__, tokens), np.int64, len(tokens))
-            count = total_at[at]
-            n_tokens.append(len(tokens))
-            n_known.append(int((count > 0).sum()))
-            base.append(float(np.log10(count + 1).sum()) - len(tokens) * log_n)
-            value = float(value_at[at].sum()) + float(classes.prior[z]) / math.log(10)
-            model.append(value)
-            size = sum(map(len, tokens)) + len(tokens)
-            bits.append(-value / math.log10(2) / size)
+        base_at, known_at = np.log10(total_at + 1), total_at > 0
+        place_of = np.zeros(len(classes.prior) * len(tokens.words), np.int32)
+        place_of[pairs] = np.arange(len(pairs))
+        symbol_at, hash_at = code.value.symbols(tokens.words), word_hashes(tokens.words)
+        size_at = pc.binary_length(tokens.words).to_numpy() + 1
+        n_known, base, model, bits = [], [], [], []
+        bounds = np.concatenate((tokens.starts, [len(tokens.at)]))
+        # some texts at a time
+        first = 0
+        while first < len(member):
+            last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + params.words.batch_tokens * 8)) - 1)
+            at = tokens.at[bounds[first] : bounds[last]]
+            sizes, starts = tokens.sizes[first:last], bounds[first:last] - bounds[first]
+            own = np.repeat(member[first:last], sizes)
+            place = place_of[own * len(tokens.words) + at]
+            symbol = symbol_at[at]
+            value = code_scores(code.value, words.value, symbol, hash_at[at], starts, own, params.words)
+            value += np.where(symbol == 0, value_at[place], 0.0)
+            n_known.append(np.add.reduceat(known_at[place].astype(np.int64), starts))
+            base.append(np.add.reduceat(base_at[place], starts) - sizes * log_n)
+            model.append(np.add.reduceat(value, starts) + classes.prior[member[first:last]] / math.log(10))
+            bits.append(-model[-1] / math.log10(2) / np.add.reduceat(size_at[at], starts))
+            first = last
         columns = {
             "doc_id": texts_table["doc_id"],
             "held_out": pa.array([not t for t in texts_table["train"].to_pylist()], pa.bool_()),
-            "n_tokens": pa.array(n_tokens, pa.int64()),
-            "n_known": pa.array(n_known, pa.int64()),
-            "train_tokens": pa.array(np.full(len(n_tokens), n_train, np.int64)),
-            "base_score": pa.array(base, pa.float64()),
-            "score": pa.array(model, pa.float64()),
-            "bits_per_byte": pa.array(bits, pa.float64()),
+            "n_tokens": pa.array(tokens.sizes, pa.int64()),
+            "n_known": pa.array(np.concatenate(n_known), pa.int64()),
+            "train_tokens": pa.array(np.full(len(member), n_train, np.int64)),
+            "base_score": pa.array(np.concatenate(base), pa.float64()),
+            "score": pa.array(np.concatenate(model), pa.float64()),
+            "bits_per_byte": pa.array(np.concatenate(bits), pa.float64()),
         }
         return pa.Table.from_pydict(columns)
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 19
 #: powers kept between calls; longer texts make theirs anew
@@ -132,3 +133,55 @@ class Words:
 
 HASH_A = RunHash(0x9E3779B97F4A7C15)
 HASH_B = RunHash(0xD6E8FEB86659FD93)
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """Hashes of words (binary), as ``Words.hashes`` gives them with ``HASH_A``."""
+    _, offsets, data = words.buffers()
+    if not len(words) or data is None:
+        return HASH_A.runs(np.zeros(0, np.uint64), *(np.zeros(len(words), np.int64),) * 2)
+    ends = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    values = _byte_values(0)[np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]]
+    return HASH_A.runs(values, ends[:-1] - ends[0], ends[1:] - ends[0])
+
+
+@dataclass
+class Tokens:
+    """Tokens of some texts, one after the other, as places in an array of distinct words.
+
+    An end token, the empty word, closes every text; ``sizes`` counts it.
+    """
+
+    at: np.ndarray
+    words: pa.Array
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Tokens:
+        text = pa.array(texts, pa.binary()).view(pa.string())
+        lists = pc.ascii_split_whitespace(text)
+        found = lists.flatten()
+        # white space at either end of a text gives an empty word
+        kept = pc.not_equal(pc.binary_length(found), 0)
+        before = np.concatenate(([0], np.cumsum(kept.to_numpy(zero_copy_only=False))))
+        first = before[lists.offsets.to_numpy()]
+        coded = found.filter(kept).dictionary_encode()
+        words = pa.concat_arrays([coded.dictionary.view(pa.binary()), pa.array([b""], pa.binary())])
+        at = np.insert(coded.indices.to_numpy(), first[1:], len(words) - 1)
+        return cls(at, words, np.diff(first) + 1)
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    @classmethod
+    def joined(cls, parts: list[Tokens]) -> Tokens:
+        """All tokens over one array of words, in the order of bytes."""
+        coded = pa.chunked_array([pa.DictionaryArray.from_arrays(pa.array(p.at, pa.int32()), p.words) for p in parts])
+        coded = coded.unify_dictionaries()
+        words = coded.chunk(0).dictionary
+        order = pc.sort_indices(words)
+        rank = np.empty(len(words), np.int32)
+        rank[order.to_numpy()] = np.arange(len(words), dtype=np.int32)
+        at = [rank[c.indices.to_numpy()] for c in coded.chunks]
+        return cls(np.concatenate(at), words.take(order), np.concatenate([p.sizes for p in parts]))
