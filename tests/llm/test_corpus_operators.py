@@ -288,6 +288,44 @@ def test_scores_do_not_depend_on_the_order_of_rows(spark, root):
     assert all(two[d] == pytest.approx(one[d], rel=1e-5) for d in one)
 
 
+@pytest.mark.parametrize("shards", [1, 3])
+def test_word_counts_travel_packed(documents, shards):
+    """Words of a chunk go to each shard as one row, and add up to plain counts by class."""
+    texts = ["b a a", None, "A c", "b  b\n", "only held out"]
+    docs = documents(texts).withColumn("train", F.col("doc_id") < 4)
+    classes = context_mixing.Classes(np.zeros((1, context_mixing.BINS)), np.zeros(1))
+    found = context_mixing.count_words(docs, classes, shards, context_mixing.Params())
+    rows = {bytes(r.word): r for r in found.collect()}
+    expected = Counter(w for t in texts[:4] for w in [*(t or "").lower().encode().split(), b""])
+    assert {w: r.n for w, r in rows.items()} == {**dict.fromkeys(texts[4].encode().split(), 0), **expected}
+    assert all(r.total == r.n and r.head and r.z == 0 for r in rows.values())
+    listed = pa.array([b"", b"a", b"longer word", b"a"], pa.binary())
+    sizes, data = context_mixing.packed_words(listed)
+    assert context_mixing.unpacked_words(pa.table({"sizes": [sizes, sizes], "words": [data, data]})).to_pylist() == 2 * listed.to_pylist()
+
+
+def test_scoring_exchanges_no_texts(documents):
+    """Values of words come to places of words; the plan that scores has no exchange of texts or of single words."""
+    texts = ["a b", "b c c", None, "", "rare words only"]
+    found = context_mixing.score(documents(texts))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "places" in plan and "text#" not in plan and "word#" not in plan.split("MapInArrow")[0]
+    assert found.count() == len(texts)
+
+
+def test_tables_of_words_reach_the_driver_packed(spark, documents):
+    docs = documents(["a b a b a", "b a c", "a b"]).select("text").withColumn("doc_id", F.lit(1)).withColumn("train", F.lit(True))
+    params = context_mixing.Params(words=word_contexts.WordParams(slots=(16, 17)))
+    classes = context_mixing.Classes(np.zeros((1, context_mixing.BINS)), np.zeros(1))
+    code = spark.sparkContext.broadcast(word_contexts.Code([b"a", b"b", b""], [6, 4, 3], 1))
+    mixer = context_mixing.learn_words(docs, classes, code, params)
+    learner = word_contexts.WordLearner(1, code.value, params.words)
+    order = sorted(docs.select(F.xxhash64("text"), "text").collect())
+    learner.learn(Tokens.of([r.text.encode() for r in order]), np.zeros(3, int))
+    for got, table in zip(mixer.tables, learner.mixer.tables, strict=True):
+        assert got.dtype == np.int32 and (got == word_contexts.packed_table(table, params.words)).all()
+
+
 # --- personal data --------------------------------------------------------------------
 
 PLAIN = {

@@ -27,6 +27,10 @@ distinct word, not per token.  Tables of contexts have a fixed number of slots,
 these tables, the code of frequent words, the weights and the classes are broadcast: about
 90 MB at most, whatever the size of the corpus.
 
+Texts are scored where they are read, so they are exchanged only for learning.  A chunk of
+texts asks each shard of words, in one packed row, for the values of the other words that
+it holds, and the answers come to the places of these words.
+
 NULL and empty texts are one end token.  A NULL id trains.  Repeated rows count each time.
 Columns other than doc_id and text are not read, so their names do not matter.
 """
@@ -40,12 +44,13 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.chunks import chunked
+from tillwise.llm.chunks import chunked, runs_by_shard, shard_of
 from tillwise.llm.components import stored
-from tillwise.llm.word_contexts import Code, WordLearner, WordMixer, WordParams, averaged, code_scores, evidence, level_of
+from tillwise.llm.word_contexts import Code, WordLearner, WordMixer, WordParams, averaged, code_scores, evidence, level_of, packed_table, tally
 from tillwise.llm.words import HASH_A, Tokens, mixed, slices, texts_of, word_hashes
 
 BINS = 256
@@ -76,6 +81,8 @@ class Params:
     batch_words: int = 4096
     words_per_task: int = 1_000_000
     chunk_bytes: int = 16 << 20
+    chunks_per_shard: int = 2
+    lexicon_words: int = 1 << 18
     slice_bytes: int = 4 << 20
     refine_levels: int = 24
     refine_trust: float = 16.0
@@ -136,12 +143,19 @@ def first_classes(features: np.ndarray, count: int) -> Classes:
     return found
 
 
-def summed(blobs: DataFrame, kind: type = np.float64, read: Callable[[int, bytes], np.ndarray] | None = None) -> DataFrame:
+def summed(
+    blobs: DataFrame,
+    kind: type = np.float64,
+    read: Callable[[int, bytes], np.ndarray] | None = None,
+    write: Callable[[int, np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
     """Adds arrays (``key int, value binary``) by key, streaming through tasks.
 
-    ``read`` makes an array of ``kind`` from a key and bytes that hold something else.
+    ``read`` makes an array of ``kind`` from a key and bytes that hold something else;
+    ``write`` makes what is returned, an array of any kind, from a key and the sum.
     """
     read = read or (lambda _, value: np.frombuffer(value, kind))
+    write = write or (lambda _, value: value)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -152,8 +166,9 @@ def summed(blobs: DataFrame, kind: type = np.float64, read: Callable[[int, bytes
                     sums[key] += part
                 else:
                     sums[key] = part.copy()
-        for key, value in sums.items():
-            yield blob_batch([(key, value)], kind)
+        for key in list(sums):
+            value = write(key, sums.pop(key))
+            yield blob_batch([(key, value)], value.dtype)
 
     return blobs.repartition("key").mapInArrow(task, "key int, value binary")
 
@@ -228,20 +243,66 @@ def lowered(batch: pa.RecordBatch | pa.Table, limit: int) -> Iterator[list[bytes
     return slices((t.lower() for t in texts_of(batch)), limit)
 
 
-def count_words(docs: DataFrame, classes: Classes, params: Params) -> DataFrame:
+def packed_words(words: pa.Array) -> tuple[bytes, bytes]:
+    """Sizes of words, and their bytes one after the other."""
+    joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), b"")
+    return _planes(pc.binary_length(words).to_numpy()).tobytes(), joined[0].as_py()
+
+
+def unpacked_words(rows: pa.Table) -> pa.Array:
+    """The words of some rows ``sizes, words``."""
+    sizes = _joined_planes(rows["sizes"])
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    data = b"".join(w.as_py() for w in rows["words"])
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _joined(blobs: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(b.as_py() for b in blobs), kind)
+
+
+def _joined_planes(blobs: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int32), *(_of_planes(b.as_py()) for b in blobs)])
+
+
+def _row(schema: pa.Schema, *values: object) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for f, v in zip(schema, values, strict=True)], schema=schema)
+
+
+def word_shards(docs: DataFrame, params: Params) -> int:
+    """Number of shards that words are dealt to, so that each gets about as many as some chunks have."""
+    _, chunks = chunked(docs, chunk_bytes=params.chunk_bytes)
+    return max(1, math.ceil(chunks / params.chunks_per_shard))
+
+
+def by_shard(words: pa.Array, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Shards with the places of their words."""
+    owner = shard_of(word_hashes(words), shards)
+    order = np.argsort(owner, kind="stable")
+    for shard, begin, end in runs_by_shard(owner[order]):
+        yield shard, order[begin:end]
+
+
+_PARTS = pa.schema({"shard": pa.int32(), "z": pa.binary(), "sizes": pa.binary(), "words": pa.binary(), "n": pa.binary()})
+
+
+def count_words(docs: DataFrame, classes: Classes, shards: int, params: Params) -> DataFrame:
     """``z, word, n, total, head``: occurrences in training texts of the class and in all; 0 for words of other texts alone.
 
     One row of each word is its head.
     """
 
-    def counts(parts: list[Tokens], member: list[np.ndarray], train: np.ndarray) -> pa.RecordBatch:
+    def counts(parts: list[Tokens], member: list[np.ndarray], train: np.ndarray) -> Iterator[pa.RecordBatch]:
         tokens = Tokens.joined(parts)
         key = np.repeat(np.concatenate(member), tokens.sizes) * len(tokens.words) + tokens.at
         slots = len(classes.prior) * len(tokens.words)
         present = np.flatnonzero(np.bincount(key, minlength=slots))
         n = np.bincount(key[np.repeat(train, tokens.sizes)], minlength=slots)[present]
         z, place = np.divmod(present, len(tokens.words))
-        return pa.RecordBatch.from_arrays([pa.array(z, pa.int32()), tokens.words.take(pa.array(place)), pa.array(n, pa.int64())], ["z", "word", "n"])
+        words = tokens.words.take(pa.array(place))
+        for shard, at in by_shard(words, shards):
+            packed = (z[at].astype(np.uint16).tobytes(), *packed_words(words.take(pa.array(at))), _planes(n[at]).tobytes())
+            yield _row(_PARTS, shard, *packed)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[Tokens] = []
@@ -256,17 +317,32 @@ def count_words(docs: DataFrame, classes: Classes, params: Params) -> DataFrame:
                 train.append(trains[at : at + len(texts)])
                 at += len(texts)
                 if sum(len(p.at) for p in parts) * 6 > params.chunk_bytes:
-                    yield counts(parts, member, np.concatenate(train))
+                    yield from counts(parts, member, np.concatenate(train))
                     parts, member, train = [], [], []
         if parts:
-            yield counts(parts, member, np.concatenate(train))
+            yield from counts(parts, member, np.concatenate(train))
+
+    def added(parts: pa.Table) -> pa.Table:
+        """Counts of the words of a shard, in order, so that what is learned word by word is the same on every run."""
+        coded = unpacked_words(parts).dictionary_encode()
+        order = pc.sort_indices(coded.dictionary)
+        rank = np.empty(len(order), np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
+        key = rank[coded.indices.to_numpy()] * len(classes.prior) + _joined(parts["z"], np.uint16)
+        present = np.flatnonzero(np.bincount(key))
+        n = tally(key, _joined_planes(parts["n"]), len(order) * len(classes.prior))[present]
+        word, z = np.divmod(present, len(classes.prior))
+        columns = {
+            "z": pa.array(z, pa.int32()),
+            "word": coded.dictionary.take(order).take(pa.array(word)),
+            "n": pa.array(n.astype(np.int64)),
+            "total": pa.array(tally(word, n, len(order)).astype(np.int64)[word]),
+            "head": pa.array(np.diff(word, prepend=-1) > 0),
+        }
+        return pa.table(columns)
 
-    parts = docs.select("text", "train").mapInArrow(task, "z int, word binary, n long")
-    whole = Window.partitionBy("word").orderBy("z").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    counted = parts.repartition("word").groupBy("word", "z").agg(F.sum("n").alias("n"))
-    found = counted.select("z", "word", "n", F.sum("n").over(whole).alias("total"), (F.first("z").over(whole) == F.col("z")).alias("head"))
-    # in order, so that what is learned word by word is the same on every run
-    return found.sortWithinPartitions("word", "z")
+    parts = docs.select("text", "train").mapInArrow(task, "shard int, z binary, sizes binary, words binary, n binary")
+    return parts.groupBy("shard").applyInArrow(added, "z int, word binary, n long, total long, head boolean")
 
 
 # --- words in their contexts ----------------------------------------------------------
@@ -282,9 +358,12 @@ def _of_planes(value: bytes) -> np.ndarray:
 
 
 def learn_words(docs: DataFrame, classes: Classes, code, params: Params) -> WordMixer:
-    """What the class and the words before say of the next word, from all training texts of ``docs``."""
+    """What the class and the words before say of the next word, from all training texts of ``docs``; packed for scores."""
     count = len(classes.prior)
-    mixer = WordMixer.empty(count, code.value, params.words)
+    empty = WordMixer.empty(count, code.value, params.words)
+    # a slot that was never met is a zero when packed
+    mixer = WordMixer([np.zeros(len(t) // 2, np.int32) for t in empty.tables], empty.weights, empty.refined)
+    del empty
     last = len(mixer.tables)
 
     def task(table: pa.Table) -> pa.Table:
@@ -307,14 +386,20 @@ def learn_words(docs: DataFrame, classes: Classes, code, params: Params) -> Word
     def read(key: int, value: bytes) -> np.ndarray:
         return np.frombuffer(value, np.float64) if key >> 16 == last else _of_planes(value).astype(np.float64)
 
+    def write(key: int, value: np.ndarray) -> np.ndarray:
+        return value if key >> 16 == last else packed_table(value.astype(np.float32), params.words)
+
     chunks, _ = chunked(docs.where("train"), chunk_bytes=params.words.learn_bytes)
     keyed = chunks.select("chunk", F.xxhash64("text").alias("key"), "text")
-    for row in summed(keyed.groupBy("chunk").applyInArrow(task, "key int, value binary"), read=read).toLocalIterator():
-        number, block = row["key"] >> 16, (row["key"] & 0xFFFF) * _BLOCK
-        part = np.frombuffer(bytes(row["value"]), np.float64)
+    learned = keyed.groupBy("chunk").applyInArrow(task, "key int, value binary")
+    # packed in the tasks that add, so the driver gets a quarter of the bytes
+    for row in summed(learned, read=read, write=write).toLocalIterator():
+        number, block = row["key"] >> 16, (row["key"] & 0xFFFF) * (_BLOCK // 2)
         if number < last:
+            part = np.frombuffer(bytes(row["value"]), np.int32)
             mixer.tables[number][block : block + len(part)] = part
         else:
+            part = np.frombuffer(bytes(row["value"]), np.float64)
             weights, seen, refined = np.split(part, np.cumsum([mixer.weights.size, mixer.weights.shape[1]]))
             mixer.weights, mixer.refined = averaged(weights.reshape(mixer.weights.shape), seen, refined.reshape(2, -1), params.words)
     return mixer
@@ -480,15 +565,15 @@ def learn_mixer(items: DataFrame, tables_of, params: Params) -> Mixer:
                 gate = gate_of(own[-1] + other[-1], own[-2] + other[-2])
                 stretch = _mix(weights.T.astype(np.float32), gate, inputs)
                 error = (bit - _squash(stretch)) * each
-                norm = np.bincount(gate, each * sum(x * x for x in inputs), GATES)
-                amount = np.bincount(gate, each, GATES)
+                norm = tally(gate, each * sum(x * x for x in inputs), GATES)
+                amount = tally(gate, each, GATES)
                 for k in range(count):
-                    slope = np.bincount(gate, error * inputs[k], GATES)
+                    slope = tally(gate, error * inputs[k], GATES)
                     weights[:, k] += params.rate * slope / (norm / count + amount + 1.0)
                 seen += amount
                 key = _refine_key(node, gate, stretch, levels)
-                refined[:, 0] += np.bincount(key, each, len(refined))
-                refined[:, 1] += np.bincount(key, for_one, len(refined))
+                refined[:, 0] += tally(key, each, len(refined))
+                refined[:, 1] += tally(key, for_one, len(refined))
         yield blob_batch([(0, np.column_stack((weights * seen[:, None], seen))), (1, refined)])
 
     got = _collected(items.mapInArrow(task, "key int, value binary"))
@@ -530,8 +615,8 @@ def score(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``."""
     spark = docs.sparkSession
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"), trains(F.col("doc_id")).alias("train"))
-    classes = learn_classes(source, params)
-    counted = stored(count_words(source, classes, params), "words")
+    classes, shards = learn_classes(source, params), word_shards(source, params)
+    counted = stored(count_words(source, classes, shards, params), "words")
     frequent = counted.where("head and total > 1").orderBy(F.desc("total"), "word").limit(params.words.vocabulary).select("word", "total").collect()
     listed = spark.createDataFrame([(r["word"],) for r in frequent], "word binary").withColumn("frequent", F.lit(True))
     other = counted.join(F.broadcast(listed), "word", "left").withColumn("other", F.col("frequent").isNull())
@@ -545,7 +630,7 @@ def score(docs: DataFrame, params: Params = Params()) -> DataFrame:
     sizes = {r["z"]: r for r in other.groupBy("z").agg(*(v.alias(k) for k, v in sums.items())).collect()}
     n_train, n_distinct = sum(r["n"] for r in sizes.values()), sum(r["distinct"] for r in sizes.values())
     code = spark.sparkContext.broadcast(Code([bytes(r["word"]) for r in frequent], [r["total"] for r in frequent], sum(r["other"] for r in sizes.values())))
-    words = spark.sparkContext.broadcast(learn_words(source, classes, code, params).packed(params.words))
+    words = spark.sparkContext.broadcast(learn_words(source, classes, code, params))
     tasks = max(1, math.ceil(sum(r["items"] for r in sizes.values()) / params.words_per_task))
     tables = spark.sparkContext.broadcast(learn_tables(counted.where("n > 0").coalesce(tasks), params))
     mixer = learn_mixer(counted.where("n > 0"), tables, params)
@@ -553,75 +638,49 @@ def score(docs: DataFrame, params: Params = Params()) -> DataFrame:
     in_class = {z: max(1, r["other"]) for z, r in sizes.items()}
     novel = {z: min(1.0, max(1, r["once"]) / in_class[z]) if r["other"] else 1.0 for z, r in sizes.items()}
 
-    def word_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Values of words as other words; those of frequent words are not used."""
-        for batch in _items(batches, 4 * params.batch_words):
-            z = batch.column("z").to_numpy()
-            spelling = spelling_scores(batch.column("word").to_pylist(), z, tables.value, mixer, params)
-            share = np.array([novel[c] for c in z.tolist()])
-            size = np.array([in_class[c] for c in z.tolist()], float)
-            frequency = batch.column("n").to_numpy() / size
-            value = np.log10((1 - share) * frequency + share * 10.0**spelling + 1e-300)
-            kept = [batch.column(c) for c in ("z", "word")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(value), batch.column("total")], ["z", "word", "value", "total"])
-
-    lexicon = counted.select("z", "word", "n", "total").mapInArrow(word_task, "z int, word binary, value double, total long")
+    log_n = math.log10(n_train + n_distinct + 1)
+    totals = np.array([0, *(r["total"] for r in frequent)], np.int64)
 
-    parted, _ = chunked(source, chunk_bytes=params.chunk_bytes)
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Scores without the values of other words, and the pairs of class and other word that each chunk asks for."""
+        number = TaskContext.get().partitionId() << 32
+        parts, member, kept, size = [], [], [], 0
+        for batch in batches:
+            at = 0
+            for texts in lowered(batch, params.slice_bytes):
+                parts.append(Tokens.of(texts))
+                member.append(classes.of_texts(texts))
+                kept.append(batch.slice(at, len(texts)).select(["doc_id", "train"]))
+                at += len(texts)
+                size += sum(map(len, texts))
+                if size >= params.chunk_bytes:
+                    yield from chunk_begun(number, parts, member, kept)
+                    number += 1
+                    parts, member, kept, size = [], [], [], 0
+        if parts:
+            yield from chunk_begun(number, parts, member, kept)
 
-    def tokens_of(table: pa.Table) -> tuple[Tokens, np.ndarray, np.ndarray]:
-        """Tokens, class of each text, and the pairs of class and word that occur, whose order gives them places."""
-        parts, member = [], []
-        for texts in lowered(table, params.slice_bytes):
-            parts.append(Tokens.of(texts))
-            member.append(classes.of_texts(texts))
+    def chunk_begun(number: int, parts: list[Tokens], member: list[np.ndarray], kept: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, member = Tokens.joined(parts), np.concatenate(member)
+        symbol_at, hash_at = code.value.symbols(tokens.words), word_hashes(tokens.words)
+        rare_at, total_at = symbol_at == 0, totals[symbol_at]
+        # pairs of class and other word in the order of shards, which gives them places
         key = np.repeat(member, tokens.sizes) * len(tokens.words) + tokens.at
-        return tokens, member, np.flatnonzero(np.bincount(key))
-
-    def distinct_words(key, table):
-        tokens, _, pairs = tokens_of(table)
-        z, place = np.divmod(pairs, len(tokens.words))
-        columns = [
-            pa.array(np.full(len(pairs), key[0].as_py(), np.int32)),
-            pa.array(z, pa.int32()),
-            tokens.words.take(pa.array(place)),
-            pa.array(np.arange(len(pairs), dtype=np.int32)),
-        ]
-        return pa.Table.from_arrays(columns, ["chunk", "z", "word", "place"])
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The answers of a task, one row per chunk."""
-        held: dict[int, list[tuple[np.ndarray, ...]]] = {}
-        for batch in batches:
-            chunk, *rest = (batch.column(c).to_numpy() for c in ("chunk", "place", "value", "total"))
-            order = np.argsort(chunk, kind="stable")
-            bounds = np.flatnonzero(np.diff(chunk[order], prepend=-1, append=-1))
-            for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
-                part = order[begin:end]
-                held.setdefault(int(chunk[part[0]]), []).append(tuple(column[part] for column in rest))
-        for chunk, parts in held.items():
-            place, value, total = (np.concatenate(p) for p in zip(*parts, strict=True))
-            blobs = [place.astype(np.int32), value.astype(np.float32), total.astype(np.int64)]
-            values = [pa.array([chunk], pa.int32()), *(pa.array([b.tobytes()], pa.binary()) for b in blobs)]
-            yield pa.RecordBatch.from_arrays(values, ["chunk", "place", "value", "total"])
-
-    log_n = math.log10(n_train + n_distinct + 1)
-
-    def chunk_scores(key, texts_table, lexicon_table):
-        tokens, member, pairs = tokens_of(texts_table)
-        value_at, total_at = np.zeros(len(pairs)), np.zeros(len(pairs), np.int64)
-        for place, value, total in zip(*(lexicon_table[c] for c in ("place", "value", "total")), strict=True):
-            at = np.frombuffer(place.as_py(), np.int32)
-            value_at[at] = np.frombuffer(value.as_py(), np.float32)
-            total_at[at] = np.frombuffer(total.as_py(), np.int64)
-        base_at, known_at = np.log10(total_at + 1), total_at > 0
+        pairs = np.flatnonzero(np.bincount(key[rare_at[tokens.at]], minlength=1))
+        z, word = np.divmod(pairs, len(tokens.words))
+        owner = shard_of(hash_at[word], shards)
+        order = np.argsort(owner, kind="stable")
+        pairs, z, word = pairs[order], z[order].astype(np.uint16), word[order]
+        for shard, begin, end in runs_by_shard(owner[order]):
+            packed = packed_words(tokens.words.take(pa.array(word[begin:end])))
+            yield whole(_row(wanted_schema, number, shard, z[begin:end].tobytes(), *packed), kept[0].schema)
         place_of = np.zeros(len(classes.prior) * len(tokens.words), np.int32)
         place_of[pairs] = np.arange(len(pairs))
-        symbol_at, hash_at = code.value.symbols(tokens.words), word_hashes(tokens.words)
+        base_at, known_at = np.log10(total_at + 1), total_at > 0
+        base_at[rare_at] = 0.0
         size_at = pc.binary_length(tokens.words).to_numpy() + 1
-        n_known, base, model, bits = [], [], [], []
         bounds = np.concatenate((tokens.starts, [len(tokens.at)]))
+        rows: dict[str, list] = {k: [] for k in ("n_known", "base_score", "score", "bytes", "places")}
         # some texts at a time
         first = 0
         while first < len(member):
@@ -629,33 +688,118 @@ def score(docs: DataFrame, params: Params = Params()) -> DataFrame:
             at = tokens.at[bounds[first] : bounds[last]]
             sizes, starts = tokens.sizes[first:last], bounds[first:last] - bounds[first]
             own = np.repeat(member[first:last], sizes)
-            place = place_of[own * len(tokens.words) + at]
-            symbol = symbol_at[at]
-            value = code_scores(code.value, words.value, symbol, hash_at[at], starts, own, params.words)
-            value += np.where(symbol == 0, value_at[place], 0.0)
-            n_known.append(np.add.reduceat(known_at[place].astype(np.int64), starts))
-            base.append(np.add.reduceat(base_at[place], starts) - sizes * log_n)
-            model.append(np.add.reduceat(value, starts) + classes.prior[member[first:last]] / math.log(10))
-            bits.append(-model[-1] / math.log10(2) / np.add.reduceat(size_at[at], starts))
+            value = code_scores(code.value, words.value, symbol_at[at], hash_at[at], starts, own, params.words)
+            rows["n_known"].append(np.add.reduceat(known_at[at].astype(np.int64), starts))
+            rows["base_score"].append(np.add.reduceat(base_at[at], starts) - sizes * log_n)
+            rows["score"].append(np.add.reduceat(value, starts) + classes.prior[member[first:last]] / math.log(10))
+            rows["bytes"].append(np.add.reduceat(size_at[at].astype(np.int64), starts))
+            rare = rare_at[at]
+            places = place_of[own[rare] * len(tokens.words) + at[rare]]
+            ends = np.cumsum(np.add.reduceat(rare.astype(np.int64), starts))
+            rows["places"] += [_planes(p).tobytes() for p in np.split(places, ends[:-1])]
             first = last
+        docs = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
         columns = {
-            "doc_id": texts_table["doc_id"],
-            "held_out": pa.array([not t for t in texts_table["train"].to_pylist()], pa.bool_()),
+            "chunk": pa.array(np.full(len(member), number, np.int64)),
+            "doc_id": docs["doc_id"],
+            "held_out": pc.invert(docs["train"]),
             "n_tokens": pa.array(tokens.sizes, pa.int64()),
-            "n_known": pa.array(np.concatenate(n_known), pa.int64()),
-            "train_tokens": pa.array(np.full(len(member), n_train, np.int64)),
-            "base_score": pa.array(np.concatenate(base), pa.float64()),
-            "score": pa.array(np.concatenate(model), pa.float64()),
-            "bits_per_byte": pa.array(np.concatenate(bits), pa.float64()),
+            **{k: pa.array(np.concatenate(rows[k])) for k in ("n_known", "base_score", "score", "bytes")},
+            "places": pa.array(rows["places"], pa.binary()),
+        }
+        yield whole(pa.RecordBatch.from_pydict(columns), kept[0].schema)
+
+    def whole(rows: pa.RecordBatch, ids: pa.Schema) -> pa.RecordBatch:
+        """Rows of either kind with the columns of both."""
+        wide = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64(), "bytes": pa.int64()}
+        kinds = {**{f.name: f.type for f in wanted_schema}, "doc_id": ids.field("doc_id").type, "held_out": pa.bool_(), **wide, "places": pa.binary()}
+        columns = [rows.column(k) if k in rows.schema.names else pa.nulls(len(rows), t) for k, t in kinds.items()]
+        return pa.RecordBatch.from_arrays(columns, list(kinds))
+
+    def lexicon_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Values of words as other words, packed by shard; those of frequent words are not used."""
+        held: list[pa.RecordBatch] = []
+        for batch in _items(batches, 4 * params.batch_words):
+            z = batch.column("z").to_numpy()
+            spelling = spelling_scores(batch.column("word").to_pylist(), z, tables.value, mixer, params)
+            share = np.array([novel[c] for c in z.tolist()])
+            size = np.array([in_class[c] for c in z.tolist()], float)
+            frequency = batch.column("n").to_numpy() / size
+            value = np.log10((1 - share) * frequency + share * 10.0**spelling + 1e-300)
+            held.append(batch.select(["z", "word", "total"]).append_column("value", pa.array(value, pa.float32())))
+            if sum(map(len, held)) >= params.lexicon_words:
+                yield from packed(held)
+                held = []
+        if held:
+            yield from packed(held)
+
+    def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        words = table["word"].chunk(0)
+        z, value, total = (table[c].to_numpy() for c in ("z", "value", "total"))
+        for shard, at in by_shard(words, shards):
+            own = packed_words(words.take(pa.array(at)))
+            yield _row(lexicon_schema, shard, z[at].astype(np.uint16).tobytes(), *own, value[at].tobytes(), total[at].tobytes())
+
+    def answers(key, wanted: pa.Table, lexicon: pa.Table) -> pa.Table:
+        """For each chunk the values and totals of the pairs that it asks of this shard, in its order."""
+        if not len(wanted):
+            return answer_schema.empty_table()
+        known = unpacked_words(lexicon).dictionary_encode()
+        count = len(classes.prior)
+        place = known.indices.to_numpy().astype(np.int64) * count + _joined(lexicon["z"], np.uint16)
+        value_at, total_at = np.zeros(len(known.dictionary) * count, np.float32), np.zeros(len(known.dictionary) * count, np.int64)
+        value_at[place], total_at[place] = _joined(lexicon["value"], np.float32), _joined(lexicon["total"], np.int64)
+        values, totals_of = [], []
+        for row in range(len(wanted)):
+            part = wanted.slice(row, 1)
+            code_of = pc.index_in(unpacked_words(part), known.dictionary).to_numpy().astype(np.int64)
+            place = code_of * count + _joined(part["z"], np.uint16)
+            values.append(value_at[place].tobytes())
+            totals_of.append(total_at[place].tobytes())
+        return pa.table([wanted["chunk"], wanted["shard"], pa.array(values, pa.binary()), pa.array(totals_of, pa.binary())], schema=answer_schema)
+
+    def chunk_scores(key, docs: pa.Table, answered: pa.Table) -> pa.Table:
+        """Scores with the values of other words."""
+        answered = answered.sort_by("shard")
+        value_at, total_at = _joined(answered["value"], np.float32).astype(np.float64), _joined(answered["total"], np.int64)
+        places = _joined_planes(docs["places"])
+        owner = np.repeat(np.arange(len(docs)), pc.binary_length(docs["places"]).to_numpy() // 4)
+
+        def added(column: str, values: np.ndarray) -> np.ndarray:
+            more = np.bincount(owner, values[places], len(docs))
+            return docs[column].to_numpy() + (more.astype(np.int64) if column == "n_known" else more)
+
+        score = added("score", value_at)
+        columns = {
+            "doc_id": docs["doc_id"],
+            "held_out": docs["held_out"],
+            "n_tokens": docs["n_tokens"],
+            "n_known": pa.array(added("n_known", (total_at > 0).astype(np.float64)), pa.int64()),
+            "train_tokens": pa.array(np.full(len(docs), n_train, np.int64)),
+            "base_score": pa.array(added("base_score", np.log10(total_at + 1))),
+            "score": pa.array(score),
+            "bits_per_byte": pa.array(-score / math.log10(2) / docs["bytes"].to_numpy()),
         }
         return pa.Table.from_pydict(columns)
 
-    groups = parted.groupBy("chunk")
-    wanted = groups.applyInArrow(distinct_words, "chunk int, z int, word binary, place int")
-    joined = wanted.join(lexicon, ["z", "word"]).select("chunk", "place", "value", "total")
-    answered = joined.mapInArrow(packed, "chunk int, place binary, value binary, total binary")
     kind = source.schema["doc_id"].dataType.simpleString()
-    return groups.cogroup(answered.groupBy("chunk")).applyInArrow(
+    blob = pa.binary()
+    wanted_schema = pa.schema({"chunk": pa.int64(), "shard": pa.int32(), "z": blob, "sizes": blob, "words": blob})
+    lexicon_schema = pa.schema({"shard": pa.int32(), "z": blob, "sizes": blob, "words": blob, "value": blob, "total": blob})
+    answer_schema = pa.schema({"chunk": pa.int64(), "shard": pa.int32(), "value": blob, "total": blob})
+    numbers = "n_tokens long, n_known long, base_score double, score double, bytes long"
+    found = stored(
+        source.mapInArrow(begun, f"chunk long, shard int, z binary, sizes binary, words binary, doc_id {kind}, held_out boolean, {numbers}, places binary"),
+        "begun",
+    )
+    lexicon = counted.select("z", "word", "n", "total").mapInArrow(
+        lexicon_task, "shard int, z binary, sizes binary, words binary, value binary, total binary"
+    )
+    wanted = found.where("shard is not null").select("chunk", "shard", "z", "sizes", "words")
+    answered = wanted.groupBy("shard").cogroup(lexicon.groupBy("shard")).applyInArrow(answers, "chunk long, shard int, value binary, total binary")
+    docs_begun = found.where("shard is null").drop("shard", "z", "sizes", "words")
+    return docs_begun.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
         chunk_scores,
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, bits_per_byte double",

@@ -83,6 +83,9 @@ class Code:
         self.size = np.array(size, np.int32)
         self.first = (np.cumsum(self.size) - self.size).astype(np.int32)
         self.nodes = max(1, count - 1)
+        self.node = self.steps.astype(np.int64) >> 1
+        self.bit = self.steps & 1
+        self.spread = self.node.astype(np.uint32) * np.uint32(2654435761)
 
     def symbols(self, words: pa.Array) -> np.ndarray:
         return pc.fill_null(pc.index_in(words, self.words), -1).to_numpy() + 1
@@ -117,14 +120,22 @@ class WordMixer:
 
     def packed(self, params: WordParams) -> WordMixer:
         """For scores alone: by slot the input to the mixer, in its last four bits the level of evidence."""
-        tables = []
-        for table in self.tables:
-            zeros, ones = table[0::2], table[1::2]
-            found = np.log((ones + np.float32(params.prior)) / (zeros + np.float32(params.prior)))
-            tables.append(found.view(np.int32) & ~15 | np.minimum(level_of(zeros + ones), 15))
+        tables = [packed_table(table, params) for table in self.tables]
         return WordMixer(tables, self.weights, self.refined)
 
 
+def packed_table(table: np.ndarray, params: WordParams) -> np.ndarray:
+    """Counts of one context as ``WordMixer.packed`` gives them."""
+    zeros, ones = table[0::2], table[1::2]
+    found = np.log((ones + np.float32(params.prior)) / (zeros + np.float32(params.prior)))
+    return found.view(np.int32) & ~15 | np.minimum(level_of(zeros + ones), 15)
+
+
+def tally(key: np.ndarray, amount: np.ndarray, count: int) -> np.ndarray:
+    """Sums of amounts by key; ``bincount`` is several times slower on 32-bit amounts."""
+    return np.bincount(key, amount.astype(np.float64, copy=False), count)
+
+
 def middles(params: WordParams) -> np.ndarray:
     """The refining table that changes nothing."""
     return np.tile(squash(np.arange(params.levels) * (24.0 / (params.levels - 1)) - 12.0), GATES).astype(np.float32)
@@ -159,39 +170,38 @@ class Bits:
         size = code.size[symbol]
         at = np.repeat(code.first[symbol] - (np.cumsum(size, dtype=np.int32) - size), size)
         at += np.arange(len(at), dtype=np.int32)
-        step = code.steps.take(at)
-        node = (step >> 1).astype(np.uint32)
-        slots = [np.repeat(classes.astype(np.uint32) * np.uint32(code.nodes), size)]
-        slots[0] += node
-        node *= np.uint32(2654435761)
+        slots = [np.repeat(classes.astype(np.int64) * code.nodes, size)]
+        slots[0] += code.node.take(at)
+        spread = code.spread.take(at)
         for base, bits in zip((one, two), params.slots, strict=True):
             slot = np.repeat(base, size)
-            slot += node
+            slot += spread
             slot >>= np.uint32(32 - bits)
-            slots.append(slot)
-        return cls(size, step & 1, [s.astype(np.int64) for s in slots])
+            slots.append(slot.astype(np.int64))
+        return cls(size, code.bit.take(at), slots)
 
 
 def counted_inputs(bits: Bits, mixer: WordMixer, params: WordParams) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Inputs to the mixer and levels of evidence (15 at most) from counts."""
+    """Inputs to the mixer, and levels of evidence (15 at most) of the contexts of words, from counts."""
     prior = np.float32(params.prior)
     inputs, levels = [], []
-    for table, slot in zip(mixer.tables, bits.slots, strict=True):
+    for number, (table, slot) in enumerate(zip(mixer.tables, bits.slots, strict=True)):
         zeros, ones = evidence(table, slot)
         inputs.append(np.log((ones + prior) / (zeros + prior)))
-        levels.append(np.minimum(level_of(zeros + ones), 15))
+        if number:
+            levels.append(np.minimum(level_of(zeros + ones), 15))
     return inputs, levels
 
 
 def packed_inputs(bits: Bits, mixer: WordMixer) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """The same from packed tables."""
     found = [table.take(slot) for table, slot in zip(mixer.tables, bits.slots, strict=True)]
-    return [f.view(np.float32) for f in found], [f & 15 for f in found]
+    return [f.view(np.float32) for f in found], [f & 15 for f in found[1:]]
 
 
 def mix(inputs: list[np.ndarray], levels: list[np.ndarray], mixer: WordMixer, params: WordParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gate, place in the refining table and mixed prediction (logistic) of each bit."""
-    gate = (levels[2] << 3) + (levels[1] >> 1)
+    gate = (levels[1] << 3) + (levels[0] >> 1)
     stretch = mixer.weights[0].take(gate) * inputs[0]
     for weights, x in zip(mixer.weights[1:], inputs[1:], strict=True):
         stretch += weights.take(gate) * x
@@ -227,13 +237,16 @@ class WordLearner:
         error = bit - squash(stretch)
         met = np.bincount(key, minlength=count)
         amount = met.reshape(GATES, -1).sum(1)
-        norm = np.bincount(gate, inputs[0] * inputs[0] + inputs[1] * inputs[1] + inputs[2] * inputs[2], GATES)
+        norm = tally(gate, inputs[0] * inputs[0] + inputs[1] * inputs[1] + inputs[2] * inputs[2], GATES)
         for weights, x in zip(mixer.weights, inputs, strict=True):
-            weights += self.params.rate * np.bincount(gate, error * x, GATES) / (norm / CONTEXTS + amount + 1.0)
+            weights += self.params.rate * tally(gate, error * x, GATES) / (norm / CONTEXTS + amount + 1.0)
         self.seen += amount
         self.refined[0] += met
-        self.refined[1] += np.bincount(key, bit, count)
-        for table, slot in zip(mixer.tables, bits.slots, strict=True):
+        self.refined[1] += tally(key, bit, count)
+        first, *others = mixer.tables
+        # whole numbers, exact in any order
+        first += np.bincount(bits.slots[0] * 2 + bits.bit, minlength=len(first)).astype(np.float32)
+        for table, slot in zip(others, bits.slots[1:], strict=True):
             np.add.at(table, slot * 2 + bits.bit, np.float32(1))
 
 
@@ -259,6 +272,6 @@ def code_scores(
         _, key, stretch = mix(*packed_inputs(bits, mixer), mixer, params)
         chance = np.float32(0.5) * (squash(stretch) + mixer.refined.take(key))
         np.clip(chance, 1e-6, 1 - 1e-6, out=chance)
-        value = np.log(np.where(bits.bit == 1, chance, 1 - chance))
+        value = np.log(np.abs(chance - (1 - bits.bit).astype(np.float32)))
         found[part] = np.add.reduceat(value, np.cumsum(bits.size) - bits.size) / math.log(10)
     return found

@@ -176,12 +176,8 @@ class Tokens:
 
     @classmethod
     def joined(cls, parts: list[Tokens]) -> Tokens:
-        """All tokens over one array of words, in the order of bytes."""
+        """All tokens over one array of words."""
         coded = pa.chunked_array([pa.DictionaryArray.from_arrays(pa.array(p.at, pa.int32()), p.words) for p in parts])
         coded = coded.unify_dictionaries()
-        words = coded.chunk(0).dictionary
-        order = pc.sort_indices(words)
-        rank = np.empty(len(words), np.int32)
-        rank[order.to_numpy()] = np.arange(len(words), dtype=np.int32)
-        at = [rank[c.indices.to_numpy()] for c in coded.chunks]
-        return cls(np.concatenate(at), words.take(order), np.concatenate([p.sizes for p in parts]))
+        at = [c.indices.to_numpy() for c in coded.chunks]
+        return cls(np.concatenate(at), coded.chunk(0).dictionary, np.concatenate([p.sizes for p in parts]))
