@@ -226,6 +226,26 @@ def test_unknown_language_is_judged_by_script(documents):
     assert fertility.measure(documents([]), MULTI, PIECES).count() == 0
 
 
+def test_costs_of_words_are_worked_out_together(monkeypatch):
+    """Words of one call get the costs that each has alone, whatever white space they hold, in few calls."""
+    costs = fertility.WordCosts(MULTI, PIECES)
+    odd = ["a\u00a0", "\u00a0b", "c\u2003d", "\x1c", "\u3000", "'s", "it's", "日本語", "\u2581x", "|<endoftext>|", "e\u0301", "~~"]
+    words = [w.encode() for w in dict.fromkeys([*odd, *(f"word{i}" for i in range(500)), *(f"{a}{b}" for a in odd for b in odd)])] + [b"\xff\xfe"]
+    calls = []
+    encode = costs.pieces.encode
+    monkeypatch.setattr(costs.pieces, "encode", lambda texts, **more: calls.append(texts) or encode(texts, **more))
+    found = costs.of_distinct(words)
+    assert len(calls) == 1 and costs.of_distinct(words) == found and len(calls) == 1
+    for word, (ids, pieces, fallback) in zip(words, found, strict=True):
+        text = word.decode("utf-8", "replace")
+        assert np.frombuffer(ids, np.int32).tolist() == costs.ranks.encode_ordinary(" " + text)
+        assert (pieces, fallback) == (len(encode(text)), sum(map(costs.pieces.is_byte, encode(text))))
+    texts = [" ".join(w.decode("utf-8", "replace") for w in words[:40]).encode(), b"", b" \n ", b"\xff a \xe2\x82 \xac x"]
+    found = fertility._measured(texts, costs, costs.ranks.n_vocab)
+    assert found["word_chars"] == [len(b"".join(t.split()).decode("utf-8", "replace")) for t in texts]
+    assert found["n_words"] == [len(t.split()) for t in texts]
+
+
 # --- secrets --------------------------------------------------------------------------
 
 ASSIGN = re.compile(

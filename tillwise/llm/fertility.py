@@ -18,22 +18,27 @@ from __future__ import annotations
 
 import base64
 import functools
-from array import array
+import itertools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm.memory import Memory
-from tillwise.llm.words import HASH_A, Words, slices, texts_of
+from tillwise.llm.words import HASH_A, Tokens, slices, texts_of, word_hashes
 
 #: words remembered per task, in each of two halves
 HALF = 60_000
+#: words in one call of a vocabulary, and bytes of texts whose distinct words are looked up together
+CALL_WORDS = 4096
+SLICE_BYTES = 2 << 20
 # The symbols that are counted, and the split of the public vocabulary.
 _SYMBOLS = b"#*$%&|<>"
 _PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -78,6 +83,10 @@ def _ranks(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
 
 
+#: white space that a word can hold, none of which separates words
+_INNER_SPACE = re.compile(r"[^\S ]")
+
+
 class WordCosts(Memory):
     """Per word: ids under the rank vocabulary, pieces and byte pieces under the other."""
 
@@ -85,13 +94,50 @@ class WordCosts(Memory):
         super().__init__(self._costs, HALF)
         self.ranks = _ranks(ranks_path)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
-        self.is_byte = [self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())]
+        self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())])
+        self.begins = np.zeros(self.ranks.n_vocab, bool)
+        spaced = [piece for piece in self.ranks.token_byte_values() if piece.startswith(b" ")]
+        self.begins[[self.ranks.encode_single_token(piece) for piece in spaced]] = True
 
     def _costs(self, word: bytes) -> tuple[bytes, int, int]:
-        text = word.decode("utf-8", "replace")
-        ids = array("i", self.ranks.encode_ordinary(" " + text))
-        pieces = self.pieces.encode(text)
-        return ids.tobytes(), len(pieces), sum(map(self.is_byte.__getitem__, pieces))
+        return self._all_costs([word])[0]
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word after a space.
+
+        Words are encoded in one call: each of their pieces lies within one word if none holds
+        white space of its own, and as words hold no space, a token that begins with one begins
+        a word.
+        """
+        text = " " + " ".join(words)
+        if len(words) > 1 and _INNER_SPACE.search(text):
+            half = len(words) // 2
+            return self._ids(words[:half]) + self._ids(words[half:])
+        ids = np.array(self.ranks.encode_ordinary(text), np.int32)
+        data, starts = ids.tobytes(), [0]
+        if len(words) > 1:
+            starts = (4 * np.flatnonzero(self.begins[ids])).tolist()
+        return [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)], strict=True)]
+
+    def _all_costs(self, words: list[bytes]) -> list[tuple[bytes, int, int]]:
+        texts = [word.decode("utf-8", "replace") for word in words]
+        pieces = self.pieces.encode(texts, num_threads=1)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        each = np.fromiter(itertools.chain.from_iterable(pieces), np.int64, int(sizes.sum()))
+        before = np.concatenate(([0], np.cumsum(self.is_byte[each])))
+        ends = np.cumsum(sizes)
+        return list(zip(self._ids(texts), sizes.tolist(), (before[ends] - before[ends - sizes]).tolist(), strict=True))
+
+    def of_distinct(self, words: list[bytes]) -> list[tuple[bytes, int, int]]:
+        """Costs of distinct words; those not remembered are worked out together."""
+        found = list(map(self.remembered, words))
+        missing = [i for i, value in enumerate(found) if value is None]
+        for at in range(0, len(missing), CALL_WORDS):
+            part = missing[at : at + CALL_WORDS]
+            for i, value in zip(part, self._all_costs([words[i] for i in part]), strict=True):
+                found[i] = value
+                self.keep(words[i], value)
+        return found
 
 
 @functools.lru_cache(maxsize=2)
@@ -132,30 +178,53 @@ def repeated_window_words(hashes: np.ndarray, first: np.ndarray, length: int = 3
 
 
 def repeated_lines(text: bytes) -> int:
-    lines = [line for line in text.split(b"\n") if line.split()]
+    lines = [line for line in text.split(b"\n") if line.strip()]
     return len(lines) - len(set(lines))
 
 
+def _word_chars(tokens: Tokens, texts: list[bytes], spoken: np.ndarray, owner: np.ndarray) -> list[int]:
+    """Per text, the code points of its words; a bad sequence counts as in the joined words."""
+    try:
+        chars = pc.utf8_length(tokens.words.cast(pa.string())).to_numpy()
+    except pa.ArrowInvalid:
+        return [len(b"".join(text.split()).decode("utf-8", "replace")) for text in texts]
+    return _added(chars[spoken], owner, len(texts))
+
+
+def _added(values: np.ndarray, owner: np.ndarray, count: int) -> list[int]:
+    return np.bincount(owner, values, count).astype(np.int64).tolist()
+
+
 def _measured(texts: list[bytes], costs: WordCosts, size: int) -> dict[str, list]:
-    words = Words.of(texts)
-    repeats = repeated_window_words(words.hashes(HASH_A), words.first)
-    out: dict[str, list] = {k: [] for k in MEASURES}
-    for text, repeat in zip(texts, repeats, strict=True):
-        parts = text.split()
-        found = list(map(costs.__getitem__, parts))
-        ids = np.frombuffer(b"".join(f[0] for f in found), np.int32)
-        pieces = sum(f[1] for f in found)
-        chars = len(b"".join(parts).decode("utf-8", "replace"))
-        out["n_words"].append(len(parts))
-        out["word_chars"].append(chars)
-        out["n_symbols"].append(len(text) - len(text.translate(None, _SYMBOLS)))
-        out["n_dup_lines"].append(repeated_lines(text))
-        out["n_repeat_words"].append(int(repeat))
-        out["n_tokens"].append(len(ids))
-        out["chars_per_token"].append(chars / len(ids) if len(ids) else None)
-        out["byte_share"].append(sum(f[2] for f in found) / pieces if pieces else None)
-        out["entropy_share"].append(entropy_share(ids, size) if len(ids) else None)
-    return out
+    tokens = Tokens.of(texts)
+    # the last word is the end of a text
+    spoken = tokens.at[tokens.at < len(tokens.words) - 1]
+    n_words = tokens.sizes - 1
+    owner = np.repeat(np.arange(len(texts)), n_words)
+    found = costs.of_distinct(tokens.words[:-1].to_pylist())
+    ids = np.frombuffer(b"".join(f[0] for f in found), np.int32)
+    lengths = np.array([len(f[0]) // 4 for f in found], np.int64)
+    first = np.cumsum(lengths) - lengths
+    # ids of all words in a row, and where those of each text begin
+    own = lengths[spoken]
+    ends = np.cumsum(own)
+    ids = ids[np.repeat(first[spoken] - (ends - own), own) + np.arange(own.sum())]
+    bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n_words)))]
+    by_text = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    chars = _word_chars(tokens, texts, spoken, owner)
+    pieces = _added(np.array([f[1] for f in found], np.int64)[spoken], owner, len(texts))
+    fallback = _added(np.array([f[2] for f in found], np.int64)[spoken], owner, len(texts))
+    return {
+        "n_words": n_words.tolist(),
+        "word_chars": chars,
+        "n_symbols": [len(text) - len(text.translate(None, _SYMBOLS)) for text in texts],
+        "n_dup_lines": [repeated_lines(text) for text in texts],
+        "n_repeat_words": repeated_window_words(word_hashes(tokens.words)[spoken], np.concatenate(([0], np.cumsum(n_words)))).tolist(),
+        "n_tokens": [len(i) for i in by_text],
+        "chars_per_token": [c / len(i) if len(i) else None for c, i in zip(chars, by_text, strict=True)],
+        "byte_share": [f / p if p else None for f, p in zip(fallback, pieces, strict=True)],
+        "entropy_share": [entropy_share(i, size) if len(i) else None for i in by_text],
+    }
 
 
 MEASURES = {
@@ -183,7 +252,7 @@ def measure(
         size = costs.ranks.n_vocab
         for batch in batches:
             at = 0
-            for texts in slices(texts_of(batch, text)):
+            for texts in slices(texts_of(batch, text), SLICE_BYTES):
                 found = _measured(texts, costs, size)
                 kept = [batch.column(k).slice(at, len(texts)) for k in keep]
                 script = pa.array([script_of(t) for t in texts], pa.string())

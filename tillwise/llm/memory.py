@@ -21,11 +21,21 @@ class Memory(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def remembered(self, key: Any) -> Any:
+        """The value of ``key``, None if it is not remembered."""
+        value = self.get(key)
+        if value is None and (value := self.older.get(key)) is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key: Any, value: Any) -> None:
         if len(self) >= self.half:
             self.older = dict(self)
             self.clear()
         self[key] = value
-        return value
 
     def forget(self) -> None:
         self.older = {}
