@@ -151,6 +151,30 @@ def test_bins_left_by_tasks_are_joined(spark, documents):
     assert len({r.sequence_id for r in rows}) == 1
 
 
+def test_segments_are_encoded_together(monkeypatch):
+    """Texts of one call get the ids that the library gives each alone, in few calls for their distinct segments."""
+    encoder = best_fit.SegmentIds(BYTE_BPE)
+    odd = ["'s", "it's", "e\u0301", "日本語", "\u200b\u200b", "\x00", "~~", "😀", "12ab", "don't!!", "ſ's"]
+    plain = [f"{a}{gap}{b} {a}{i}\n{b}" for i, a in enumerate(odd) for b in odd for gap in " \n"]
+    texts = [*plain, "one", *(t or "" for t in ODD_TEXTS), *(f"a{gap}b" for gap in ("\u00a0", " \n", "\n\n", "\u2003 ", "\t"))]
+    library = Tokenizer.from_file(BYTE_BPE)
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(ids, np.int32).tolist() for ids in encoder.of_texts(texts)] == want
+    calls = []
+
+    class Counted:
+        def encode_ordinary(self, text, encode=encoder.plain.encode_ordinary):
+            calls.append(text)
+            return encode(text)
+
+    monkeypatch.setattr(encoder, "plain", Counted())
+    assert [np.frombuffer(ids, np.int32).tolist() for ids in encoder.of_texts(plain)] == want[: len(plain)]
+    assert len(calls) == 1
+    monkeypatch.setattr(best_fit, "CALL_SEGMENTS", 7)
+    assert [np.frombuffer(ids, np.int32).tolist() for ids in encoder.of_texts(plain)] == want[: len(plain)]
+    assert encoder.of_texts([]) == []
+
+
 def test_packer_is_best_fit_and_closes_the_fullest():
     packer = best_fit.Packer(10, 2)
     assert packer.place(6) == (0, 0)

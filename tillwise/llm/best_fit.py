@@ -35,12 +35,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillwise.config import scratch_dir
-from tillwise.llm.memory import Memory
+from tillwise.llm.words import slices, texts_of
 
 CAPACITY = 2048
 OPEN_BINS = 256
-#: segments remembered per task, in each of two halves
-HALF = 60_000
+#: bytes of texts whose distinct segments are encoded together, and segments in one call
+SLICE_BYTES = 4 << 20
+CALL_SEGMENTS = 1 << 15
 END = array("i", [0]).tobytes()
 # Fixed value: the split of the public vocabulary.
 _PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -88,11 +89,15 @@ class Packer:
         return [(n, self.capacity - free) for free, held in enumerate(self.bins) for n in held]
 
 
-class SegmentIds(Memory):
-    """Ids of one space-led segment, as bytes of 32-bit ids."""
+class SegmentIds:
+    """Ids of texts, as bytes of 32-bit ids.
+
+    A segment is a space or line end and what follows up to the next one.  Distinct segments of
+    some texts are encoded together: no token reaches from one into another, and as a segment
+    holds no other white space, a token that begins with a space or line end begins a segment.
+    """
 
     def __init__(self, path: str):
-        super().__init__(self._segment, HALF)
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -100,20 +105,54 @@ class SegmentIds(Memory):
         symbols = {c: b for b, c in enumerate(_byte_characters())}
         ranks = {bytes(symbols[c] for c in label): i for label, i in spec["model"]["vocab"].items()}
         self.plain = tiktoken.Encoding("ranks", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
-
-    def _segment(self, segment: str) -> bytes:
-        # a segment that starts with a line end was not led by a space
-        text = segment if segment[:1] == "\n" else " " + segment
-        return array("i", self.plain.encode_ordinary(text)).tobytes()
-
-    def ids(self, text: str) -> bytes:
+        self.begins = np.zeros(max(ranks.values()) + 1, bool)
+        self.begins[[i for piece, i in ranks.items() if piece[:1] in (b" ", b"\n")]] = True
+
+    def of_texts(self, texts: list[str]) -> list[bytes]:
+        found = [self._whole(text) for text in texts]
+        at = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(at, self._by_segments([texts[i] for i in at]), strict=True):
+            found[i] = ids
+        return found
+
+    def _whole(self, text: str) -> bytes | None:
+        """Ids of a text that is not cut into segments, None for other texts."""
         if any(mark in text for mark in self.special):
             return array("i", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        if _joined_spaces(text):
+        if not text or _joined_spaces(text):
             return array("i", self.plain.encode_ordinary(text)).tobytes()
-        head, *rest = text.replace("\n", " \n").split(" ")
-        first = array("i", self.plain.encode_ordinary(head)).tobytes()
-        return first + b"".join(map(self.__getitem__, rest))
+        return None
+
+    def _by_segments(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        # a line end before each text leads its first segment; its id is left out again
+        led = [b"\n" + text.encode() for text in texts]
+        joined = b"".join(led)
+        data = np.frombuffer(joined, np.uint8)
+        starts = np.flatnonzero((data == 0x20) | (data == 0x0A))
+        offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(joined)]).dictionary_encode()
+        ids, sizes = self._encoded(coded.dictionary.to_pylist())
+        segment = coded.indices.to_numpy()
+        own = sizes[segment]
+        ends = np.cumsum(own)
+        # ids of all segments in a row, and where those of each text begin
+        ids = ids[np.repeat((np.cumsum(sizes) - sizes)[segment] - (ends - own), own) + np.arange(ends[-1])]
+        lengths = np.fromiter(map(len, led), np.int64, len(led))
+        first = np.searchsorted(starts, np.cumsum(lengths) - lengths)
+        begin = (ends - own)[first].tolist()
+        return [ids[a + 1 : b].tobytes() for a, b in zip(begin, [*begin[1:], len(ids)], strict=True)]
+
+    def _encoded(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the segments one after the other, and how many each has."""
+        found, sizes = [], np.zeros(len(segments), np.int64)
+        for at in range(0, len(segments), CALL_SEGMENTS):
+            text = b"".join(segments[at : at + CALL_SEGMENTS]).decode()
+            ids = np.array(self.plain.encode_ordinary(text), np.int32)
+            sizes[at : at + CALL_SEGMENTS] = np.diff(np.flatnonzero(self.begins[ids]), append=len(ids))
+            found.append(ids)
+        return np.concatenate(found), sizes
 
 
 def _joined_spaces(text: str) -> bool:
@@ -153,11 +192,11 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, open
         packer = Packer(capacity, open_bins)
         partition = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                part = batch.slice(at, 4000)
+            docs = iter(batch.column("doc_id").to_pylist())
+            for texts in slices(texts_of(batch), SLICE_BYTES):
                 rows = []
-                for doc, value in zip(part.column("doc_id").to_pylist(), part.column("text"), strict=True):
-                    ids = encoder.ids(value.as_py() or "") + END
+                for ids in encoder.of_texts([text.decode() for text in texts]):
+                    doc, ids = next(docs), ids + END
                     for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                         number, offset = packer.place(length)
                         crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
@@ -165,7 +204,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, open
                 yield _batch(rows)
         rows = [(None, -1, 0, held, 0, partition + number, 0) for number, held in packer.remaining()]
         yield _batch(rows)
-        encoder.forget()
+        # a worker goes on to other stages, which need its memory
         segment_ids.cache_clear()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
