@@ -208,6 +208,47 @@ def test_spelling_is_a_distribution():
     assert (10.0**values).sum() <= 1 + 1e-9
 
 
+def test_learning_of_spelling_works_on_shared_bytes(monkeypatch):
+    """Words of a class and a count share the bytes of their common beginnings, and what is learned stays the same."""
+    params = context_mixing.Params(batch_words=500)
+    rng = random.Random(41)
+    listed = sorted({w.encode() for w in words(rng, 1500)})
+    z = np.array([rng.randrange(3) for _ in listed], np.int32)
+    n = np.array([rng.choice([1, 1, 1, 2, 9]) for _ in listed])
+    alone = context_mixing.spelled(listed, z, params)
+    shared = context_mixing.spelled(listed, z, params, share=True, apart=n)
+    begun = {(c, k, (w + b" ")[: i + 1]) for w, c, k in zip(listed, z.tolist(), n.tolist(), strict=True) for i in range(len(w) + 1)}
+    assert len(shared.data) == len(begun) < 0.7 * len(alone.data)
+    assert (shared.data[shared.same] == alone.data).all()
+    assert all((a[shared.same] == b).all() for a, b in zip(shared.base, alone.base, strict=True))
+
+    class Items:
+        def mapInArrow(self, task, schema):
+            return list(task([pa.RecordBatch.from_pydict({"z": z, "word": listed, "n": n})]))
+
+    class Tables:
+        value = [np.arange(2 << bits, dtype=np.float32) % 7 + 9 for _, _, bits in params.contexts]
+
+    def learned():
+        return context_mixing.learn_mixer(Items(), Tables, params)
+
+    monkeypatch.setattr(context_mixing, "_collected", lambda rows: {b["key"][0].as_py(): np.frombuffer(b["value"][0].as_py()) for r in rows for b in (r.slice(0, 1), r.slice(1, 1))})
+    found, whole = learned(), context_mixing.spelled
+    monkeypatch.setattr(context_mixing, "spelled", lambda w, c, p, share, apart: whole(w, c, p, True, np.arange(len(w))))
+    want = learned()
+    assert np.allclose(found.weights, want.weights, rtol=0, atol=1e-6) and np.allclose(found.refined, want.refined, rtol=0, atol=1e-6)
+
+
+def test_byte_pairs_stay_within_texts():
+    texts = [b"", b"abc", b"", b"a", b"xyzxyz" * 50_000, b"b", b"q\xffq", b""]
+    want = np.zeros((len(texts), context_mixing.BINS), np.int64)
+    for i, text in enumerate(texts):
+        for (a, b), count in Counter(zip(text, text[1:])).items():
+            want[i, ((a << 8 | b) * 2654435761 & 0xFFFFFFFF) >> 24] += count
+    assert (context_mixing.byte_pairs(texts) == want).all()
+    assert context_mixing.byte_pairs([]).shape == (0, context_mixing.BINS)
+
+
 def test_very_long_texts_find_their_copies_and_scores(spark, documents):
     rng = random.Random(23)
     book = words(rng, 60_000)

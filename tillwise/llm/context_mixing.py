@@ -54,6 +54,8 @@ from tillwise.llm.word_contexts import Code, WordLearner, WordMixer, WordParams,
 from tillwise.llm.words import HASH_A, Tokens, mixed, slices, texts_of, word_hashes
 
 BINS = 256
+#: bytes of texts whose pairs of bytes are counted together
+PAIR_BYTES = 1 << 17
 # a byte that no word holds closes the text, another closes a word
 _CLOSE_TEXT, _CLOSE_WORD = b"\n", b" "
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -92,16 +94,23 @@ class Params:
 # --- classes --------------------------------------------------------------------------
 
 
-_PAIR_BINS = (np.arange(1 << 16, dtype=np.uint32) * np.uint32(2654435761) >> np.uint32(24)).astype(np.int64)
+def byte_pairs(texts: list[bytes]) -> np.ndarray:
+    """Counts of adjacent bytes of each text, folded into ``BINS`` bins."""
+    parts = [_byte_pairs(part) for part in slices(iter(texts), PAIR_BYTES)]
+    return np.concatenate([np.zeros((0, BINS), np.int64), *parts])
 
 
-def byte_pairs(text: bytes) -> np.ndarray:
-    """Counts of adjacent bytes, folded into ``BINS`` bins."""
-    counts = np.zeros(BINS, np.int64)
-    for begin in (0, 1):  # pairs that begin at even places, then at odd ones
-        pairs = np.frombuffer(text, ">u2", max(0, len(text) - begin) // 2, begin if len(text) > begin else 0)
-        counts += np.bincount(_PAIR_BINS.take(pairs), minlength=BINS)
-    return counts
+def _byte_pairs(texts: list[bytes]) -> np.ndarray:
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    pairs = data[:-1].astype(np.uint32) << np.uint32(8) | data[1:]
+    key = np.repeat(np.arange(len(texts)) * BINS, sizes)[:-1]
+    key += pairs * np.uint32(2654435761) >> np.uint32(24)
+    counts = np.bincount(key, minlength=len(texts) * BINS)
+    # a text's last byte makes no pair with the next text
+    last = np.cumsum(sizes)[sizes > 0][:-1] - 1
+    counts -= np.bincount(key[last], minlength=len(counts))
+    return counts.reshape(-1, BINS)
 
 
 @dataclass
@@ -123,7 +132,7 @@ class Classes:
 
     def of_texts(self, texts: list[bytes]) -> np.ndarray:
         """Class of each lower-cased text."""
-        return self.best(np.array([byte_pairs(t) for t in texts], np.float64).reshape(-1, BINS))
+        return self.best(byte_pairs(texts).astype(np.float64))
 
 
 def first_classes(features: np.ndarray, count: int) -> Classes:
@@ -199,7 +208,7 @@ def learn_classes(docs: DataFrame, params: Params) -> Classes:
         for batch in batches:
             at = 0
             for texts in slices(texts_of(batch)):
-                rows = [byte_pairs(t.lower()).astype(np.uint32).tobytes() for t in texts]
+                rows = [row.tobytes() for row in byte_pairs([t.lower() for t in texts]).astype(np.uint32)]
                 key = batch.column("key").slice(at, len(texts))
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays([key, pa.array(rows, pa.binary())], ["key", "features"])
@@ -422,25 +431,30 @@ class Spelled:
     same: np.ndarray | None = None
 
 
-def spelled(words: list[bytes], classes: np.ndarray, params: Params, share: bool = False) -> Spelled:
+def spelled(words: list[bytes], classes: np.ndarray, params: Params, share: bool = False, apart: np.ndarray | None = None) -> Spelled:
+    """Words with different numbers in ``apart`` share nothing."""
     parts = [(w + _CLOSE_WORD) if w else _CLOSE_TEXT for w in words]
     data = np.frombuffer(b"".join(parts), np.uint8)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    word_of = np.repeat(np.arange(len(parts)), sizes)
-    begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    word_of = of = np.repeat(np.arange(len(parts)), sizes)
+    begin = (np.cumsum(sizes) - sizes).take(of)
     at = np.arange(len(data))
-    values = _BYTE_VALUES[data]
-    own_class = mixed((classes.astype(np.uint64) + np.uint64(1)) << np.uint64(32))[word_of]
+    sums = HASH_A.sums(_BYTE_VALUES.take(data))
+    class_at = mixed((classes.astype(np.uint64) + np.uint64(1)) << np.uint64(32))
     same = None
     if share:
-        whole = HASH_A.runs(values, begin, at + 1) ^ own_class
-        _, first, same = np.unique(whole, return_index=True, return_inverse=True)
+        own = class_at if apart is None else mixed(class_at + apart.astype(np.uint64))
+        coded = pa.array(HASH_A.between(sums, begin, at + 1) ^ own.take(of)).dictionary_encode()
+        same = coded.indices.to_numpy()
+        place = np.empty(len(coded.dictionary), np.int64)
+        place[same] = at
+        data, of, begin, at = data[place], of[place], begin[place], place
+    own_class = class_at.take(of)
     base = []
     for number, (length, with_class, _) in enumerate(params.contexts):
-        hashes = HASH_A.runs(values, np.maximum(begin, at - length), at) + np.uint64(number)
-        slots = (mixed(hashes ^ own_class if with_class else hashes) >> np.uint64(32)).astype(np.uint32)
-        base.append(slots[first] if share else slots)
-    return Spelled(data[first] if share else data, word_of, base, same)
+        hashes = HASH_A.between(sums, np.maximum(begin, at - length), at) + np.uint64(number)
+        base.append((mixed(hashes ^ own_class if with_class else hashes) >> np.uint64(32)).astype(np.uint32))
+    return Spelled(data, word_of, base, same)
 
 
 def _slots(base: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
@@ -553,27 +567,31 @@ def learn_mixer(items: DataFrame, tables_of, params: Params) -> Mixer:
             if not (n > 0).any():
                 continue
             weight = item_weight(n).astype(np.float32)
-            found = spelled(batch.column("word").to_pylist(), batch.column("z").to_numpy(), params)
-            each = weight[found.word_of]
+            # words of equal weight share bytes, as all of them are lowered alike
+            found = spelled(batch.column("word").to_pylist(), batch.column("z").to_numpy(), params, share=True, apart=n)
+            each = np.empty(len(found.data), np.float32)
+            each[found.same] = weight[found.word_of]
+            times = each * np.bincount(found.same).astype(np.float64)
             for node, bit in _bit_steps(found.data):
                 zeros, ones = _evidence(tables, found, node, params)
-                for_one = each * bit.astype(np.float32)
+                one = bit.astype(np.float32)
+                for_one = each * one
                 for_zero = each - for_one
                 own = [np.maximum(o - for_one, 0) for o in ones]
                 other = [np.maximum(z - for_zero, 0) for z in zeros]
                 inputs = [np.log((o + prior) / (z + prior)) for o, z in zip(own, other, strict=True)]
-                gate = gate_of(own[-1] + other[-1], own[-2] + other[-2])
+                gate = gate_of(own[-1] + other[-1], own[-2] + other[-2]).astype(np.intp)
                 stretch = _mix(weights.T.astype(np.float32), gate, inputs)
-                error = (bit - _squash(stretch)) * each
-                norm = tally(gate, each * sum(x * x for x in inputs), GATES)
-                amount = tally(gate, each, GATES)
+                error = (one - _squash(stretch)) * times
+                norm = tally(gate, times * sum(x * x for x in inputs), GATES)
+                amount = tally(gate, times, GATES)
                 for k in range(count):
                     slope = tally(gate, error * inputs[k], GATES)
                     weights[:, k] += params.rate * slope / (norm / count + amount + 1.0)
                 seen += amount
                 key = _refine_key(node, gate, stretch, levels)
-                refined[:, 0] += tally(key, each, len(refined))
-                refined[:, 1] += tally(key, for_one, len(refined))
+                refined[:, 0] += tally(key, times, len(refined))
+                refined[:, 1] += tally(key, times * one, len(refined))
         yield blob_batch([(0, np.column_stack((weights * seen[:, None], seen))), (1, refined)])
 
     got = _collected(items.mapInArrow(task, "key int, value binary"))
@@ -595,7 +613,7 @@ def spelling_scores(words: list[bytes], classes: np.ndarray, tables: list[np.nda
     prior, weights = np.float32(params.prior), mixer.weights.T.astype(np.float32)
     for node, bit in _bit_steps(found.data):
         zeros, ones = _evidence(tables, found, node, params)
-        gate = gate_of(ones[-1] + zeros[-1], ones[-2] + zeros[-2])
+        gate = gate_of(ones[-1] + zeros[-1], ones[-2] + zeros[-2]).astype(np.intp)
         stretch = _mix(weights, gate, [np.log((o + prior) / (z + prior)) for o, z in zip(ones, zeros, strict=True)])
         refined = mixer.refined.take(_refine_key(node, gate, stretch, params.refine_levels))
         one = np.clip(0.5 * (_squash(stretch) + refined), 1e-6, 1 - 1e-6).astype(np.float64)

@@ -83,9 +83,6 @@ class Code:
         self.size = np.array(size, np.int32)
         self.first = (np.cumsum(self.size) - self.size).astype(np.int32)
         self.nodes = max(1, count - 1)
-        self.node = self.steps.astype(np.int64) >> 1
-        self.bit = self.steps & 1
-        self.spread = self.node.astype(np.uint32) * np.uint32(2654435761)
 
     def symbols(self, words: pa.Array) -> np.ndarray:
         return pc.fill_null(pc.index_in(words, self.words), -1).to_numpy() + 1
@@ -168,17 +165,20 @@ class Bits:
     @classmethod
     def of(cls, code: Code, symbol: np.ndarray, classes: np.ndarray, one: np.ndarray, two: np.ndarray, params: WordParams) -> Bits:
         size = code.size[symbol]
-        at = np.repeat(code.first[symbol] - (np.cumsum(size, dtype=np.int32) - size), size)
-        at += np.arange(len(at), dtype=np.int32)
-        slots = [np.repeat(classes.astype(np.int64) * code.nodes, size)]
-        slots[0] += code.node.take(at)
-        spread = code.spread.take(at)
+        token = np.repeat(np.arange(len(size)), size)
+        at = (code.first[symbol] - (np.cumsum(size) - size)).take(token)
+        at += np.arange(len(at))
+        step = code.steps.take(at)
+        node = step >> 1
+        slots = [(classes.astype(np.int64) * code.nodes).take(token)]
+        slots[0] += node
+        spread = node.view(np.uint32) * np.uint32(2654435761)
         for base, bits in zip((one, two), params.slots, strict=True):
-            slot = np.repeat(base, size)
+            slot = base.take(token)
             slot += spread
             slot >>= np.uint32(32 - bits)
             slots.append(slot.astype(np.int64))
-        return cls(size, code.bit.take(at), slots)
+        return cls(size, step & 1, slots)
 
 
 def counted_inputs(bits: Bits, mixer: WordMixer, params: WordParams) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -201,7 +201,7 @@ def packed_inputs(bits: Bits, mixer: WordMixer) -> tuple[list[np.ndarray], list[
 
 def mix(inputs: list[np.ndarray], levels: list[np.ndarray], mixer: WordMixer, params: WordParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gate, place in the refining table and mixed prediction (logistic) of each bit."""
-    gate = (levels[1] << 3) + (levels[0] >> 1)
+    gate = ((levels[1] << 3) + (levels[0] >> 1)).astype(np.intp)
     stretch = mixer.weights[0].take(gate) * inputs[0]
     for weights, x in zip(mixer.weights[1:], inputs[1:], strict=True):
         stretch += weights.take(gate) * x

@@ -78,18 +78,24 @@ class RunHash:
         self._powers, self._inverses = _powers(self.base, size), _powers(self.inverse, size)
         return self._powers[:count], self._inverses[:count]
 
-    def runs(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        powers, inverses = self._upto(len(values) + 1)
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Prefix sums, from which ``between`` works out any runs."""
+        powers, _ = self._upto(len(values) + 1)
         sums = np.zeros(len(values) + 1, np.uint64)
         np.multiply(values, powers[: len(values)], out=sums[1:])
-        np.cumsum(sums, out=sums)
+        return np.cumsum(sums, out=sums)
+
+    def between(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        _, inverses = self._upto(len(sums))
         found = sums[ends]
         found -= sums[starts]
-        del sums
         found *= inverses[starts]
         found ^= (ends - starts).astype(np.uint64)
         return mixed(found)
 
+    def runs(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self.between(self.sums(values), starts, ends)
+
     def windows(self, values: np.ndarray, length: int) -> np.ndarray:
         """Hash of every window of ``length`` values, by its start."""
         starts = np.arange(max(0, len(values) - length + 1))
